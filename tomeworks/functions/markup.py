@@ -42,31 +42,38 @@ def _from_line_start(pattern: str) -> str:
     return pattern if pattern.startswith("^") else rf"^[^\n]*?(?:{pattern})"
 
 
-def _first_found(candidates: list[Column]) -> Column:
-    return F.coalesce(*candidates) if candidates else F.lit(None).cast("string")
+def _by_priority(cases: list[tuple[Column, Column]]) -> Column:
+    """The value of the first test that holds, else NULL; later tests are not evaluated."""
+    chosen = F.lit(None).cast("string")
+    for test, value in reversed(cases):
+        chosen = F.when(test, value).otherwise(chosen)
+    return chosen
 
 
 def _with_lead(text: Column) -> Column:
     return F.concat(F.lit("\n"), text)
 
 
-def through_header(text: Column, patterns: list[str] = HEADER_PATTERNS) -> Column:
-    """The text (with lead) up to and including the header line and its break."""
+def _cut(text: Column, patterns: list[str], whole: str) -> Column:
+    """Everything ``whole`` (a template around the line pattern) covers, from the start."""
     lead = _with_lead(text)
-    return _first_found(
+    lines = [_from_line_start(p) for p in patterns]
+    return _by_priority(
         [
-            F.regexp_substr(lead, F.lit(rf"{_LINES}\A[\s\S]*?{_from_line_start(p)}[^\n]*(?:\n|\z)"))
-            for p in patterns
+            (lead.rlike(_LINES + p), F.regexp_extract(lead, _LINES + whole.replace("LINE", p), 0))
+            for p in lines
         ]
     )
 
 
+def through_header(text: Column, patterns: list[str] = HEADER_PATTERNS) -> Column:
+    """The text (with lead) up to and including the header line and its break."""
+    return _cut(text, patterns, r"\A[\s\S]*?LINE[^\n]*(?:\n|\z)")
+
+
 def before_footer(text: Column, patterns: list[str] = FOOTER_PATTERNS) -> Column:
     """The text (with lead) before the footer line."""
-    lead = _with_lead(text)
-    return _first_found(
-        [F.regexp_substr(lead, F.lit(rf"{_LINES}\A[\s\S]*?(?={_from_line_start(p)})")) for p in patterns]
-    )
+    return _cut(text, patterns, r"\A[\s\S]*?(?=LINE)")
 
 
 def count_breaks(text: Column) -> Column:
@@ -86,7 +93,7 @@ def footer_line(text: Column, patterns: list[str] = FOOTER_PATTERNS) -> Column:
 
 def document_id(text: Column, markers: list[str] = ID_MARKERS) -> Column:
     """The number behind the first marker that occurs, NULL when there is none."""
-    found = _first_found(
-        [F.regexp_substr(text, F.lit(rf"\Q{m}\E[^\]\n]*")) for m in markers]
+    found = _by_priority(
+        [(F.contains(text, F.lit(m)), F.regexp_extract(text, rf"\Q{m}\E([^\]\n]*)", 1)) for m in markers]
     )
     return F.nullif(F.regexp_replace(found, "[^0-9]", ""), F.lit(""))

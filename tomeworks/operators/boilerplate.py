@@ -42,23 +42,27 @@ def strip_boilerplate(
     header leaves an empty text.  Row-local: no shuffle.
     """
     text = F.col("text")
-    found = docs.withColumn("_head", through_header(text, headers)).withColumn(
-        "_before", before_footer(text, footers)
+    others = [c for c in docs.columns if c != "text"]
+    found = docs.select(
+        *others,
+        "text",
+        through_header(text, headers).alias("_head"),
+        before_footer(text, footers).alias("_before"),
     )
     # Both parts carry one line break in front, so the length of the head is the
     # 1-based position in the text of the first character after it.
     start = F.length("_head")
     stop = F.length("_before")
     body = (
-        F.when(F.col("_before").isNull() | (stop == 1), F.substring(text, start, F.length(text)))
+        F.when(start.isNull(), F.lit(None).cast("string"))
+        .when(stop.isNull() | (stop == 1), F.substring(text, start, F.length(text)))
         .when(stop <= start, F.lit(""))
         .otherwise(F.substring(text, start, stop - start))
     )
-    return (
-        found.where(F.col("_head").isNotNull())
-        .withColumn("text", body)
-        .drop("_head", "_before")
-    )
+    # Exploding a one-element array keeps the filter above the regular
+    # expressions; pushed below, it would evaluate them all a second time.
+    cut = found.select(*others, F.explode_outer(F.array(body)).alias("text"))
+    return cut.where(F.col("text").isNotNull()).select(*docs.columns)
 
 
 def body_lines(docs: DataFrame) -> DataFrame:
