@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tomeworks.functions.hashing import BUCKET_FUNCTIONS, DEFAULT_BUCKETS
+from tomeworks.sources.tables import spread
 from tomeworks.staging import stage_path
 
 
@@ -54,6 +55,8 @@ def with_ml_vectors(df: DataFrame, buckets: int = DEFAULT_BUCKETS, vec: str = "v
         F.col(f"{vec}.w").alias("values"),
     )
     path = stage_path(spark, "vectors")
+    # model fits are heavy on the processor: a small table must not end up in a few tasks
+    df = spread(df, "doc_id")
     df.select(*[f.name for f in others], stored.alias("features")).write.parquet(path)
     schema = T.StructType([*others, T.StructField("features", VectorUDT())])
     return spark.read.schema(schema).parquet(path)

@@ -117,7 +117,7 @@ def s2_recursive_text_files(spark, folder):
     """The corpus as one text file per document in nested folders, next to files of other kinds."""
     path = stage_path(spark, "files")
     docs = inputs.documents(spark, folder).select("text", "source", "doc_id")
-    docs.write.partitionBy("source", "doc_id").text(path)
+    docs.repartition("doc_id").write.partitionBy("source", "doc_id").text(path)
     tables.read_table(spark, folder, "labels").write.mode("append").csv(path)
     files = corpus.text_documents(spark, path, "*.txt*")
     return files.select(

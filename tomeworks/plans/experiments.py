@@ -7,13 +7,12 @@ of a split plan and reports on all parts.
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from itertools import product
 
 from pyspark.ml import Estimator
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tomeworks.functions.hashing import DEFAULT_BUCKETS
@@ -66,7 +65,12 @@ def naive_bayes_experiment(
 
 def decision_tree(depth: int) -> DecisionTreeClassifier:
     return DecisionTreeClassifier(
-        featuresCol="features", labelCol="label", impurity="entropy", maxBins=5, maxDepth=depth
+        featuresCol="features",
+        labelCol="label",
+        leafCol="leaf",
+        impurity="entropy",
+        maxBins=5,
+        maxDepth=depth,
     )
 
 
@@ -90,8 +94,12 @@ def for_subject(examples: DataFrame, position: int) -> DataFrame:
     return examples.select("split", F.get("labels", F.lit(position)).alias("label"), "features")
 
 
-def run_one(estimator: Estimator, data: DataFrame) -> list[tuple[str, float, float, int]]:
-    """Fit on ``train``; (split, label, prediction, n) over all splits from one pass.
+# (split, label, prediction, n) rows of one fitted model
+Counts = list[tuple[str, float, float, int]]
+
+
+def run_model(estimator: Estimator, data: DataFrame) -> Counts:
+    """Fit on ``train``; confusion counts of all splits from one pass.
 
     A dozen rows at most come back to the driver.
     """
@@ -100,33 +108,78 @@ def run_one(estimator: Estimator, data: DataFrame) -> list[tuple[str, float, flo
     return [(r["split"], r["label"], r["prediction"], r["n"]) for r in counts]
 
 
-def sweep(
-    examples: DataFrame,
-    names: list[str],
-    estimators: dict[str, Estimator],
-    parallelism: int = 4,
-) -> DataFrame:
-    """(subject, setting, seconds, split, label, prediction, n) for all subjects and settings.
+def leaf_paths(description: str) -> list[tuple[int, ...]]:
+    """For each leaf of a printed tree, in order, the branches taken from the root.
+
+    Each level is one blank deeper, the first has two; "If" takes branch 0 and
+    "Else" branch 1.
+    """
+    path: list[int] = []
+    leaves = []
+    for line in description.splitlines()[1:]:
+        depth = len(line) - len(line.lstrip()) - 2
+        word = line.strip().partition(" ")[0].rstrip(":")
+        if word in ("If", "Else"):
+            del path[depth:]
+            path.append(0 if word == "If" else 1)
+        elif word == "Predict":
+            leaves.append(tuple(path[:depth]))
+    return leaves
+
+
+def run_tree_depths(depths: Iterable[int], data: DataFrame) -> dict[int, Counts]:
+    """Confusion counts of decision trees of several maximal depths from one fit.
+
+    Trees grow level by level and greedily, so the tree of depth d is the deepest
+    tree cut off at depth d.  Documents are counted per leaf of the deepest tree
+    in one pass; a cut node predicts the majority of the training documents below
+    it, the lower label on a tie, as the tree itself does.
+    """
+    model = decision_tree(max(depths)).fit(data.where(F.col("split") == "train"))
+    counted = model.transform(data).groupBy("split", "leaf", "label").agg(F.count("*").alias("n"))
+    rows = counted.collect()  # at most 2 ** depth leaves, times splits and labels
+    paths = leaf_paths(model.toDebugString)
+    results = {}
+    for depth in depths:
+        votes: dict[tuple[int, ...], dict[float, int]] = {}
+        for r in rows:
+            node = paths[int(r["leaf"])][:depth]
+            labels = votes.setdefault(node, {0.0: 0, 1.0: 0})
+            if r["split"] == "train":
+                labels[r["label"]] += r["n"]
+        cells: dict[tuple[str, float, float], int] = {}
+        for r in rows:
+            labels = votes[paths[int(r["leaf"])][:depth]]
+            cell = (r["split"], r["label"], 1.0 if labels[1.0] > labels[0.0] else 0.0)
+            cells[cell] = cells.get(cell, 0) + r["n"]
+        results[depth] = [(*cell, n) for cell, n in cells.items()]
+    return results
+
+
+def _counts_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    return spark.createDataFrame(
+        rows,
+        "subject string, setting string, seconds double, "
+        "split string, label double, prediction double, n bigint",
+    )
+
+
+def _per_subject(examples: DataFrame, names: list[str], job: Callable, parallelism: int) -> list[tuple]:
+    """Run ``job(data) -> {setting: Counts}`` for each subject, a few at a time.
 
     ``examples`` has spark.ml vectors and is a stage table: every fit reads it,
-    none recomputes it.  Fits run a few at a time so that small ones overlap.
+    none recomputes it.  ``seconds`` is the subject's time divided by its settings.
     """
-    spark = examples.sparkSession
 
-    def job(task: tuple[tuple[int, str], str]) -> list[tuple]:
-        (position, name), setting = task
+    def timed(task: tuple[int, str]) -> list[tuple]:
+        position, name = task
         started = time.monotonic()
-        counts = run_one(estimators[setting].copy(), for_subject(examples, position))
-        seconds = time.monotonic() - started
-        return [(name, setting, seconds, *c) for c in counts]
+        results = job(for_subject(examples, position))
+        seconds = (time.monotonic() - started) / len(results)
+        return [(name, str(s), seconds, *c) for s, counts in results.items() for c in counts]
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        results = list(pool.map(job, product(enumerate(names), estimators)))
-    return spark.createDataFrame(
-        [row for rows in results for row in rows],
-        "subject string, setting string, seconds double, "
-        "split string, label double, prediction double, n bigint",
-    )
+        return [row for rows in pool.map(timed, enumerate(names)) for row in rows]
 
 
 def accuracy_table(counts: DataFrame) -> DataFrame:
@@ -149,10 +202,10 @@ def decision_tree_experiment(
     depths: Iterable[int] = DEPTHS,
     parallelism: int = 4,
 ) -> DataFrame:
-    """The depth sweep; ``setting`` is the maximal depth."""
+    """The depth sweep, one fit per subject; ``setting`` is the maximal depth."""
     vectors = with_ml_vectors(examples, buckets)
-    trees = {str(d): decision_tree(d) for d in depths}
-    return accuracy_table(sweep(vectors, names, trees, parallelism))
+    rows = _per_subject(vectors, names, lambda data: run_tree_depths(depths, data), parallelism)
+    return accuracy_table(_counts_table(examples.sparkSession, rows))
 
 
 def logistic_regression_experiment(
@@ -162,7 +215,11 @@ def logistic_regression_experiment(
     reg_params: Iterable[float] = (0.3,),
     parallelism: int = 4,
 ) -> DataFrame:
-    """The regularisation sweep; ``setting`` is the parameter."""
+    """The regularisation sweep, one fit per subject and value; ``setting`` is the value."""
     vectors = with_ml_vectors(examples, buckets)
-    models = {str(r): logistic_regression(r) for r in reg_params}
-    return accuracy_table(sweep(vectors, names, models, parallelism))
+
+    def job(data: DataFrame) -> dict[float, Counts]:
+        return {r: run_model(logistic_regression(r), data) for r in reg_params}
+
+    rows = _per_subject(vectors, names, job, parallelism)
+    return accuracy_table(_counts_table(examples.sparkSession, rows))
