@@ -13,6 +13,7 @@ from tomeworks.functions.markup import (
     header_line,
     through_header,
 )
+from tomeworks.operators.fence import computed_once
 from tomeworks.sources.corpus import document_lines
 
 
@@ -59,9 +60,7 @@ def strip_boilerplate(
         .when(stop <= start, F.lit(""))
         .otherwise(F.substring(text, start, stop - start))
     )
-    # Exploding a one-element array keeps the filter above the regular
-    # expressions; pushed below, it would evaluate them all a second time.
-    cut = found.select(*others, F.explode_outer(F.array(body)).alias("text"))
+    cut = computed_once(found, others, text=body)
     return cut.where(F.col("text").isNotNull()).select(*docs.columns)
 
 

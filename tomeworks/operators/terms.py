@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tomeworks.functions.text import terms
+from tomeworks.operators.fence import computed_once
 
 
 def _heads(ordered: Column) -> Column:
@@ -42,8 +43,10 @@ def term_bags(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
         ends,
         lambda h, end: F.struct(h["term"].alias("term"), (end - h["at"]).cast("bigint").alias("n")),
     )
-    bags = heads.select("doc_id", *keep, counted.alias("terms"))
-    return bags.select("doc_id", *keep, "terms", F.array_max("terms.n").alias("max_n"))
+    bags = heads.select("doc_id", *keep, counted.alias("_terms"))
+    return computed_once(
+        bags, ["doc_id", *keep], terms=F.col("_terms"), max_n=F.array_max("_terms.n")
+    )
 
 
 def term_counts(bags: DataFrame, *keep: str) -> DataFrame:
