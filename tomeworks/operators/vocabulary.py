@@ -27,8 +27,11 @@ def merge_frequencies(state: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def known_terms(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Distinct terms that are in the vocabulary already."""
-    return terms.select("term").intersect(vocabulary.select("term"))
+    """Distinct terms that are in the vocabulary already.
+
+    Made distinct first: repeats of a common term would all meet in one task of the join.
+    """
+    return terms.select("term").distinct().intersect(vocabulary.select("term"))
 
 
 def new_terms(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:

@@ -96,5 +96,6 @@ class Features:
     def manifest(self, metadata: DataFrame) -> DataFrame:
         """(doc_id, subjects, fold) of the documents with terms and metadata; folds
         are dealt over exactly these, so none is left short."""
-        kept = with_metadata(self.bags.where(F.col("max_n").isNotNull()).select("doc_id"), metadata)
+        counted = self.bags.where(F.col("max_n").isNotNull()).select("doc_id")
+        kept = stage(with_metadata(counted, metadata), "kept")
         return kept.join(cyclic_folds(kept), "doc_id")

@@ -13,14 +13,14 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core work when the input has fewer files than there are cores.
+    """Give every core work when a scan has few partitions.
 
-    One small file with one row group is one task, however many cores there are.
-    Inputs of many files are left alone: their scan is parallel already and
-    text should not be shuffled.
+    A small file may be one row group, hence one busy task, however many cores
+    there are.  Scans of many partitions are left alone: they are parallel
+    already, and text should not be shuffled.  ``df`` must be a plain scan.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < cores:
+    if df.rdd.getNumPartitions() < 4 * cores:
         return df.repartition(cores, key)
     return df
 

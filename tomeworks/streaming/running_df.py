@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tomeworks.functions.text import terms
 from tomeworks.operators.terms import term_bags
 from tomeworks.operators.vocabulary import document_count, document_frequency
+from tomeworks.sources.tables import spread
 
 DOCUMENT_SCHEMA = T.StructType(
     [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())]
@@ -56,9 +57,11 @@ def start_frequency_log(documents: DataFrame, folder: str, checkpoint: str) -> S
     """Log the document frequencies of each micro-batch below ``folder`` until none are left."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        bags = term_bags(batch)
+        # two small results from one pass over the batch
+        bags = term_bags(spread(batch.select("doc_id", "text"), "doc_id")).persist()
         document_frequency(bags).write.mode("overwrite").parquet(f"{folder}/terms/batch={batch_id}")
         document_count(bags).write.mode("overwrite").parquet(f"{folder}/docs/batch={batch_id}")
+        bags.unpersist()
 
     return (
         documents.writeStream.foreachBatch(write)
