@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tomeworks.functions import markup
 from tomeworks.operators.boilerplate import body_lines, marker_lines, strip_boilerplate
+from tomeworks.operators.terms import term_bags
 
 H, T = "*** START OF THE BOOK ***", "*** END OF THIS BOOK ***"
 
@@ -81,3 +82,13 @@ def test_document_id(spark, text, expected):
 def test_newlines(spark):
     df = spark.createDataFrame([("a\r\nb\rc\nd",)], "text string")
     assert df.select(markup.unix_newlines(F.col("text")).alias("t")).first()["t"] == "a\nb\nc\nd"
+
+
+def test_long_lines_and_documents(spark):
+    """Lines of a megabyte, wide characters included, must not exhaust the matcher."""
+    wide = "\U0001f600a" * 200_000
+    text = f"{wide}\n*** START {wide}\n{'word ' * 200_000}\n{wide}\n*** END OF THIS {wide}\n{wide}"
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    assert strip_boilerplate(docs).first()["text"] == f"{'word ' * 200_000}\n{wide}\n"
+    bag = term_bags(strip_boilerplate(docs)).first()
+    assert [tuple(t) for t in bag["terms"]] == [("word", 200_000)] and bag["max_n"] == 200_000

@@ -15,6 +15,7 @@ from tomeworks.operators.terms import term_bags, term_counts, term_frequencies
 from tomeworks.operators.vocabulary import document_frequency, merge_frequencies, vocabulary_growth
 from tomeworks.operators.weights import inverse_frequency
 from tomeworks.plans.features import Features, Settings
+from tomeworks.sources.tables import read_features
 from tomeworks.staging import stage
 
 TEXTS = ["red green blue", "red red green", "red yellow", "", "blue blue violet"]
@@ -134,6 +135,21 @@ def test_merge_and_growth(docs):
     assert got == want
 
 
+def test_saved_features(docs, spark, tmp_path):
+    subjects = spark.createDataFrame([(i, ["s"]) for i in range(4)], "doc_id bigint, subjects array<string>")
+    features, folder = Features(docs), str(tmp_path)
+    features.save(folder, subjects)
+    manifest = spark.read.parquet(f"{folder}/manifest").orderBy("doc_id").collect()
+    # document 3 has no terms and document 4 no metadata; folds leave no gap
+    assert [(r["doc_id"], r["fold"]) for r in manifest] == [(0, 0), (1, 1), (2, 2)]
+    vectors = read_features(spark, f"{folder}/vectors", folds=[1, 2])
+    assert sorted(r["doc_id"] for r in vectors.collect()) == [1, 2]
+    assert spark.read.parquet(f"{folder}/idf").count() == spark.read.parquet(f"{folder}/df").count() == 5
+    assert spark.read.parquet(f"{folder}/tf").count() == features.tf.count()
+    stats = {r["doc_id"]: r["n_words"] for r in features.vector_stats(features.manifest(subjects)).collect()}
+    assert stats == {0: 3, 1: 2, 2: 2}
+
+
 def test_cap_before_or_after_the_header_test(spark):
     texts = ["no header", "*** START x\nalpha", "*** START x\nbeta", "*** START x\ngamma"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")

@@ -23,7 +23,11 @@ def test_text_documents(spark, tmp_path):
     (tmp_path / "a" / "19.txt").write_bytes(b"one\r\ntwo\n")
     (tmp_path / "a" / "b" / "20.txt").write_text("three")
     (tmp_path / "a" / "b" / "21.zip").write_text("no")
-    rows = corpus.text_documents(spark, str(tmp_path)).orderBy("doc_id").collect()
+    (tmp_path / "a" / f"{'9' * 30}.txt").write_text("too long for an id")
+    (tmp_path / "a" / "readme.txt").write_text("no id")
+    found = corpus.text_documents(spark, str(tmp_path))
+    assert found.where("doc_id is null").count() == 2
+    rows = found.where("doc_id is not null").orderBy("doc_id").collect()
     assert [(r["doc_id"], r["file"], r["text"]) for r in rows] == [
         (19, "19.txt", "one\ntwo\n"),
         (20, "20.txt", "three"),

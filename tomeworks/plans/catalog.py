@@ -18,6 +18,7 @@ from tomeworks.operators import terms, vectors, vocabulary, weights
 from tomeworks.plans import experiments, inputs
 from tomeworks.plans.corpus_audit import audit as corpus_audit
 from tomeworks.plans.features import Features, Settings
+from tomeworks.plans.subject_metadata import subject_metadata
 from tomeworks.sources import corpus, listing, manifest, metadata, sinks, tables
 from tomeworks.staging import stage, stage_path
 from tomeworks.streaming import running_df
@@ -114,16 +115,22 @@ def s1_corpus_text(spark, folder):
 
 @query
 def s2_recursive_text_files(spark, folder):
-    """The corpus as one text file per document in nested folders, next to files of other kinds."""
+    """The corpus as one text file per document in sub-folders, next to files of another kind.
+
+    The id is found in the text, as in a real corpus.
+    """
     path = stage_path(spark, "files")
-    docs = inputs.documents(spark, folder).select("text", "source", "doc_id")
-    docs.repartition("doc_id").write.partitionBy("source", "doc_id").text(path)
+    marked = F.concat(F.lit("[EBook #"), F.col("doc_id").cast("string"), F.lit("]\n"), F.col("text"))
+    docs = inputs.documents(spark, folder).repartition("doc_id").select("source", marked.alias("value"))
+    docs.write.partitionBy("source").option("maxRecordsPerFile", 1).text(path)
     tables.read_table(spark, folder, "labels").write.mode("append").csv(path)
     files = corpus.text_documents(spark, path, "*.txt*")
+    # the text begins after the id line and ends before the line break the writer adds
+    body = F.regexp_replace("text", r"\A[^\n]*\n|\n\z", "")
     return files.select(
-        F.regexp_extract("path", "doc_id=([0-9]+)", 1).cast("bigint").alias("doc_id"),
-        (F.length("text") - 1).cast("bigint").alias("n_chars"),
-        markup.count_breaks(F.col("text")).cast("bigint").alias("n_lines"),
+        markup.document_id(F.col("text")).cast("bigint").alias("doc_id"),
+        F.length(body).cast("bigint").alias("n_chars"),
+        (markup.count_breaks(body) + 1).cast("bigint").alias("n_lines"),
     )
 
 
@@ -288,6 +295,14 @@ def k10_metrics_table(spark, folder):
     return _rounded(spark.read.parquet(path), "accuracy")
 
 
+@query
+def k10_vector_stats(spark, folder):
+    """Appended per run; here one run."""
+    path = stage_path(spark, "vector-stats")
+    sinks.append_table(_features(spark, folder).vector_stats(_manifest(spark, folder)), path)
+    return spark.read.parquet(path)
+
+
 # --- projections and filters -------------------------------------------------
 
 
@@ -623,6 +638,12 @@ def o1_top_subjects_of_run(spark, folder):
     return subj.top(subj.subject_frequency(_manifest(spark, folder)), 10)
 
 
+@query
+def s5_metadata_ranking(spark, folder):
+    """The whole metadata job: records with some unreadable ones, to a ranking of subjects."""
+    return subject_metadata(inputs.xml_records(spark, folder, broken_every=17)).ranking
+
+
 @query
 def o2_subject_ranking(spark, folder):
     ranking = subj.ranked(subj.field_frequency(_metadata_records(spark, folder)), "term")

@@ -18,6 +18,7 @@ from tomeworks.operators.terms import term_bags, term_frequencies
 from tomeworks.operators.vectors import bucket_sums, hash_terms, sparse_vectors
 from tomeworks.operators.vocabulary import document_count, document_frequency
 from tomeworks.operators.weights import inverse_frequency, tfidf, with_buckets
+from tomeworks.sources.sinks import save_by_fold, save_table
 from tomeworks.staging import stage
 
 
@@ -99,3 +100,23 @@ class Features:
         counted = self.bags.where(F.col("max_n").isNotNull()).select("doc_id")
         kept = stage(with_metadata(counted, metadata), "kept")
         return kept.join(cyclic_folds(kept), "doc_id")
+
+    def vector_stats(self, manifest: DataFrame) -> DataFrame:
+        """(doc_id, fold, buckets, n_words): terms with an IDF per vectorised document."""
+        words = self.tfidf.groupBy("doc_id").agg(F.count("*").alias("n_words"))
+        return manifest.select("doc_id", "fold", F.lit(self.settings.buckets).alias("buckets")).join(
+            words, "doc_id"
+        )
+
+    def save(self, folder: str, metadata: DataFrame) -> None:
+        """Write every stage below ``folder``: tf, df, idf, manifest, and vectors by fold.
+
+        Later runs read what they need with ``sources.tables.read_features``.
+        """
+        manifest = stage(self.manifest(metadata), "manifest")
+        save_table(self.tf, f"{folder}/tf")
+        save_table(self.idf.select("term", "df"), f"{folder}/df")
+        save_table(self.idf, f"{folder}/idf")
+        save_table(manifest, f"{folder}/manifest")
+        by_fold = self.vectors().join(manifest.select("doc_id", "fold"), "doc_id")
+        save_by_fold(by_fold, f"{folder}/vectors")

@@ -220,6 +220,8 @@ ORACLES: dict[str, str] = {
       ON s.doc_id = g.doc_id"""),
     "k9_exclusion_list": _sql(*LISTING, select="SELECT 'TOOBIG' AS reason, file, size_text FROM sized WHERE size_mb > 2.5"),
     "k10_metrics_table": _sql(*_PREDICTED, select="SELECT subject, split, count(*) AS n_docs, round(avg(CAST(label = prediction AS INTEGER)), 6) AS accuracy FROM predicted GROUP BY 1, 2"),
+    "k10_vector_stats": _sql(*_WEIGHTED, META, MANIFEST, select="SELECT doc_id, fold, 10000 AS buckets, count(*) AS n_words FROM tfidf JOIN manifest USING (doc_id) GROUP BY doc_id, fold"),
+    "s5_metadata_ranking": _sql(META, SUBJECT_ROWS, select="SELECT subject, count(*) AS n FROM subject_rows WHERE doc_id % 17 <> 0 GROUP BY subject"),
     "f1_document_id": _sql(MARKED, LINES, BOOK_IDS, select="SELECT doc_id, book_id FROM book_ids"),
     "f2_header_line": _sql(*_MARKED, select="SELECT doc_id, header_line FROM marks"),
     "f3_header_strip": _sql(*_MARKED, select="""SELECT l.doc_id, md5(string_agg(line, chr(10) ORDER BY l.line_no)) AS body_md5

@@ -13,7 +13,8 @@ def text_documents(spark: SparkSession, folder: str, name_glob: str = "*.txt*")
     """One row per file below ``folder``: doc_id, file, path, text.
 
     Files are found in all sub-folders; ``name_glob`` picks them by name and is
-    applied while listing.  The document id is the digits of the file name.
+    applied while listing.  The document id is the digits of the file name, NULL
+    when there are none or too many.
     """
     files = (
         spark.read.option("recursiveFileLookup", "true")
@@ -22,7 +23,7 @@ def text_documents(spark: SparkSession, folder: str, name_glob: str = "*.txt*")
     )
     name = F.col("_metadata.file_name")
     return files.select(
-        digits(name).cast("bigint").alias("doc_id"),
+        digits(name).try_cast("bigint").alias("doc_id"),
         name.alias("file"),
         F.col("_metadata.file_path").alias("path"),
         unix_newlines(F.col("value")).alias("text"),

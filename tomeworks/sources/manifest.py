@@ -16,9 +16,9 @@ def parse_manifest(lines: DataFrame, column: str = "value") -> DataFrame:
     """(doc_id, file, fold, subjects) from manifest lines."""
     fields = lines.select(comma_fields(F.col(column)).alias("f"))
     return fields.select(
-        digits(F.get("f", F.lit(2))).cast("bigint").alias("doc_id"),
+        digits(F.get("f", F.lit(2))).try_cast("bigint").alias("doc_id"),
         bare(F.get("f", F.lit(0))).alias("file"),
-        F.trim(F.get("f", F.lit(1))).cast("int").alias("fold"),
+        F.trim(F.get("f", F.lit(1))).try_cast("int").alias("fold"),
         F.filter(F.slice("f", 4, F.size("f")), lambda s: F.length(s) > 0).alias("subjects"),
     )
 

@@ -28,7 +28,7 @@ def parse_metadata(records: DataFrame, column: str = "xml") -> DataFrame:
     parsed = records.select(F.from_xml(F.col(column), RECORD_SCHEMA, _OPTIONS).alias("r"))
     subjects = F.filter(F.col("r.ebook.subject.Description.value"), lambda s: s.isNotNull())
     return parsed.select(
-        digits(ebook_id(F.col("r.ebook._about"))).cast("bigint").alias("doc_id"),
+        digits(ebook_id(F.col("r.ebook._about"))).try_cast("bigint").alias("doc_id"),
         F.coalesce(subjects, F.array().cast("array<string>")).alias("subjects"),
         (F.col("r").isNull() | F.col("r._corrupt_record").isNotNull()).alias("is_bad"),
     )
