@@ -38,13 +38,18 @@ def without_excluded(files: DataFrame, exclusions: DataFrame) -> DataFrame:
 
 
 def first_documents(docs: DataFrame, stop_after: int = 0, key: str = "doc_id") -> DataFrame:
-    """The first ``stop_after`` documents by key; 0 keeps them all."""
+    """The first ``stop_after`` documents by a unique key; 0 keeps them all.
+
+    Only keys are ordered.  The last key that still counts becomes a filter on
+    the documents, so their text is neither sorted nor moved.
+    """
     if stop_after <= 0:
         return docs
     if stop_after <= _TOP_K_ROWS:
-        return docs.orderBy(key).limit(stop_after)
-    positions = dense_sequence(docs, key)
-    return docs.join(positions.where(F.col("position") < stop_after).select(key), key, "left_semi")
+        kept = docs.select(key).orderBy(key).limit(stop_after)
+    else:
+        kept = dense_sequence(docs, key).where(F.col("position") < stop_after)
+    return docs.where(F.col(key) <= kept.select(F.max(key)).scalar())
 
 
 def non_empty(df: DataFrame, column: str) -> DataFrame:
