@@ -20,7 +20,7 @@ from tomeworks.plans.corpus_audit import audit as corpus_audit
 from tomeworks.plans.features import Features, Settings
 from tomeworks.plans.subject_metadata import subject_metadata
 from tomeworks.sources import corpus, listing, manifest, metadata, sinks, tables
-from tomeworks.staging import stage, stage_path
+from tomeworks.staging import stage, stage_path, still_staged
 from tomeworks.streaming import running_df
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,7 +28,7 @@ QUERIES: dict[str, Query] = {}
 
 _IDF_CAP = 100  # documents that take part in the capped runs
 _FEATURES: dict[tuple, Features] = {}
-_STAGED: dict[tuple, object] = {}
+_STAGED: dict[tuple, tuple] = {}
 
 
 def query(function: Query) -> Query:
@@ -39,27 +39,29 @@ def query(function: Query) -> Query:
 def _features(spark: SparkSession, folder: str, settings: Settings = Settings()) -> Features:
     """Feature tables are staged once per session and shared by the queries."""
     key = (spark.sparkContext.applicationId, folder, settings)
-    if key not in _FEATURES:
+    known = _FEATURES.get(key)
+    if known is None or not all(still_staged(df) for df in known.staged()):
         _FEATURES[key] = Features(inputs.corpus(spark, folder), settings)
     return _FEATURES[key]
 
 
-def _once(spark: SparkSession, folder: str, name: str, make: Callable[[], object]):
+def _once(spark: SparkSession, folder: str, name: str, make: Callable[[], tuple]) -> tuple:
+    """What ``make`` returns, a tuple that begins with a stage table, made once per session."""
     key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _STAGED:
+    if key not in _STAGED or not still_staged(_STAGED[key][0]):
         _STAGED[key] = make()
     return _STAGED[key]
 
 
 def _manifest(spark: SparkSession, folder: str) -> DataFrame:
-    def make() -> DataFrame:
-        return stage(_features(spark, folder).manifest(inputs.metadata(spark, folder)), "manifest")
+    def make() -> tuple:
+        return (stage(_features(spark, folder).manifest(inputs.metadata(spark, folder)), "manifest"),)
 
-    return _once(spark, folder, "manifest", make)
+    return _once(spark, folder, "manifest", make)[0]
 
 
 def _examples(spark: SparkSession, folder: str, plan: str = "7/2/1", weighting: str = "tfidf"):
-    def make():
+    def make() -> tuple:
         names = subj.top_names(subj.subject_frequency(_manifest(spark, folder)))
         vecs = _features(spark, folder).vectors(weighting)
         rows = datasets.training_set(vecs, _manifest(spark, folder), names, plan)
@@ -69,31 +71,31 @@ def _examples(spark: SparkSession, folder: str, plan: str = "7/2/1", weighting:
 
 
 def _predictions(spark: SparkSession, folder: str, plan: str = "7/2/1") -> DataFrame:
-    def make() -> DataFrame:
-        return stage(experiments.naive_bayes_predictions(*_examples(spark, folder, plan)), "predictions")
+    def make() -> tuple:
+        return (stage(experiments.naive_bayes_predictions(*_examples(spark, folder, plan)), "predictions"),)
 
-    return _once(spark, folder, f"predictions-{plan}", make)
+    return _once(spark, folder, f"predictions-{plan}", make)[0]
 
 
 def _statuses(spark: SparkSession, folder: str) -> DataFrame:
-    def make() -> DataFrame:
+    def make() -> tuple:
         files = inputs.marked(spark, folder).select("seq", "file", "text")
-        return stage(corpus_audit(files, inputs.metadata_keys(spark, folder)), "audit")
+        return (stage(corpus_audit(files, inputs.metadata_keys(spark, folder)), "audit"),)
 
-    return _once(spark, folder, "audit", make)
+    return _once(spark, folder, "audit", make)[0]
 
 
 def _text_statuses(spark: SparkSession, folder: str) -> DataFrame:
     """Duplicates by whole text: the key is the text's digest."""
 
-    def make() -> DataFrame:
+    def make() -> tuple:
         docs = inputs.documents(spark, folder).select("doc_id", F.md5("text").alias("doc_key"))
         keyed = stage(docs.select(F.col("doc_id").alias("seq"), "doc_key"), "digests")
         labelled = tables.read_table(spark, folder, "labels").select("doc_id")
         known = docs.join(labelled, "doc_id", "left_semi").select("doc_key")
-        return stage(audit.file_statuses(keyed, known), "text-statuses")
+        return (stage(audit.file_statuses(keyed, known), "text-statuses"),)
 
-    return _once(spark, folder, "text-statuses", make)
+    return _once(spark, folder, "text-statuses", make)[0]
 
 
 def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -812,7 +814,7 @@ def m12_logistic_regression(spark, folder):
 @query
 def m13_logistic_regression_sweep(spark, folder):
     return _model_sweep(
-        experiments.logistic_regression_experiment, spark, folder, reg_params=(0.03, 0.1, 0.3)
+        experiments.logistic_regression_experiment, spark, folder, reg_params=(0.1, 0.3)
     )
 
 
@@ -944,12 +946,9 @@ def x15_comma_split(spark, folder):
 def _document_files(spark, folder) -> str:
     """The corpus as several files, so that the stream has several batches."""
 
-    def make() -> str:
-        path = stage_path(spark, "arrivals")
-        inputs.documents(spark, folder).select("doc_id", "text").repartition(4, "doc_id").write.parquet(path)
-        return path
-
-    return _once(spark, folder, "arrivals", make)
+    path = stage_path(spark, "arrivals")
+    inputs.documents(spark, folder).select("doc_id", "text").repartition(4, "doc_id").write.parquet(path)
+    return path
 
 
 @query

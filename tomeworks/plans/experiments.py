@@ -213,7 +213,7 @@ def logistic_regression_experiment(
     names: list[str],
     buckets: int = DEFAULT_BUCKETS,
     reg_params: Iterable[float] = (0.3,),
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> DataFrame:
     """The regularisation sweep, one fit per subject and value; ``setting`` is the value."""
     vectors = with_ml_vectors(examples, buckets)

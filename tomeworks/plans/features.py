@@ -46,6 +46,10 @@ class Features:
         self.docs = docs
         self.settings = settings
 
+    def staged(self) -> list[DataFrame]:
+        """The stage tables made so far."""
+        return [self.__dict__[name] for name in ("bags", "idf") if name in self.__dict__]
+
     @cached_property
     def bodies(self) -> DataFrame:
         """The documents whose terms are counted."""

@@ -53,3 +53,13 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def still_staged(df: DataFrame) -> bool:
+    """Whether the files of a stage table are still there, for tables kept across jobs."""
+    context = df.sparkSession.sparkContext
+    files = df.inputFiles()
+    if not files:
+        return False
+    path = context._jvm.org.apache.hadoop.fs.Path(files[0])
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).exists(path)
