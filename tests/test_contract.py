@@ -25,13 +25,18 @@ def db(folder):
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == SLOW | {
-        "w1_hashed_folds", "o3_sample_rows", "m5_hash_vectors_fast", "m10_decision_tree"
+        "w1_hashed_folds", "o3_sample_rows", "m5_hash_vectors_fast", "m10_decision_tree",
+        "m10_embedding_trees", "m12_embedding_regressions",
     }
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
 def test_query(spark, folder, db, name):
-    result = QUERIES[name](spark, folder).toPandas()
+    df = QUERIES[name](spark, folder)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
+        assert unwanted not in plan
+    result = df.toPandas()
     assert len(result) > 0
     if name in ORACLES:
         expected = db.execute(ORACLES[name]).fetch_df()

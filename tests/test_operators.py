@@ -76,9 +76,23 @@ def test_lookup_is_the_same_join_at_any_limit(spark, limit):
     joined = keyed_lookup(facts, keys, "key", "n", broadcast_bytes=limit)
     assert joined.columns == ["key", "id", "n"]
     assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, facts.join(keys, "key").collect()))
-    if limit == 0:
-        # nothing is frequent enough for one broadcast row: everything takes the shuffle
-        assert "SortMergeJoin" in plan_of(facts.hint("merge").join(keys, "key"))
+
+
+def test_lookup_broadcasts_frequent_keys_and_shuffles_the_rest(spark):
+    facts = spark.range(3000).select(
+        "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("key")
+    )
+    keys = facts.groupBy("key").agg(F.count("*").alias("n"))
+    facts, keys = stage(facts, "facts"), stage(keys, "keys")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = keyed_lookup(facts, keys, "key", "n", broadcast_bytes=100_000)
+        plan = plan_of(joined)
+        # the frequent keys, once to take their rows and once to leave them out
+        assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
+        assert joined.count() == 3000 and joined.where("key = 'hot'").count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_frequencies_and_idf(docs):

@@ -8,7 +8,7 @@ Keys must be unique, so no slab can grow beyond its share.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tomeworks.staging import stage
@@ -20,7 +20,7 @@ def _slabs(df: DataFrame, key: str, *others: str) -> DataFrame:
     return stage(ranged.withColumn("_slab", F.spark_partition_id()), "slabs")
 
 
-def _offsets(slabs: DataFrame, amount: F.Column) -> DataFrame:
+def _offsets(slabs: DataFrame, amount: Column) -> DataFrame:
     before = Window.orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)
     sizes = slabs.groupBy("_slab").agg(amount.alias("_size"))
     return sizes.select("_slab", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))

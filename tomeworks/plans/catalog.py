@@ -801,6 +801,34 @@ def m10_decision_tree(spark, folder):
     return _model_sweep(experiments.decision_tree_experiment, spark, folder, of=1, depths=(3,))
 
 
+def _embedding_examples(spark, folder):
+    """Ready-made vectors: the labels stand for subjects, folds are dealt by id."""
+
+    def make() -> tuple:
+        rows = tables.read_table(spark, folder, "embeddings").select(
+            F.col("vec_id").alias("doc_id"), F.array(F.col("label").cast("string")).alias("subjects"), "embedding"
+        )
+        names = subj.top_names(subj.subject_frequency(rows))
+        entries = F.transform("embedding", lambda w, i: F.struct(i.alias("bucket"), w.cast("double").alias("w")))
+        run = folds.cyclic_folds(rows).join(rows.select("doc_id", "subjects"), "doc_id")
+        vecs = rows.select("doc_id", entries.alias("vec"))
+        return stage(datasets.training_set(vecs, run, names, "7/2/1"), "embeddings"), names
+
+    return _once(spark, folder, "embeddings", make)
+
+
+@query
+def m10_embedding_trees(spark, folder):
+    return experiments.decision_tree_experiment(*_embedding_examples(spark, folder), buckets=64)
+
+
+@query
+def m12_embedding_regressions(spark, folder):
+    return experiments.logistic_regression_experiment(
+        *_embedding_examples(spark, folder), buckets=64, reg_params=(0.01,)
+    )
+
+
 @query
 def m11_decision_tree_sweep(spark, folder):
     return _model_sweep(experiments.decision_tree_experiment, spark, folder)
