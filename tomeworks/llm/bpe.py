@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tomeworks.llm.common import documents, query, whole
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-_REMEMBERED = 1 << 20
+_REMEMBERED = 400_000
 
 # Odd 64-bit multipliers that spread the displacements.
 _STEP, _MIX, _MASK = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, (1 << 64) - 1
@@ -98,6 +98,22 @@ class PerfectHash:
         return self.slots[slot] if self.keys[slot] == key else -1
 
 
+class Memory(dict):
+    """Pre-token -> its ids as packed 32-bit integers; what is missing is found, and kept while there is room."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, pre_token: str) -> bytes:
+        got = np.array(self.find(pre_token), dtype=np.int32).tobytes()
+        if len(pre_token) < 64:
+            if len(self) >= _REMEMBERED:
+                self.clear()
+            self[pre_token] = got
+        return got
+
+
 class Encoder:
     def __init__(self, entries: list[bytes], pattern: str = public_tokenizers.PATTERN):
         self.entries = entries
@@ -115,7 +131,7 @@ class Encoder:
     def _ready(self):
         self.split = regex.compile(self.pattern).findall
         self.rank = {entry: rank for rank, entry in enumerate(self.entries)}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = Memory(self.piece)
 
     def merged(self, piece: bytes) -> tuple[int, ...]:
         """The ids of one pre-token that is no entry itself."""
@@ -152,21 +168,11 @@ class Encoder:
         found = self.hash.find(data)
         return (found,) if found >= 0 else self.merged(data)
 
-    def encode(self, text: str) -> list[int]:
-        known, ids = self.known, []
-        for pre_token in self.split(text):
-            got = known.get(pre_token)
-            if got is None:
-                got = self.piece(pre_token)
-                if len(known) >= _REMEMBERED:
-                    known.clear()
-                if len(pre_token) < 100:
-                    known[pre_token] = got
-            ids += got
-        return ids
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.known.__getitem__, self.split(text))), dtype=np.int32)
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.entries.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.entries.__getitem__, ids.tolist()))
 
 
 def encoder(spark: SparkSession, path: str | None = None):
@@ -181,8 +187,8 @@ def token_ids(shared, text: Column) -> Column:
     def ids(texts: pa.Array) -> pa.Array:
         encode = shared.value.encode
         offsets, values = [0], []
-        for text in texts.to_pylist():
-            part = np.array(encode(text or ""), dtype=np.int32)
+        for text in (x.as_py() for x in texts):
+            part = encode(text or "")
             values.append(part)
             offsets.append(offsets[-1] + len(part))
         flat = np.concatenate(values) if values else np.zeros(0, np.int32)
@@ -197,7 +203,8 @@ def token_bytes(shared, ids: Column) -> Column:
     @F.arrow_udf("binary")
     def decoded(lists: pa.Array) -> pa.Array:
         decode = shared.value.decode
-        return pa.array([decode(ids or ()) for ids in lists.to_pylist()], pa.binary())
+        values = (x.values for x in lists)  # null for a null list
+        return pa.array([decode(v.to_numpy()) if v is not None else b"" for v in values], pa.binary())
 
     return decoded(ids)
 
