@@ -17,8 +17,8 @@ QUERIES: dict[str, Query] = {}
 BLANKS = r"[\x20\x09-\x0D]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-# A small key table is broadcast up to this many rows; a larger one is joined by shuffling.
-BROADCAST_ROWS = 100_000
+# A table of short keys is broadcast up to this many rows (some 20 MB); a larger one is joined by shuffling.
+BROADCAST_ROWS = 300_000
 
 
 def query(function: Query) -> Query:
