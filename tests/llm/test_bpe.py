@@ -63,3 +63,20 @@ def test_query(spark, folder, tiktoken_encoding):
         assert row.n_tokens == len(ids)
         assert row.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256(texts[row.doc_id].encode()).hexdigest()
+
+
+def test_the_plain_pattern_splits_alike(encoder):
+    every = [chr(c) for c in range(0x180) if bpe._PLAIN.fullmatch(chr(c))]
+    assert len(every) > 250
+    for a in every:
+        text = f"{a}x {a}{a} 1{a}2 {a}\n {a} 's{a}"
+        assert encoder.split_plain(text) == encoder.split_any(text), repr(a)
+
+
+def test_memory_keeps_what_is_asked_for(monkeypatch):
+    monkeypatch.setattr(bpe, "_REMEMBERED", 3)
+    asked = []
+    memory = bpe.Memory(lambda t: asked.append(t) or (len(t),))
+    for token in "a b c a d a e f a g".split():
+        memory[token]
+    assert asked == ["a", "b", "c", "d", "e", "f", "g"]

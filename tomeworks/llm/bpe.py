@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 
 import numpy as np
 import public_tokenizers
@@ -28,6 +29,12 @@ from tomeworks.llm.common import documents, query, whole
 VOCABULARY = "byte_bpe_50k.tiktoken"
 _REMEMBERED = 400_000
 
+# Most texts only have these characters: ASCII without separators, and Latin letters.  For them a pattern of
+# plain ranges, the same as public_tokenizers.PATTERN there, splits faster.
+_PLAIN = re.compile("[\\x00-\\x1b\\x20-\\x7fÀ-ÖØ-öø-ž]*")
+_L, _N = "A-Za-zÀ-ÖØ-öø-ž", "0-9"
+_PLAIN_PATTERN = rf"""'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+"""
+
 # Odd 64-bit multipliers that spread the displacements.
 _STEP, _MIX, _MASK = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, (1 << 64) - 1
 
@@ -99,16 +106,24 @@ class PerfectHash:
 
 
 class Memory(dict):
-    """Pre-token -> its ids as packed 32-bit integers; what is missing is found, and kept while there is room."""
+    """Pre-token -> its ids as packed 32-bit integers, in two generations.
+
+    When the younger is full it becomes the older and the older is forgotten;
+    what is asked for again moves back to the younger.
+    """
 
     def __init__(self, find):
         super().__init__()
         self.find = find
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, pre_token: str) -> bytes:
-        got = np.array(self.find(pre_token), dtype=np.int32).tobytes()
+        got = self.older.get(pre_token)
+        if got is None:
+            got = np.array(self.find(pre_token), dtype=np.int32).tobytes()
         if len(pre_token) < 64:
             if len(self) >= _REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[pre_token] = got
         return got
@@ -129,7 +144,8 @@ class Encoder:
         self._ready()
 
     def _ready(self):
-        self.split = regex.compile(self.pattern).findall
+        self.split_any = regex.compile(self.pattern).findall
+        self.split_plain = re.compile(_PLAIN_PATTERN).findall if self.pattern == public_tokenizers.PATTERN else None
         self.rank = {entry: rank for rank, entry in enumerate(self.entries)}
         self.known = Memory(self.piece)
 
@@ -168,6 +184,10 @@ class Encoder:
         found = self.hash.find(data)
         return (found,) if found >= 0 else self.merged(data)
 
+    def split(self, text: str) -> list[str]:
+        plain = self.split_plain and _PLAIN.fullmatch(text)
+        return self.split_plain(text) if plain else self.split_any(text)
+
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(map(self.known.__getitem__, self.split(text))), dtype=np.int32)
 
