@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tomeworks.llm import bpe, chunk_dedup, line_dedup, near_dup, quality_rules, secret_scan, shards  # noqa: F401
+from tomeworks.llm import bpe, chunk_dedup, decontaminate, line_dedup, near_dup, quality_rules, secret_scan, shards  # noqa: F401
 from tomeworks.llm.common import QUERIES
 
 ORACLES: dict[str, str] = {}
