@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from tomeworks.llm import bpe, chunk_dedup, decontaminate, line_dedup, near_dup, quality_rules, secret_scan, shards  # noqa: F401
+from tomeworks.llm import (  # noqa: F401
+    bpe,
+    chunk_dedup,
+    decontaminate,
+    language_id,
+    line_dedup,
+    near_dup,
+    quality_rules,
+    secret_scan,
+    shards,
+)
 from tomeworks.llm.common import QUERIES
 
 ORACLES: dict[str, str] = {}
