@@ -157,6 +157,12 @@ def judge(docs: DataFrame) -> DataFrame:
     return judged(stage(measured(docs), "counted"))
 
 
+def stage_docs(docs: DataFrame) -> DataFrame:
+    """For a pipeline: the documents that are kept, with their own columns."""
+    rows = measured(docs.select(F.struct("*").alias("_row"), "lang", "source", "text")).drop("text")
+    return judged(stage(rows, "counted")).where("kept").select("_row.*")
+
+
 @query
 def op4_quality_rules(spark, folder):
     docs = measured(documents(spark, folder).select("doc_id", "lang", "source", "text")).drop("text")
