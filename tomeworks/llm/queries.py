@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tomeworks.llm import (  # noqa: F401
+    attention_lm,
     bpe,
     chunk_dedup,
     decontaminate,
