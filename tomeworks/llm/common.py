@@ -12,11 +12,6 @@ from tomeworks.sources.tables import read_table
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Words are runs of anything but space, tab, newline, vertical tab, form feed and carriage return:
-# just what bytes.split() separates.
-BLANKS = r"[\x20\x09-\x0D]+"
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-
 # A table of short keys is broadcast up to this many rows (some 20 MB); a larger one is joined by shuffling.
 BROADCAST_ROWS = 300_000
 
@@ -44,12 +39,6 @@ def doc_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.unhex(F.md5(F.concat(number, F.lit(":"), whole(F.col(text)))))
 
 
-def folded_words(text: Column) -> Column:
-    """The words in lower case (A-Z only), joined by one space; empty for no words or no text."""
-    lower = F.translate(whole(text), _UPPER, _UPPER.lower())
-    return F.trim(F.regexp_replace(lower, BLANKS, " "))
-
-
 def small_join(left: DataFrame, right: DataFrame, rows: int, condition: Column | list[str], how: str) -> DataFrame:
     """A join whose right side, known to have ``rows`` rows, is broadcast only when that is few."""
     return left.join(F.broadcast(right) if rows <= BROADCAST_ROWS else right, condition, how)

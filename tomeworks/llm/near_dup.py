@@ -24,6 +24,7 @@ one component and all carry its id.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tomeworks.llm.common import doc_key, documents, folded_words, query, small_join
+from tomeworks.llm.common import doc_key, documents, query, small_join
 from tomeworks.llm.components import components
 from tomeworks.staging import stage
 
@@ -69,9 +70,13 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingles(words: str, size: int) -> np.ndarray:
+def words_of(text: str | None) -> list[bytes]:
+    """bytes.lower() folds A-Z and bytes.split() cuts at the six blanks, nothing else."""
+    return (text or "").encode(errors="replace").lower().split()
+
+
+def shingles(split: list[bytes], size: int) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles; with fewer words the whole sequence is one."""
-    split = words.encode().split()
     if not split:
         return np.zeros(0, np.uint64)
     h = np.fromiter(map(_WORDS.__getitem__, split), np.uint64, len(split))
@@ -109,27 +114,35 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+_SIGNED = "doc_id bigint, row_key binary, key binary, n_shingles bigint, bands array<bigint>"
+
+
 def _signed(size: int) -> Callable:
+    """The class, which is the digest of the words, and the signature of each row."""
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, bands = [], []
-            for words in batch.column("words"):
-                hashes = shingles(words.as_py(), size)
+            keys, counts, bands = [], [], []
+            for text in batch.column("text"):
+                words = words_of(text.as_py())
+                hashes = shingles(words, size)
+                keys.append(hashlib.md5(b" ".join(words)).digest())
                 counts.append(len(hashes))
                 bands.append(band_keys(hashes) if len(hashes) else None)
-            columns = [*(batch.column(c) for c in ("doc_id", "key")), pa.array(counts, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "n_shingles", "bands"])
+            columns = [
+                *(batch.column(c) for c in ("doc_id", "row_key")),
+                pa.array(keys, pa.binary()),
+                pa.array(counts, pa.int64()),
+                pa.array(bands, pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row_key", "key", "n_shingles", "bands"])
 
     return make
 
 
-def _class_key(words: Column) -> Column:
-    return F.unhex(F.md5(words))
-
-
 def _sets(size: int) -> Callable[[Column], Column]:
-    def make(words: pa.Array) -> pa.Array:
-        return pa.array([shingles(w.as_py(), size).view(np.int64) for w in words], pa.list_(pa.int64()))
+    def make(texts: pa.Array) -> pa.Array:
+        return pa.array([shingles(words_of(t.as_py()), size).view(np.int64) for t in texts], pa.list_(pa.int64()))
 
     return F.arrow_udf(make, "array<bigint>")
 
@@ -216,21 +229,21 @@ def _compare(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     return compare
 
 
-def links(signed: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def links(classes: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
     """(a, b): confirmed links between classes that imply all others.
 
-    ``signed``: stage table (key, n_shingles, bands), one row per class;
-    ``texts``: (key, words), at least one row per class.
+    ``classes``: stage table (key, n_shingles, bands, row_key); ``row_key`` names a row of the class in ``rows`` (row_key, text).
+    Only the texts of classes that share a bucket are read again.
     """
-    buckets = signed.where("n_shingles > 0").select("key", "n_shingles", F.explode("bands").alias("bucket"))
+    buckets = classes.where("n_shingles > 0").select("key", "n_shingles", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n_members")).where("n_members > 1")
     members = stage(buckets.join(shared, "bucket"), "members")
-    wanted = stage(members.select("key").distinct(), "candidates")
-    chosen = small_join(texts, wanted, wanted.count(), ["key"], "left_semi").dropDuplicates(["key"])
-    sets = stage(chosen.select("key", _sets(size)(F.col("words")).alias("set")), "sets")
+    wanted = stage(members.select("key").distinct().join(classes.select("key", "row_key"), "key"), "candidates")
+    chosen = small_join(rows, wanted, wanted.count(), ["row_key"], "inner").dropDuplicates(["key"])
+    sets = stage(chosen.select("key", _sets(size)(F.col("text")).alias("set")), "sets")
     stars = stage(_confirmed(_star_pairs(members, percent), sets, percent), "star-links")
-    rows = stage(_rest_blocks(members, stage(components(stars), "roots")), "blocks")
-    rest = rows.join(sets, "key").groupBy("bucket", "ublock", "mblock").applyInPandas(_compare(percent), "a binary, b binary")
+    blocks = stage(_rest_blocks(members, stage(components(stars), "roots")), "blocks")
+    rest = blocks.join(sets, "key").groupBy("bucket", "ublock", "mblock").applyInPandas(_compare(percent), "a binary, b binary")
     return stars.unionByName(rest)
 
 
@@ -239,21 +252,20 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 
     ``row_key`` is ``common.doc_key()``; rows with the same one are in one component.
     """
-    keyed = docs.select(F.col("doc_id").cast("bigint"), doc_key().alias("row_key"), folded_words(F.col("text")).alias("words"))
-    keyed = keyed.withColumn("key", _class_key(F.col("words")))
-    keys = stage(keyed.select("doc_id", "row_key", "key"), "document-keys")
-    firsts = keys.groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")).alias("first"))
-    made = keyed.mapInArrow(_signed(size), "doc_id bigint, key binary, n_shingles bigint, bands array<bigint>")
+    rows = docs.select(F.col("doc_id").cast("bigint"), doc_key().alias("row_key"), F.col("text").cast("string"))
+    signed = stage(rows.mapInArrow(_signed(size), _SIGNED), "signatures")
     # the rows of a class agree in all but the id
-    signed = stage(made.groupBy("key").agg(F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")), "classes")
-    found = stage(links(signed, keyed.select("key", "words"), size, percent), "links")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")).alias("first")
+    same = [F.first(c).alias(c) for c in ("n_shingles", "bands")]
+    classes = stage(signed.groupBy("key").agg(*same, first, F.min("row_key").alias("row_key")), "classes")
+    found = stage(links(classes, rows.select("row_key", "text"), size, percent), "links")
     roots = stage(components(found), "roots")
-    classes = signed.select("key", "n_shingles").join(firsts, "key").join(roots, F.col("key") == F.col("node"), "left")
-    classes = classes.select("key", "n_shingles", F.coalesce("root", "key").alias("root"), "first")
-    smallest = classes.groupBy("root").agg(F.min("first").alias("smallest"))
-    named = classes.join(smallest, "root").select("key", "n_shingles", F.col("smallest.doc_id").alias("component_id"))
+    rooted = classes.select("key", "first").join(roots, F.col("key") == F.col("node"), "left")
+    rooted = rooted.select("key", F.coalesce("root", "key").alias("root"), "first")
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("smallest"))
+    named = rooted.join(smallest, "root").select("key", F.col("smallest.doc_id").alias("component_id"))
     alone = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return keys.join(named, "key").select("row_key", "doc_id", "n_shingles", alone.alias("component_id"))
+    return signed.join(named, "key").select("row_key", "doc_id", "n_shingles", alone.alias("component_id"))
 
 
 def stage_docs(docs: DataFrame) -> DataFrame:
