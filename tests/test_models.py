@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from tomeworks.operators.metrics import accuracy, binary_metrics, confusion
 from tomeworks.operators.naive_bayes import fit_naive_bayes, predict_naive_bayes
-from tomeworks.operators.vectors import with_ml_vectors
+from tomeworks.operators.vectors import bucket_sums, hash_terms, with_ml_vectors
 from tomeworks.plans import experiments, inputs
 from tomeworks.plans.features import Features, Settings
 
-# Toy labelled vectors (label, [x, y]) per split.
+# Toy labelled vectors (label, [x, y]) per split.
 TOY = {
     "train": [(0.0, [0.0, 3.4]), (1.0, [1.0, 4.3]), (1.0, [2.0, 1.2])],
     "test": [(0.0, [0.0, 3.4]), (0.0, [3.0, 1.3]), (1.0, [2.5, 1.2])],
@@ -46,7 +46,7 @@ def test_ml_vectors(toy):
 
 
 def ml_bayes(vectors, position):
-    data = experiments.for_subject(vectors.withColumn("id", F.col("doc_id")), position)
+    data = vectors.select("split", F.get("labels", F.lit(position)).alias("label"), "features")
     model = experiments.ml_naive_bayes().fit(data.where("split = 'train'"))
     wide = vectors.select("doc_id", "split", F.get("labels", F.lit(position)).alias("label"), "features")
     return model, {r["doc_id"]: r["prediction"] for r in model.transform(wide).collect()}
@@ -72,55 +72,87 @@ def test_naive_bayes_equals_spark_ml_on_toy_vectors(toy):
 
 
 def test_naive_bayes_equals_spark_ml_on_documents(real):
-    examples, names = real
-    predictions = experiments.naive_bayes_predictions(examples, names, buckets=500).collect()
-    vectors = with_ml_vectors(examples, 500)
-    for i, name in enumerate(names):
+    assert (real.buckets, real.weighting, real.log_idf) == (500, "tfidf", True)
+    predictions = experiments.naive_bayes_predictions(real).collect()
+    vectors = with_ml_vectors(real.rows, 500)
+    for i, name in enumerate(real.names):
         _, want = ml_bayes(vectors, i)
         assert {r["doc_id"]: r["prediction"] for r in predictions if r["subject"] == name} == want
 
 
 def test_tree_depths_from_one_fit(real):
-    examples, names = real
-    vectors = with_ml_vectors(examples, 500)
+    vectors = experiments.ml_vectors(real)
     for i in (0, 2, 5):
         data = experiments.for_subject(vectors, i)
         together = experiments.run_tree_depths((1, 2, 3, 4), data)
         for depth in (1, 2, 3, 4):
-            alone = experiments.run_model(experiments.decision_tree(depth), data)
+            alone, _ = experiments.run_model(experiments.decision_tree(depth), data)
             assert sorted(together[depth]) == sorted(alone)
 
 
-def test_leaf_paths():
-    printed = (
-        "DecisionTreeClassificationModel: depth=2\n  If (feature 1 <= 0.5)\n   If (feature 2 <= 1.0)\n"
-        "    Predict: 0.0\n   Else (feature 2 > 1.0)\n    Predict: 1.0\n  Else (feature 1 > 0.5)\n   Predict: 1.0\n"
-    )
-    assert experiments.leaf_paths(printed) == [(0, 0), (0, 1), (1,)]
-    assert experiments.leaf_paths("Model: depth=0\n  Predict: 0.0\n") == [()]
+def test_leaf_paths(spark):
+    points = [(0.0, 0.0, 0.0), (0.0, 1.0, 1.0), (1.0, 0.0, 0.0), (1.0, 1.0, 0.0), (1.0, 1.0, 0.0)] * 4
+    data = spark.createDataFrame([(Vectors.dense(x, y), label) for x, y, label in points], ["features", "label"])
+    model = experiments.decision_tree(3).fit(data)
+    paths = experiments.leaf_paths(model)
+    assert len(paths) == model.numNodes // 2 + 1 == 3
+    assert {int(r["leaf"]) for r in model.transform(data).collect()} == {0, 1, 2}
+    constant = experiments.decision_tree(3).fit(data.withColumn("label", F.lit(1.0)))
+    assert experiments.leaf_paths(constant) == [()]
+
+
+def test_fits_take_a_bounded_sample_and_score_everything(real):
+    vectors = experiments.ml_vectors(real, max_training_rows=40)
+    n_train, n_fit = (vectors.where(c).count() for c in ("split = 'train'", "in_fit"))
+    assert 0 < n_fit < n_train and vectors.where("in_fit and split <> 'train'").count() == 0
+    rows = experiments.decision_tree_experiment(real.first(1), depths=(2,), max_training_rows=40).collect()
+    assert rows[0]["train_docs"] == n_train
+    assert vectors.count() == real.rows.count()
+
+
+def test_settings_travel_with_the_examples(real):
+    row = experiments.naive_bayes_experiment(real).first()
+    assert (row["buckets"], row["log_used"]) == (500, True)
+
+
+def test_bag_vectors_are_the_summed_buckets_without_an_exchange(spark, folder):
+    features = Features(inputs.corpus(spark, folder), Settings(buckets=300))
+    made = features.vectors("tf")
+    assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    summed = bucket_sums(hash_terms(features.tf, 300), "tf")
+    both = made.select("doc_id", F.inline("vec")).join(summed.withColumnRenamed("w", "v"), ["doc_id", "bucket"], "full")
+    assert both.where("w is null or v is null or abs(w - v) > 1e-9").count() == 0
+
+
+def test_bayes_scoring_reads_the_examples_once(real):
+    plan = experiments.naive_bayes_predictions(real)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [doc_id") == 1
 
 
 def test_decision_tree_experiment(real):
-    examples, names = real
-    rows = experiments.decision_tree_experiment(examples, names, buckets=500).collect()
+    examples, names = real.rows, real.names
+    rows = experiments.decision_tree_experiment(real).collect()
     assert {(r["subject"], r["setting"]) for r in rows} == {(n, d) for n in names for d in "234"}
     majority = examples.where("split = 'train'").select(
         *[F.avg(F.get("labels", F.lit(i))).alias(str(i)) for i in range(len(names))]
     ).first()
     for r in rows:
         share = majority[str(names.index(r["subject"]))]
+        assert r["train_majority"] == pytest.approx(max(share, 1 - share))
         assert r["train_accuracy"] >= max(share, 1 - share) - 1e-9
         assert r["train_docs"] + r["test_docs"] + r["validate_docs"] == examples.count()
 
 
 def test_logistic_regression_experiment(real, toy):
-    examples, names = real
-    rows = experiments.logistic_regression_experiment(examples, names[:2], buckets=500, reg_params=(0.01, 0.3)).collect()
+    names = real.names
+    rows = experiments.logistic_regression_experiment(real.first(2), reg_params=(0.01, 0.3)).collect()
     assert len(rows) == 4
+    used = {(r["subject"], r["setting"]): r["n_coefficients"] for r in rows}
+    assert all(used[n, "0.01"] > 0 and used[n, "0.01"] >= used[n, "0.3"] for n in names[:2])
     assert all(0.5 <= r["train_accuracy"] <= 1.0 for r in rows)
     by = {(r["subject"], r["setting"]): r["train_accuracy"] for r in rows}
     assert by[names[0], "0.01"] >= by[names[0], "0.3"] - 1e-9
-    rows = experiments.decision_tree_experiment(toy, ["a"], buckets=2, depths=(2,)).collect()
+    rows = experiments.decision_tree_experiment(experiments.Examples(toy, ["a"], 2), depths=(2,)).collect()
     assert rows[0]["train_accuracy"] == 1.0 and rows[0]["test_accuracy"] == pytest.approx(2 / 3)
 
 
@@ -139,7 +171,7 @@ def test_metrics(spark):
 
 
 def test_vectors_keep_their_weight(real):
-    examples, _ = real
+    examples = real.rows
     dense = with_ml_vectors(examples, 500).select("doc_id", vector_to_array("features").alias("a"))
     both = dense.join(examples.select("doc_id", "vec"), "doc_id").select(
         F.aggregate("a", F.lit(0.0), lambda x, y: x + y).alias("d"),

@@ -14,8 +14,10 @@ from tomeworks.operators.ordering import dense_sequence, running_total
 from tomeworks.operators.terms import term_bags, term_counts, term_frequencies
 from tomeworks.operators.vocabulary import document_frequency, merge_frequencies, vocabulary_growth
 from tomeworks.operators.weights import inverse_frequency
+from tomeworks.plans.eligible_corpus import eligible_corpus
 from tomeworks.plans.features import Features, Settings
 from tomeworks.sources.tables import read_features
+from tomeworks.sources import corpus
 from tomeworks.staging import stage
 
 TEXTS = ["red green blue", "red red green", "red yellow", "", "blue blue violet"]
@@ -58,18 +60,58 @@ def test_folds(spark):
 
 
 @pytest.mark.parametrize("limit", [0, 1, 3, 50, 10**6])
-def test_document_cap(spark, limit, monkeypatch):
-    monkeypatch.setattr(eligibility, "_TOP_K_ROWS", 10)
+def test_document_cap(spark, limit):
     df = spark.range(100).select((F.col("id") * 3).alias("doc_id"))
     got = sorted(r["doc_id"] for r in eligibility.first_documents(df, limit).collect())
     assert got == [i * 3 for i in range(100)][: limit or None]
 
 
+def test_document_cap_with_null_and_repeated_keys(spark):
+    rows = [(None, "a"), (None, "b"), (5, "x/5"), (5, "y/5"), (2, "z/2"), (9, "w/9")]
+    df = spark.createDataFrame(rows, "doc_id bigint, path string")
+    got = eligibility.first_documents(df, 2, "doc_id", "path").collect()
+    assert sorted(map(tuple, got)) == [(2, "z/2"), (5, "x/5")]
+
+
+def book(number, body):
+    return f"Title [EBook #{number}]\n*** START OF X ***\n{body}\n*** END OF THIS X ***\nlegal"
+
+
+def test_eligible_corpus_keeps_each_book_once(spark, tmp_path):
+    """File names share digits or have none; the id comes from the text."""
+    names = {
+        "10.txt": book(10, "ten"),
+        "truck10.txt": book(110, "truck"),
+        "10136.txt": book(10136, "long number"),
+        "1013-6.txt": book(6, "other"),
+        "readme.txt": book(44, "no digits in the name"),
+        "again.txt": book(44, "a second copy"),
+        "none.txt": "no id here",
+        "unknown.txt": book(999, "no metadata"),
+        "big.txt": book(45, "excluded"),
+        "huge.txt": book("9" * 30, "beyond the numbers"),
+    }
+    (tmp_path / "deep").mkdir()
+    for name, text in names.items():
+        (tmp_path / "deep" / name).write_text(text)
+    files = corpus.text_documents(spark, str(tmp_path))
+    keys = ["10", "110", "10136", "6", "44", "45", "9" * 30]
+    metadata = spark.createDataFrame([(k,) for k in keys], "doc_key string")
+    exclusions = spark.createDataFrame([("big.txt",)], "file string")
+    docs = eligible_corpus(files, metadata, exclusions)
+    assert sorted((r["doc_id"], r["text"].strip()) for r in docs.collect()) == [
+        (6, "other"), (10, "ten"), (44, "a second copy"), (110, "truck"), (10136, "long number"),
+    ]
+    capped = eligible_corpus(files, metadata, exclusions, stop_after=3)
+    assert sorted(r["doc_id"] for r in capped.collect()) == [6, 10, 44]
+    assert Features(docs).n_docs.first()["n_docs"] == 5
+
+
 @pytest.mark.parametrize("limit", [0, 10_000, 10**9])
 def test_lookup_is_the_same_join_at_any_limit(spark, limit):
     """One key holds a third of all rows."""
     facts = spark.range(3000).select(
-        "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 400)).alias("key")
+        "id", F.when(F.col("id") % 3 == 0, "hot" * 200).otherwise(F.concat(F.lit("k"), F.col("id") % 400)).alias("key")
     )
     keys = facts.groupBy("key").agg(F.count("*").alias("n")).where("key <> 'k7'")
     facts, keys = stage(facts, "facts"), stage(keys, "keys")

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from tomeworks.functions.fields import bare, ebook_id, megabytes
 from tomeworks.operators.subjects import has_subject, one_vs_rest, subject_frequency, top
+from tomeworks.plans import inputs
+from tomeworks.plans.subject_metadata import subject_metadata
 from tomeworks.sources import corpus, listing, manifest, metadata, sinks, tables
 
-# Lines of a run manifest as the reference writes them.
+# Two lines of a run manifest in the format to be read, one with a final comma, one made up.
 MANIFEST = [
     "19.tf,0,ID=19,Indians of North America -- Poetry,Iroquois Indians -- Kings and rulers -- Poetry,PS,Hiawatha, active 15th century -- Poetry",
     "126.tf,1,ID=126,PR,Science fiction,Challenger, Professor (Fictitious character) -- Fiction",
@@ -23,16 +25,60 @@ def test_text_documents(spark, tmp_path):
     (tmp_path / "a" / "19.txt").write_bytes(b"one\r\ntwo\n")
     (tmp_path / "a" / "b" / "20.txt").write_text("three")
     (tmp_path / "a" / "b" / "21.zip").write_text("no")
-    (tmp_path / "a" / f"{'9' * 30}.txt").write_text("too long for an id")
-    (tmp_path / "a" / "readme.txt").write_text("no id")
+    (tmp_path / "a" / "truck20.txt").write_text("another book")
     found = corpus.text_documents(spark, str(tmp_path))
-    assert found.where("doc_id is null").count() == 2
-    rows = found.where("doc_id is not null").orderBy("doc_id").collect()
-    assert [(r["doc_id"], r["file"], r["text"]) for r in rows] == [
-        (19, "19.txt", "one\ntwo\n"),
-        (20, "20.txt", "three"),
+    assert found.columns == ["path", "file", "text"]
+    rows = found.orderBy("path").collect()
+    assert [(r["file"], r["text"]) for r in rows] == [
+        ("19.txt", "one\ntwo\n"),
+        ("20.txt", "three"),
+        ("truck20.txt", "another book"),
     ]
-    assert corpus.text_lines(spark, str(tmp_path / "a" / "19.txt"), 10).rdd.getNumPartitions() == 10
+
+
+def test_the_partition_hint_is_a_minimum(spark, tmp_path):
+    for i in range(12):
+        (tmp_path / f"{i}.txt").write_text("\n".join(f"line {j}" for j in range(200)))
+    lines = corpus.text_lines(spark, str(tmp_path), at_least=10)
+    assert lines.rdd.getNumPartitions() >= 10
+    assert lines.count() == 2400
+    assert "Exchange" not in plan_of(lines)
+    one = corpus.text_lines(spark, str(tmp_path / "1.txt"), at_least=10)
+    assert one.rdd.getNumPartitions() >= 10 and one.distinct().count() == 200
+    # more splits than asked for stay as they are
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 500)
+    try:
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
+        assert corpus.text_lines(spark, str(tmp_path), at_least=2).rdd.getNumPartitions() >= 2
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_corpus_is_never_exchanged(spark, folder):
+    assert "Exchange" not in plan_of(inputs.corpus(spark, folder))
+    assert "Exchange" not in plan_of(inputs.marked(spark, folder))
+
+
+def test_metadata_files_and_outcomes(spark, tmp_path):
+    for i, xml in enumerate([XML, XML.replace("ebooks/77", "ebooks/none"), XML[:-30]]):
+        (tmp_path / str(i)).mkdir()
+        (tmp_path / str(i) / f"pg{i}.rdf").write_text(xml)
+    (tmp_path / "0" / "notes.txt").write_text("no record")
+    job = subject_metadata(metadata.metadata_files(spark, str(tmp_path)))
+    assert tuple(job.outcome.first()) == (3, 1, 1, 1)
+    assert [r["doc_id"] for r in job.metadata.collect()] == [77]
+
+
+def test_manifest_lines_keep_any_subject(spark, tmp_path):
+    subjects = ["one, two", "line\nbreak", "100%", "%2C", "a\rb", "plain"]
+    typed = spark.createDataFrame([(7, 3, subjects)], "doc_id bigint, fold int, subjects array<string>")
+    sinks.save_manifest_lines(typed, str(tmp_path / "lines"))
+    again = manifest.parse_manifest(spark.read.text(str(tmp_path / "lines"))).collect()
+    assert [(r["doc_id"], r["fold"], r["subjects"]) for r in again] == [(7, 3, subjects)]
 
 
 def test_manifest(spark, tmp_path):

@@ -35,6 +35,21 @@ def test_log_grows_with_arrivals(spark, tmp_path):
     assert run() == (batch_result(spark, first + later), 4)
 
 
+def test_snapshots_read_one_state_and_the_batches_after_it(spark, tmp_path):
+    source, log, state = (str(tmp_path / n) for n in ("in", "log", "state"))
+    rows = [(i, f"red w{i} word{i % 3}") for i in range(7)]
+    for row in rows:
+        arrive(spark, source, [row])
+    arrive(spark, source, rows[:1])  # a replay of the first document
+    arriving = running_df.document_stream(spark, source, files_per_batch=1)
+    running_df.start_frequency_log(arriving, log, state, merge_every=3, drop_replays=True).awaitTermination()
+    frequencies, documents = running_df.snapshot(spark, log)
+    assert {r["term"]: r["df"] for r in frequencies.collect()} == batch_result(spark, rows)
+    assert documents.first()["n_docs"] == 7
+    files = {f.split("/log/")[1].split("/part")[0] for f in frequencies.inputFiles()}
+    assert files == {"merged/upto=5/terms", "terms/batch=6", "terms/batch=7"}
+
+
 def test_stateful_counts_ignore_replays(spark, tmp_path):
     source = str(tmp_path / "in")
     rows = [(1, "red green"), (2, "red red")]

@@ -10,8 +10,6 @@ from tomeworks.operators.ordering import dense_sequence
 # Files excluded by hand although they are not oversize.
 HAND_PICKED_EXCLUSIONS = ["3.txt", "65.txt", "12218.txt", "12219.txt"]
 
-_TOP_K_ROWS = 10_000
-
 
 def listed_once(files: DataFrame, statuses: DataFrame) -> DataFrame:
     """``files`` with the status of those listed exactly once; the others are skipped."""
@@ -37,19 +35,23 @@ def without_excluded(files: DataFrame, exclusions: DataFrame) -> DataFrame:
     return files.join(exclusions.select("file").distinct(), "file", "left_anti")
 
 
-def first_documents(docs: DataFrame, stop_after: int = 0, key: str = "doc_id") -> DataFrame:
-    """The first ``stop_after`` documents by a unique key; 0 keeps them all.
+def first_documents(docs: DataFrame, stop_after: int = 0, *keys: str) -> DataFrame:
+    """The first ``stop_after`` documents by ``keys`` (doc_id by default), which together are unique; 0 keeps them all.
 
-    Only keys are ordered.  The last key that still counts becomes a filter on
-    the documents, so their text is neither sorted nor moved.
+    A document with a NULL key has no place in the order and is left out.  Only
+    keys are ordered.  The last key that still counts becomes a filter on the
+    documents, so their text is neither sorted nor moved.
     """
     if stop_after <= 0:
         return docs
-    if stop_after <= _TOP_K_ROWS:
-        kept = docs.select(key).orderBy(key).limit(stop_after)
-    else:
-        kept = dense_sequence(docs, key).where(F.col("position") < stop_after)
-    return docs.where(F.col(key) <= kept.select(F.max(key)).scalar())
+    keys = keys or ("doc_id",)
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    place = F.struct(*keys)
+    ordered = dense_sequence(docs.where(known).select(place.alias("key")), "key")
+    last = ordered.where(F.col("position") < stop_after).select(F.max("key"))
+    return docs.where(known & (place <= last.scalar()))
 
 
 def non_empty(df: DataFrame, column: str) -> DataFrame:

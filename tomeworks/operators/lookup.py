@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-_LONGEST_HOT_KEY = 256
 _ROW_OVERHEAD = 64
+_FINEST = 20  # a key with 1 / 2**20 of the rows may still count as frequent
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """The size of a row: strings by their length, everything else by a fixed width."""
+    size = F.lit(_ROW_OVERHEAD)
+    for f in df.schema.fields:
+        text = f.dataType.typeName() in ("string", "binary")
+        size = size + (F.coalesce(F.octet_length(f.name), F.lit(0)) if text else F.lit(16))
+    return size
 
 
 def keyed_lookup(
@@ -24,22 +33,21 @@ def keyed_lookup(
     * a small ``keys`` table is broadcast, and ``facts`` is not shuffled at all;
     * otherwise the frequent keys are broadcast and only the rest is shuffled.
       A key is frequent when it has at least 1/H of all fact rows; no more than
-      H keys can, and H is chosen so that H rows fit the broadcast limit.  What
-      is left for the shuffle has no key above 1/H of the rows.
+      H keys can.  H is the largest power of two for which the rows of these
+      keys, with all their columns, fit the broadcast limit.  What is left for
+      the shuffle has no key above 1/H of the rows.
 
     Both inputs should be stage tables, since they are read more than once.
     """
-    size = keys.agg(
-        F.sum(F.octet_length(on) + F.lit(_ROW_OVERHEAD)).alias("bytes"),
-        F.sum(weight).alias("rows"),
-    ).first()
-    if (size["bytes"] or 0) <= broadcast_bytes:
+    bytes_of = _row_bytes(keys)
+    total = keys.agg(F.sum(bytes_of).alias("bytes"), F.sum(weight).alias("rows")).first()
+    if (total["bytes"] or 0) <= broadcast_bytes:
         return facts.join(F.broadcast(keys), on, "inner")
 
-    most = max(1, broadcast_bytes // (4 * _LONGEST_HOT_KEY + _ROW_OVERHEAD))
-    is_hot = (F.col(weight) * F.lit(most) >= F.lit(size["rows"])) & (
-        F.length(on) <= _LONGEST_HOT_KEY
-    )
+    share = lambda k: F.col(weight) * F.lit(1 << k) >= F.lit(total["rows"])
+    sizes = keys.agg(*[F.sum(F.when(share(k), bytes_of)).alias(str(k)) for k in range(_FINEST + 1)]).first()
+    fitting = [k for k in range(_FINEST + 1) if (sizes[str(k)] or 0) <= broadcast_bytes]
+    is_hot = share(max(fitting)) if fitting else F.lit(False)
     hot = F.broadcast(keys.where(is_hot))
     cold = keys.where(~is_hot)
     frequent = facts.join(hot, on, "inner")

@@ -119,6 +119,7 @@ def predict_naive_bayes(model: NaiveBayesModel, examples: DataFrame) -> DataFram
 
     ``margin`` is score(1) - score(0).  The bucket table is joined once for all
     subjects; scores are sums, so they are reduced before the shuffle by document.
+    Split and labels come along, so the examples are read once.
     """
     ks = range(len(model.names))
     both = {i for i in ks if model.prior(i, 0) is not None and model.prior(i, 1) is not None}
@@ -127,13 +128,15 @@ def predict_naive_bayes(model: NaiveBayesModel, examples: DataFrame) -> DataFram
     )
     if model.buckets * (len(model.names) + 1) * 16 <= BROADCAST_BYTES:
         wide = F.broadcast(wide)
-    entries = examples.select("doc_id", F.inline_outer("vec")).join(wide, "bucket", "left")
+    entries = examples.select("doc_id", "split", "labels", F.inline_outer("vec")).join(wide, "bucket", "left")
     unseen = [model._log_total(i, 0) - model._log_total(i, 1) for i in ks]
-    scores = entries.groupBy("doc_id").agg(
+    labelled = entries.groupBy("doc_id").agg(
+        F.first("split").alias("split"),
+        F.first("labels").alias("labels"),
         *[
             F.sum(F.col("w") * F.coalesce(F.col(f"_d{i}"), F.lit(unseen[i]))).alias(f"_s{i}")
             for i in ks
-        ]
+        ],
     )
 
     def outcome(i: int) -> Column:
@@ -149,5 +152,4 @@ def predict_naive_bayes(model: NaiveBayesModel, examples: DataFrame) -> DataFram
             (gap > 0).cast("double").alias("prediction"),
         )
 
-    labelled = examples.select("doc_id", "split", "labels").join(scores, "doc_id", "inner")
     return labelled.select("doc_id", "split", F.inline(F.array(*[outcome(i) for i in ks])))

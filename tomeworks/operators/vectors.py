@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tomeworks.functions.hashing import BUCKET_FUNCTIONS, DEFAULT_BUCKETS
-from tomeworks.sources.tables import spread
+from tomeworks.operators.fence import computed_once
 from tomeworks.staging import stage_path
 
 
@@ -30,6 +30,48 @@ def bucket_sums(rows: DataFrame, weight: str) -> DataFrame:
     return narrow.groupBy("doc_id", "bucket").agg(F.sum("w").alias("w"))
 
 
+def bag_vectors(bags: DataFrame, buckets: int = DEFAULT_BUCKETS, hash_name: str = "md5") -> DataFrame:
+    """(doc_id, vec): the TF vector of each bag, made inside its row, without any exchange.
+
+    The counts are sorted by bucket; of each run of equal buckets the slice is added up.
+    Documents without terms have none.
+    """
+    bucket = BUCKET_FUNCTIONS[hash_name]
+    counts = F.transform("terms", lambda t: F.struct(bucket(t["term"], buckets).alias("bucket"), t["n"].alias("n")))
+    full = bags.where(F.col("max_n").isNotNull())
+    ordered = computed_once(full, ["doc_id", "max_n"], _entries=F.sort_array(counts))
+    before = F.concat(F.array(F.lit(-1)), F.col("_entries.bucket"))
+    # the extra last pair has no bucket and gives NULL
+    heads = F.filter(
+        F.zip_with(
+            F.transform("_entries", lambda e, i: F.struct(e["bucket"].alias("bucket"), i.alias("at"))),
+            before,
+            lambda e, b: F.when(e["bucket"] != b, e),
+        ),
+        lambda h: h.isNotNull(),
+    )
+    placed = computed_once(ordered, ["doc_id", "max_n", "_entries"], _heads=heads)
+    ends = F.slice(F.concat(F.col("_heads.at"), F.array(F.size("_entries"))), 2, F.size("_heads"))
+    runs = F.zip_with("_heads", ends, lambda h, end: F.struct(h["bucket"].alias("bucket"), h["at"].alias("at"), end.alias("end")))
+    spans = computed_once(placed, ["doc_id", "max_n", "_entries"], _runs=runs)
+    # the lambda refers to columns of the fenced row, which are not computed again
+    vec = F.transform(
+        "_runs",
+        lambda r: F.struct(
+            r["bucket"].alias("bucket"),
+            (
+                F.aggregate(
+                    F.slice("_entries", r["at"] + 1, r["end"] - r["at"]),
+                    F.lit(0).cast("bigint"),
+                    lambda total, e: total + e["n"],
+                )
+                / F.col("max_n")
+            ).alias("w"),
+        ),
+    )
+    return spans.select("doc_id", vec.alias("vec"))
+
+
 def sparse_vectors(sums: DataFrame) -> DataFrame:
     """(doc_id, vec ARRAY<STRUCT<bucket, w>>) in bucket order.
 
@@ -55,8 +97,6 @@ def with_ml_vectors(df: DataFrame, buckets: int = DEFAULT_BUCKETS, vec: str = "v
         F.col(f"{vec}.w").alias("values"),
     )
     path = stage_path(spark, "vectors")
-    # model fits are heavy on the processor: a small table must not end up in a few tasks
-    df = spread(df, "doc_id")
     df.select(*[f.name for f in others], stored.alias("features")).write.parquet(path)
     schema = T.StructType([*others, T.StructField("features", VectorUDT())])
     return spark.read.schema(schema).parquet(path)

@@ -17,16 +17,19 @@ from tomeworks.operators import subjects as subj
 from tomeworks.operators import terms, vectors, vocabulary, weights
 from tomeworks.plans import experiments, inputs
 from tomeworks.plans.corpus_audit import audit as corpus_audit
+from tomeworks.plans.eligible_corpus import eligible_corpus
+from tomeworks.plans.experiments import Examples
 from tomeworks.plans.features import Features, Settings
 from tomeworks.plans.subject_metadata import subject_metadata
 from tomeworks.sources import corpus, listing, manifest, metadata, sinks, tables
-from tomeworks.staging import stage, stage_path, still_staged
+from tomeworks.staging import last_change, stage, stage_path, still_staged
 from tomeworks.streaming import running_df
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 _IDF_CAP = 100  # documents that take part in the capped runs
+TF_SIZES = (10_000, 8_000, 6_000)
 _FEATURES: dict[tuple, Features] = {}
 _STAGED: dict[tuple, tuple] = {}
 
@@ -36,9 +39,15 @@ def query(function: Query) -> Query:
     return function
 
 
+def _version(spark: SparkSession, folder: str) -> tuple:
+    """Names the data of a folder, so that replaced data is noticed."""
+    used = ("documents", "labels", "embeddings")
+    return (spark.sparkContext.applicationId, folder, *(last_change(spark, f"{folder}/{t}.parquet") for t in used))
+
+
 def _features(spark: SparkSession, folder: str, settings: Settings = Settings()) -> Features:
     """Feature tables are staged once per session and shared by the queries."""
-    key = (spark.sparkContext.applicationId, folder, settings)
+    key = (*_version(spark, folder), settings)
     known = _FEATURES.get(key)
     if known is None or not all(still_staged(df) for df in known.staged()):
         _FEATURES[key] = Features(inputs.corpus(spark, folder), settings)
@@ -47,7 +56,7 @@ def _features(spark: SparkSession, folder: str, settings: Settings = Settings())
 
 def _once(spark: SparkSession, folder: str, name: str, make: Callable[[], tuple]) -> tuple:
     """What ``make`` returns, a tuple that begins with a stage table, made once per session."""
-    key = (spark.sparkContext.applicationId, folder, name)
+    key = (*_version(spark, folder), name)
     if key not in _STAGED or not still_staged(_STAGED[key][0]):
         _STAGED[key] = make()
     return _STAGED[key]
@@ -60,19 +69,36 @@ def _manifest(spark: SparkSession, folder: str) -> DataFrame:
     return _once(spark, folder, "manifest", make)[0]
 
 
-def _examples(spark: SparkSession, folder: str, plan: str = "7/2/1", weighting: str = "tfidf"):
+def _examples(
+    spark: SparkSession,
+    folder: str,
+    plan: str = "7/2/1",
+    weighting: str = "tfidf",
+    settings: Settings = Settings(),
+) -> Examples:
+    def make() -> tuple:
+        names = subj.top_names(subj.subject_frequency(_manifest(spark, folder)))
+        made = experiments.examples_of(_features(spark, folder, settings), _manifest(spark, folder), names, plan, weighting)
+        return made.rows, made
+
+    return _once(spark, folder, f"examples-{plan}-{weighting}-{settings}", make)[1]
+
+
+def _tf_examples(spark: SparkSession, folder: str, buckets: int) -> Examples:
+    """The TF runs: split 4/3/3, several vector sizes from one table of bags."""
+
     def make() -> tuple:
         names = subj.top_names(subj.subject_frequency(_manifest(spark, folder)))
-        vecs = _features(spark, folder).vectors(weighting)
-        rows = datasets.training_set(vecs, _manifest(spark, folder), names, plan)
-        return stage(rows, "examples"), names
+        vecs = vectors.bag_vectors(_features(spark, folder).bags, buckets)
+        rows = stage(datasets.training_set(vecs, _manifest(spark, folder), names, "4/3/3"), "examples")
+        return rows, Examples(rows, names, buckets, "tf")
 
-    return _once(spark, folder, f"examples-{plan}-{weighting}", make)
+    return _once(spark, folder, f"tf-examples-{buckets}", make)[1]
 
 
 def _predictions(spark: SparkSession, folder: str, plan: str = "7/2/1") -> DataFrame:
     def make() -> tuple:
-        return (stage(experiments.naive_bayes_predictions(*_examples(spark, folder, plan)), "predictions"),)
+        return (stage(experiments.naive_bayes_predictions(_examples(spark, folder, plan)), "predictions"),)
 
     return _once(spark, folder, f"predictions-{plan}", make)[0]
 
@@ -117,22 +143,19 @@ def s1_corpus_text(spark, folder):
 
 @query
 def s2_recursive_text_files(spark, folder):
-    """The corpus as one text file per document in sub-folders, next to files of another kind.
+    """Whole text files in sub-folders, next to files of another kind.
 
-    The id is found in the text, as in a real corpus.
+    The fixture writes a folder per source and many documents to a file, each
+    followed by a line break; the sums per folder show that every file is read once and whole.
     """
     path = stage_path(spark, "files")
-    marked = F.concat(F.lit("[EBook #"), F.col("doc_id").cast("string"), F.lit("]\n"), F.col("text"))
-    docs = inputs.documents(spark, folder).repartition("doc_id").select("source", marked.alias("value"))
-    docs.write.partitionBy("source").option("maxRecordsPerFile", 1).text(path)
+    docs = inputs.documents(spark, folder).select("source", F.col("text").alias("value"))
+    docs.write.partitionBy("source").option("maxRecordsPerFile", 1000).text(path)
     tables.read_table(spark, folder, "labels").write.mode("append").csv(path)
     files = corpus.text_documents(spark, path, "*.txt*")
-    # the text begins after the id line and ends before the line break the writer adds
-    body = F.regexp_replace("text", r"\A[^\n]*\n|\n\z", "")
-    return files.select(
-        markup.document_id(F.col("text")).cast("bigint").alias("doc_id"),
-        F.length(body).cast("bigint").alias("n_chars"),
-        (markup.count_breaks(body) + 1).cast("bigint").alias("n_lines"),
+    source = F.regexp_extract("path", "source=([^/]*)/", 1)
+    return files.groupBy(source.alias("source")).agg(
+        F.sum(F.length("text")).alias("n_chars"), F.sum(markup.count_breaks(F.col("text"))).alias("n_lines")
     )
 
 
@@ -140,7 +163,7 @@ def s2_recursive_text_files(spark, folder):
 def s3_lines_with_partition_hint(spark, folder):
     path = stage_path(spark, "lines")
     inputs.documents(spark, folder).select("text").write.text(path)
-    lines = corpus.text_lines(spark, path, partitions=10)
+    lines = corpus.text_lines(spark, path, at_least=10)
     return lines.groupBy(F.length("value").cast("bigint").alias("n_chars")).agg(F.count("*").alias("n_lines"))
 
 
@@ -237,20 +260,15 @@ def k5_fold_partitioned_vectors(spark, folder):
     path = stage_path(spark, "vectors")
     vecs = _features(spark, folder).vectors().join(_manifest(spark, folder).select("doc_id", "fold"), "doc_id")
     sinks.save_by_fold(vecs, path)
-    entries = tables.read_features(spark, path).select("fold", "doc_id", F.explode("vec.w").alias("w"))
-    return _rounded(
-        entries.groupBy("fold").agg(
-            F.countDistinct("doc_id").alias("n_docs"), F.count("*").alias("n_entries"), F.sum("w").alias("weight")
-        ),
-        "weight",
-        digits=3,
-    )
+    entries = tables.read_features(spark, path).select("fold", "doc_id", F.inline("vec"))
+    return _rounded(entries.select("fold", "doc_id", "bucket", "w"), "w")
 
 
 @query
 def k6_metadata_csv(spark, folder):
-    """Unreadable records are counted, the others written and read back."""
-    parsed = stage(metadata.parse_metadata(inputs.xml_records(spark, folder, broken_every=17)), "metadata")
+    """Records that are unreadable or have no id are counted, the others written and read back."""
+    records = inputs.xml_records(spark, folder, broken_every=17, nameless_every=19)
+    parsed = stage(metadata.with_outcome(metadata.parse_metadata(records)), "metadata")
     path = stage_path(spark, "metadata-csv")
     lines = metadata.usable(parsed).select(
         fields.prefixed_record(F.col("doc_id"), F.col("subjects")).alias("value")
@@ -258,7 +276,7 @@ def k6_metadata_csv(spark, folder):
     sinks.save_csv(lines, path)
     written = spark.read.option("header", "true").option("escape", '"').schema("value string").csv(path)
     good = written.select(F.lit("written").alias("outcome"), F.length("value").cast("bigint").alias("size"))
-    bad = parsed.where("is_bad").select(F.lit("unreadable").alias("outcome"), F.lit(0).cast("bigint").alias("size"))
+    bad = parsed.where("outcome <> 'read'").select("outcome", F.lit(0).cast("bigint").alias("size"))
     return good.unionByName(bad).groupBy("outcome").agg(F.count("*").alias("n"), F.sum("size").alias("n_chars"))
 
 
@@ -439,9 +457,8 @@ def f18_id_normalisation(spark, folder):
 
 @query
 def j1_tf_idf_join(spark, folder):
-    """Against the IDF of a capped run, so that terms without an IDF drop out."""
-    capped = _features(spark, folder, Settings(stop_after=_IDF_CAP))
-    rows = weights.tfidf(_features(spark, folder).tf, capped.idf)
+    features = _features(spark, folder)
+    rows = weights.tfidf(features.tf, features.idf)
     return _rounded(rows.select("doc_id", "term", "tf", "idf"), "idf")
 
 
@@ -486,8 +503,7 @@ def j7_label_prediction_rows(spark, folder):
 
 @query
 def j8_docs_by_subject(spark, folder):
-    examples, names = _examples(spark, folder)
-    return subj.one_vs_rest(_manifest(spark, folder), names, "fold")
+    return subj.one_vs_rest(_manifest(spark, folder), _examples(spark, folder).names, "fold")
 
 
 # --- aggregations ------------------------------------------------------------
@@ -523,8 +539,8 @@ def a5_document_count(spark, folder):
 
 @query
 def a6_subject_frequency(spark, folder):
-    used = tables.in_folds(_manifest(spark, folder), [0, 1, 2, 3, 4, 5, 6])
-    return subj.subject_frequency(used)
+    """Of the run, that is of the documents in the manifest."""
+    return subj.subject_frequency(_manifest(spark, folder))
 
 
 def _metadata_records(spark, folder):
@@ -580,8 +596,7 @@ def a14_vocabulary_counts(spark, folder):
 
 @query
 def a15_split_sizes(spark, folder):
-    examples, _ = _examples(spark, folder)
-    return folds.split_sizes(examples)
+    return folds.split_sizes(_examples(spark, folder).rows)
 
 
 @query
@@ -610,8 +625,9 @@ def w1_cyclic_folds(spark, folder):
 
 @query
 def w1_hashed_folds(spark, folder):
-    docs = inputs.documents(spark, folder).select("doc_id", folds.hashed_fold(F.col("doc_id")).alias("fold"))
-    return docs
+    """The fold itself depends on the hash; that it is one of ten does not."""
+    fold = folds.hashed_fold(F.col("doc_id"))
+    return inputs.documents(spark, folder).select("doc_id", fold.between(0, 9).alias("in_range"))
 
 
 @query
@@ -632,6 +648,16 @@ def w4_max_normalised(spark, folder):
     return counts.select("doc_id", "term", (F.col("n") / largest).alias("tf"))
 
 
+@query
+def p1_eligible_corpus(spark, folder):
+    """The main run from its files: id from the text, audit, exclusion, header and footer cut."""
+    files = inputs.marked(spark, folder).select(F.expr(inputs.PATH).alias("path"), "file", "text")
+    big = listing.big_files(listing.parse_listing(inputs.listing_lines(spark, folder))).select("file")
+    exclusions = big.unionByName(tables.names_table(spark, eligibility.HAND_PICKED_EXCLUSIONS))
+    docs = eligible_corpus(files, inputs.metadata_keys(spark, folder), exclusions)
+    return docs.select("doc_id", F.md5("text").alias("body_md5"))
+
+
 # --- sort and limit ----------------------------------------------------------
 
 
@@ -659,7 +685,8 @@ def o2_top_14_terms(spark, folder):
 
 @query
 def o3_sample_rows(spark, folder):
-    return _rounded(_features(spark, folder).tfidf.select("doc_id", "term", "tfidf"), "tfidf").limit(10)
+    rows = _rounded(_features(spark, folder).tfidf.select("doc_id", "term", "tfidf"), "tfidf")
+    return rows.orderBy("doc_id", "term").limit(10)
 
 
 # --- set operations ----------------------------------------------------------
@@ -740,68 +767,88 @@ def m5_hash_vectors_6000(spark, folder):
 
 @query
 def m5_hash_vectors_fast(spark, folder):
-    rows = vectors.hash_terms(_features(spark, folder).tfidf, hash_name="xxhash64")
-    return _rounded(vectors.bucket_sums(rows, "tfidf"), "w")
+    """Buckets depend on the hash; their range and each document's total weight do not."""
+    rows = vectors.bucket_sums(vectors.hash_terms(_features(spark, folder).tfidf, hash_name="xxhash64"), "tfidf")
+    per_doc = rows.groupBy("doc_id").agg(
+        F.sum("w").alias("weight"), F.min(F.col("bucket").between(0, 9999)).alias("in_range")
+    )
+    return _rounded(per_doc, "weight")
 
 
-def _example_rows(examples: DataFrame, names: list[str]) -> DataFrame:
-    """(subject, split, label, n_docs, weight): a digest of a training set that covers all of it."""
-    per_doc = examples.select(
-        "split",
-        F.aggregate("vec", F.lit(0.0), lambda acc, e: acc + e["w"]).alias("w"),
-        F.inline(
-            F.array(*[F.struct(F.lit(n).alias("subject"), F.get("labels", F.lit(i)).alias("label"))
-                      for i, n in enumerate(names)])
-        ),
-    )
-    return _rounded(
-        per_doc.groupBy("subject", "split", "label").agg(
-            F.count("*").alias("n_docs"), F.sum("w").alias("weight")
-        ),
-        "weight",
-        digits=3,
-    )
+def _example_rows(examples: Examples) -> DataFrame:
+    """(doc_id, split, positives, bucket, w): every entry of a training set, with the subjects that are labelled 1."""
+    pairs = F.zip_with("labels", F.lit(examples.names), lambda y, name: F.when(y == 1.0, name))
+    positives = F.array_join(F.array_sort(F.array_compact(pairs)), "|").alias("positives")
+    return _rounded(examples.rows.select("doc_id", "split", positives, F.inline("vec")), "w")
 
 
 @query
 def m6_tf_training_set(spark, folder):
-    return _example_rows(*_examples(spark, folder, "4/3/3", "tf"))
+    return _example_rows(_examples(spark, folder, "4/3/3", "tf"))
 
 
 @query
 def m7_tfidf_training_set(spark, folder):
-    return _example_rows(*_examples(spark, folder, "7/2/1", "tfidf"))
+    return _example_rows(_examples(spark, folder, "7/2/1", "tfidf"))
 
 
 @query
 def m8_naive_bayes_model(spark, folder):
-    model = experiments.fit_naive_bayes(*_examples(spark, folder, "7/3"))
+    model = experiments.naive_bayes_model(_examples(spark, folder, "7/3"))
     return _rounded(model.table().select("subject", "label", "bucket", "theta"), "theta")
 
 
 @query
 def m8_naive_bayes_priors(spark, folder):
-    model = experiments.fit_naive_bayes(*_examples(spark, folder, "7/3"))
+    model = experiments.naive_bayes_model(_examples(spark, folder, "7/3"))
     return _rounded(model.priors(), "pi")
 
 
 @query
 def m9_naive_bayes_experiment(spark, folder):
-    return _rounded(experiments.naive_bayes_experiment(*_examples(spark, folder, "7/3")), *MEASURES)
+    return _rounded(experiments.naive_bayes_experiment(_examples(spark, folder, "7/3")), *MEASURES)
 
 
-def _model_sweep(run: Callable, spark: SparkSession, folder: str, *, of: int | None = None, **options):
-    examples, names = _examples(spark, folder)
-    return run(examples, names[:of], **options)
+@query
+def m9_naive_bayes_no_log(spark, folder):
+    """With the plain quotient for IDF."""
+    examples = _examples(spark, folder, "7/3", settings=Settings(log_idf=False))
+    return _rounded(experiments.naive_bayes_experiment(examples), *MEASURES)
+
+
+@query
+def m9_naive_bayes_6000(spark, folder):
+    examples = _examples(spark, folder, "7/3", settings=Settings(buckets=6000))
+    return _rounded(experiments.naive_bayes_experiment(examples), *MEASURES)
+
+
+def _fit_report(table: DataFrame) -> DataFrame:
+    """What a fit must show whatever its optimiser: sizes, positives, the majority share, and that training reaches it."""
+    reached = F.col("train_accuracy") >= F.col("train_majority") - 1e-9
+    sizes = [f"{s}_docs" for s in experiments.SPLITS]
+    return _rounded(
+        table.select("subject", "setting", *sizes, "train_positives", "train_majority", reached.alias("reaches_majority")),
+        "train_majority",
+    )
+
+
+def _size_sweep(run: Callable, spark: SparkSession, folder: str, **options) -> DataFrame:
+    """A TF run at each vector size; the size comes before the setting."""
+    result = None
+    for buckets in TF_SIZES:
+        rows = _fit_report(run(_tf_examples(spark, folder, buckets), **options))
+        rows = rows.withColumn("setting", F.concat_ws("/", F.lit(str(buckets)), "setting"))
+        result = rows if result is None else result.unionByName(rows)
+    return result
 
 
 @query
 def m10_decision_tree(spark, folder):
     """One tree, for the most frequent subject."""
-    return _model_sweep(experiments.decision_tree_experiment, spark, folder, of=1, depths=(3,))
+    return _fit_report(experiments.decision_tree_experiment(_examples(spark, folder).first(1), depths=(3,)))
 
 
-def _embedding_examples(spark, folder):
+def _embedding_examples(spark, folder) -> Examples:
     """Ready-made vectors: the labels stand for subjects, folds are dealt by id."""
 
     def make() -> tuple:
@@ -812,40 +859,50 @@ def _embedding_examples(spark, folder):
         entries = F.transform("embedding", lambda w, i: F.struct(i.alias("bucket"), w.cast("double").alias("w")))
         run = folds.cyclic_folds(rows).join(rows.select("doc_id", "subjects"), "doc_id")
         vecs = rows.select("doc_id", entries.alias("vec"))
-        return stage(datasets.training_set(vecs, run, names, "7/2/1"), "embeddings"), names
+        rows = stage(datasets.training_set(vecs, run, names, "7/2/1"), "embeddings")
+        return rows, Examples(rows, names, buckets=64, weighting="ready-made")
 
-    return _once(spark, folder, "embeddings", make)
+    return _once(spark, folder, "embeddings", make)[1]
 
 
 @query
 def m10_embedding_trees(spark, folder):
-    return experiments.decision_tree_experiment(*_embedding_examples(spark, folder), buckets=64)
+    return _fit_report(experiments.decision_tree_experiment(_embedding_examples(spark, folder)))
 
 
 @query
 def m12_embedding_regressions(spark, folder):
-    return experiments.logistic_regression_experiment(
-        *_embedding_examples(spark, folder), buckets=64, reg_params=(0.01,)
-    )
+    return _fit_report(experiments.logistic_regression_experiment(_embedding_examples(spark, folder), reg_params=(0.01,)))
 
 
 @query
 def m11_decision_tree_sweep(spark, folder):
-    return _model_sweep(experiments.decision_tree_experiment, spark, folder)
+    return _fit_report(experiments.decision_tree_experiment(_examples(spark, folder)))
+
+
+@query
+def m11_decision_tree_tf_sweep(spark, folder):
+    return _size_sweep(experiments.decision_tree_experiment, spark, folder)
 
 
 @query
 def m12_logistic_regression(spark, folder):
-    return _model_sweep(experiments.logistic_regression_experiment, spark, folder)
+    return _fit_report(experiments.logistic_regression_experiment(_examples(spark, folder)))
 
 
 @query
 def m13_logistic_regression_sweep(spark, folder):
-    return _model_sweep(
-        experiments.logistic_regression_experiment, spark, folder, reg_params=(0.1, 0.3)
+    """From the reference's setting down to where all subjects get coefficients."""
+    return _fit_report(
+        experiments.logistic_regression_experiment(_examples(spark, folder), reg_params=experiments.REG_PARAMS)
     )
 
 
+@query
+def m13_logistic_regression_tf_sweep(spark, folder):
+    return _size_sweep(experiments.logistic_regression_experiment, spark, folder, reg_params=(0.3, 0.01))
+
+
 @query
 def m14_predictions(spark, folder):
     return _predictions(spark, folder).select("doc_id", "split", "subject", "label", "prediction")

@@ -6,26 +6,50 @@ of a split plan and reports on all parts.
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Estimator
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
+from pyspark.ml.classification import (
+    DecisionTreeClassificationModel,
+    DecisionTreeClassifier,
+    LogisticRegression,
+    NaiveBayes,
+)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomeworks.functions.hashing import DEFAULT_BUCKETS
 from tomeworks.operators.datasets import training_set
 from tomeworks.operators.metrics import binary_metrics, confusion
-from tomeworks.operators.naive_bayes import fit_naive_bayes, predict_naive_bayes
+from tomeworks.operators.naive_bayes import NaiveBayesModel, fit_naive_bayes, predict_naive_bayes
 from tomeworks.operators.subjects import subject_frequency, top_names
 from tomeworks.operators.vectors import with_ml_vectors
 from tomeworks.plans.features import Features
 from tomeworks.staging import stage
 
 DEPTHS = (2, 3, 4)
+REG_PARAMS = (0.3, 0.1, 0.01, 0.001)  # the first is the reference's
 SPLITS = ("train", "test", "validate")
+MAX_TRAINING_ROWS = 1_000_000
+
+
+@dataclass(frozen=True)
+class Examples:
+    """A training set together with what its vectors were made with, so that no experiment can assume otherwise.
+
+    ``rows`` is a stage table (doc_id, split, labels, vec); ``names`` are its subjects.
+    """
+
+    rows: DataFrame
+    names: list[str]
+    buckets: int
+    weighting: str = "tfidf"
+    log_idf: bool = True
+
+    def first(self, n: int | None) -> Examples:
+        """The same with only the first subjects."""
+        return replace(self, names=self.names[:n])
 
 
 def labelled_examples(
@@ -34,33 +58,32 @@ def labelled_examples(
     plan: str = "7/2/1",
     weighting: str = "tfidf",
     k: int = 10,
-) -> tuple[DataFrame, list[str]]:
-    """The staged training set and the names of its subjects."""
+) -> Examples:
+    """The staged training set of the run's most frequent subjects."""
     manifest = stage(features.manifest(metadata), "manifest")
     names = top_names(subject_frequency(manifest), k)
-    vectors = features.vectors(weighting)
-    return stage(training_set(vectors, manifest, names, plan), "examples"), names
+    return examples_of(features, manifest, names, plan, weighting)
 
 
-def naive_bayes_predictions(
-    examples: DataFrame, names: list[str], buckets: int = DEFAULT_BUCKETS, smoothing: float = 1.0
-) -> DataFrame:
+def examples_of(features: Features, manifest: DataFrame, names: list[str], plan: str, weighting: str) -> Examples:
+    rows = stage(training_set(features.vectors(weighting), manifest, names, plan), "examples")
+    return Examples(rows, names, features.settings.buckets, weighting, features.settings.log_idf)
+
+
+def naive_bayes_model(examples: Examples, smoothing: float = 1.0) -> NaiveBayesModel:
+    return fit_naive_bayes(examples.rows, examples.names, examples.buckets, smoothing)
+
+
+def naive_bayes_predictions(examples: Examples, smoothing: float = 1.0) -> DataFrame:
     """(doc_id, split, subject, label, margin, prediction)."""
-    model = fit_naive_bayes(examples, names, buckets, smoothing)
-    return predict_naive_bayes(model, examples)
+    return predict_naive_bayes(naive_bayes_model(examples, smoothing), examples.rows)
 
 
-def naive_bayes_experiment(
-    examples: DataFrame,
-    names: list[str],
-    buckets: int = DEFAULT_BUCKETS,
-    smoothing: float = 1.0,
-    log_idf: bool = True,
-) -> DataFrame:
+def naive_bayes_experiment(examples: Examples, smoothing: float = 1.0) -> DataFrame:
     """All measures per subject and split."""
-    predictions = naive_bayes_predictions(examples, names, buckets, smoothing)
+    predictions = naive_bayes_predictions(examples, smoothing)
     measures = binary_metrics(confusion(predictions, "subject", "split"), "subject", "split")
-    return measures.withColumn("buckets", F.lit(buckets)).withColumn("log_used", F.lit(log_idf))
+    return measures.withColumn("buckets", F.lit(examples.buckets)).withColumn("log_used", F.lit(examples.log_idf))
 
 
 def decision_tree(depth: int) -> DecisionTreeClassifier:
@@ -89,42 +112,47 @@ def ml_naive_bayes(smoothing: float = 1.0) -> NaiveBayes:
     return NaiveBayes(featuresCol="features", labelCol="label", smoothing=smoothing)
 
 
-def for_subject(examples: DataFrame, position: int) -> DataFrame:
-    """(split, label, features) for one subject."""
-    return examples.select("split", F.get("labels", F.lit(position)).alias("label"), "features")
+def fitting_rows(rows: DataFrame, max_training_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
+    """``rows`` with ``in_fit``: the training rows that fits may use.
+
+    A fit holds its training rows in memory (a tree one bin number per feature and
+    row), so it takes at most about ``max_training_rows`` of them, drawn by a hash of
+    the id.  Rows of all splits are scored and counted whatever the bound.
+    """
+    n = rows.where(F.col("split") == "train").count()
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) * F.lit(float(n)) < F.lit(float(max_training_rows) * (1 << 30))
+    return rows.withColumn("in_fit", (F.col("split") == "train") & draw)
+
+
+def for_subject(vectors: DataFrame, position: int) -> DataFrame:
+    """(split, in_fit, label, features) for one subject."""
+    return vectors.select("split", "in_fit", F.get("labels", F.lit(position)).alias("label"), "features")
 
 
 # (split, label, prediction, n) rows of one fitted model
 Counts = list[tuple[str, float, float, int]]
 
 
-def run_model(estimator: Estimator, data: DataFrame) -> Counts:
-    """Fit on ``train``; confusion counts of all splits from one pass.
+def run_model(estimator: Estimator, data: DataFrame) -> tuple[Counts, int | None]:
+    """Fit; confusion counts of all splits from one pass, and the number of non-zero coefficients.
 
     A dozen rows at most come back to the driver.
     """
-    model = estimator.fit(data.where(F.col("split") == "train"))
+    model = estimator.fit(data.where("in_fit"))
     counts = confusion(model.transform(data), "split").collect()
-    return [(r["split"], r["label"], r["prediction"], r["n"]) for r in counts]
+    used = int(model.coefficients.numNonzeros()) if hasattr(model, "coefficients") else None
+    return [(r["split"], r["label"], r["prediction"], r["n"]) for r in counts], used
 
 
-def leaf_paths(description: str) -> list[tuple[int, ...]]:
-    """For each leaf of a printed tree, in order, the branches taken from the root.
+def leaf_paths(model: DecisionTreeClassificationModel) -> list[tuple[int, ...]]:
+    """For each leaf of a tree, from left to right, the branches taken from the root (0 left, 1 right)."""
 
-    Each level is one blank deeper, the first has two; "If" takes branch 0 and
-    "Else" branch 1.
-    """
-    path: list[int] = []
-    leaves = []
-    for line in description.splitlines()[1:]:
-        depth = len(line) - len(line.lstrip()) - 2
-        word = line.strip().partition(" ")[0].rstrip(":")
-        if word in ("If", "Else"):
-            del path[depth:]
-            path.append(0 if word == "If" else 1)
-        elif word == "Predict":
-            leaves.append(tuple(path[:depth]))
-    return leaves
+    def below(node, path: tuple[int, ...]) -> list[tuple[int, ...]]:
+        if node.subtreeDepth() == 0:
+            return [path]
+        return below(node.leftChild(), (*path, 0)) + below(node.rightChild(), (*path, 1))
+
+    return below(model._call_java("rootNode"), ())
 
 
 def run_tree_depths(depths: Iterable[int], data: DataFrame) -> dict[int, Counts]:
@@ -135,17 +163,17 @@ def run_tree_depths(depths: Iterable[int], data: DataFrame) -> dict[int, Counts]
     in one pass; a cut node predicts the majority of the training documents below
     it, the lower label on a tie, as the tree itself does.
     """
-    model = decision_tree(max(depths)).fit(data.where(F.col("split") == "train"))
-    counted = model.transform(data).groupBy("split", "leaf", "label").agg(F.count("*").alias("n"))
+    model = decision_tree(max(depths)).fit(data.where("in_fit"))
+    counted = model.transform(data).groupBy("split", "in_fit", "leaf", "label").agg(F.count("*").alias("n"))
     rows = counted.collect()  # at most 2 ** depth leaves, times splits and labels
-    paths = leaf_paths(model.toDebugString)
+    paths = leaf_paths(model)
     results = {}
     for depth in depths:
         votes: dict[tuple[int, ...], dict[float, int]] = {}
         for r in rows:
             node = paths[int(r["leaf"])][:depth]
             labels = votes.setdefault(node, {0.0: 0, 1.0: 0})
-            if r["split"] == "train":
+            if r["in_fit"]:
                 labels[r["label"]] += r["n"]
         cells: dict[tuple[str, float, float], int] = {}
         for r in rows:
@@ -159,67 +187,76 @@ def run_tree_depths(depths: Iterable[int], data: DataFrame) -> dict[int, Counts]
 def _counts_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(
         rows,
-        "subject string, setting string, seconds double, "
-        "split string, label double, prediction double, n bigint",
+        "subject string, setting string, n_coefficients int, split string, label double, prediction double, n bigint",
     )
 
 
-def _per_subject(examples: DataFrame, names: list[str], job: Callable, parallelism: int) -> list[tuple]:
-    """Run ``job(data) -> {setting: Counts}`` for each subject, a few at a time.
+def _per_subject(vectors: DataFrame, names: list[str], job: Callable, parallelism: int) -> list[tuple]:
+    """Run ``job(data) -> {setting: (Counts, coefficients)}`` for each subject, a few at a time.
 
-    ``examples`` has spark.ml vectors and is a stage table: every fit reads it,
-    none recomputes it.  ``seconds`` is the subject's time divided by its settings.
+    ``vectors`` is a stage table: every fit reads it, none recomputes it.
     """
 
-    def timed(task: tuple[int, str]) -> list[tuple]:
+    def run(task: tuple[int, str]) -> list[tuple]:
         position, name = task
-        started = time.monotonic()
-        results = job(for_subject(examples, position))
-        seconds = (time.monotonic() - started) / len(results)
-        return [(name, str(s), seconds, *c) for s, counts in results.items() for c in counts]
+        results = job(for_subject(vectors, position))
+        return [(name, str(s), used, *c) for s, (counts, used) in results.items() for c in counts]
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return [row for rows in pool.map(timed, enumerate(names)) for row in rows]
+        return [row for rows in pool.map(run, enumerate(names)) for row in rows]
 
 
 def accuracy_table(counts: DataFrame) -> DataFrame:
-    """One row per subject and setting: document counts and accuracies of each split."""
-    measures = binary_metrics(counts, "subject", "setting", "seconds", "split")
+    """One row per subject and setting: documents and accuracy of each split, training positives and majority share."""
+    keys = ["subject", "setting", "n_coefficients"]
+    measures = binary_metrics(counts, *keys, "split")
 
     def of(split: str, column: str):
         return F.max(F.when(F.col("split") == split, F.col(column)))
 
-    return measures.groupBy("subject", "setting", "seconds").agg(
+    table = measures.groupBy(*keys).agg(
         *[F.coalesce(of(s, "n_docs"), F.lit(0)).alias(f"{s}_docs") for s in SPLITS],
         *[of(s, "accuracy").alias(f"{s}_accuracy") for s in SPLITS],
+        F.coalesce(of("train", "positives"), F.lit(0)).alias("train_positives"),
     )
+    share = F.col("train_positives") / F.col("train_docs")
+    return table.withColumn("train_majority", F.greatest(share, 1 - share))
+
+
+def ml_vectors(examples: Examples, max_training_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
+    return with_ml_vectors(fitting_rows(examples.rows, max_training_rows), examples.buckets)
 
 
 def decision_tree_experiment(
-    examples: DataFrame,
-    names: list[str],
-    buckets: int = DEFAULT_BUCKETS,
+    examples: Examples,
     depths: Iterable[int] = DEPTHS,
     parallelism: int = 4,
+    max_training_rows: int = MAX_TRAINING_ROWS,
 ) -> DataFrame:
     """The depth sweep, one fit per subject; ``setting`` is the maximal depth."""
-    vectors = with_ml_vectors(examples, buckets)
-    rows = _per_subject(vectors, names, lambda data: run_tree_depths(depths, data), parallelism)
-    return accuracy_table(_counts_table(examples.sparkSession, rows))
+    vectors = ml_vectors(examples, max_training_rows)
+
+    def job(data: DataFrame) -> dict[int, tuple]:
+        return {depth: (counts, None) for depth, counts in run_tree_depths(depths, data).items()}
+
+    rows = _per_subject(vectors, examples.names, job, parallelism)
+    return accuracy_table(_counts_table(examples.rows.sparkSession, rows))
 
 
 def logistic_regression_experiment(
-    examples: DataFrame,
-    names: list[str],
-    buckets: int = DEFAULT_BUCKETS,
-    reg_params: Iterable[float] = (0.3,),
+    examples: Examples,
+    reg_params: Iterable[float] = REG_PARAMS[:1],
     parallelism: int = 8,
+    max_training_rows: int = MAX_TRAINING_ROWS,
 ) -> DataFrame:
-    """The regularisation sweep, one fit per subject and value; ``setting`` is the value."""
-    vectors = with_ml_vectors(examples, buckets)
+    """The regularisation sweep, one fit per subject and value; ``setting`` is the value.
+
+    At the reference's 0.3 few subjects get any coefficient; ``n_coefficients`` shows it.
+    """
+    vectors = ml_vectors(examples, max_training_rows)
 
-    def job(data: DataFrame) -> dict[float, Counts]:
+    def job(data: DataFrame) -> dict[float, tuple]:
         return {r: run_model(logistic_regression(r), data) for r in reg_params}
 
-    rows = _per_subject(vectors, names, job, parallelism)
-    return accuracy_table(_counts_table(examples.sparkSession, rows))
+    rows = _per_subject(vectors, examples.names, job, parallelism)
+    return accuracy_table(_counts_table(examples.rows.sparkSession, rows))

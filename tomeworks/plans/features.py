@@ -15,7 +15,7 @@ from tomeworks.operators.folds import cyclic_folds
 from tomeworks.operators.lookup import BROADCAST_BYTES
 from tomeworks.operators.subjects import with_metadata
 from tomeworks.operators.terms import term_bags, term_frequencies
-from tomeworks.operators.vectors import bucket_sums, hash_terms, sparse_vectors
+from tomeworks.operators.vectors import bag_vectors, bucket_sums, sparse_vectors
 from tomeworks.operators.vocabulary import document_count, document_frequency
 from tomeworks.operators.weights import inverse_frequency, tfidf, with_buckets
 from tomeworks.sources.sinks import save_by_fold, save_table
@@ -86,8 +86,7 @@ class Features:
 
     @property
     def tf_buckets(self) -> DataFrame:
-        s = self.settings
-        return bucket_sums(hash_terms(self.tf, s.buckets, s.hash_name), "tf")
+        return self.vectors("tf").select("doc_id", F.inline("vec"))
 
     @property
     def tfidf_buckets(self) -> DataFrame:
@@ -95,8 +94,12 @@ class Features:
 
     def vectors(self, weighting: str = "tfidf") -> DataFrame:
         """(doc_id, vec) for ``tfidf`` or ``tf`` weights."""
-        sums = {"tf": lambda: self.tf_buckets, "tfidf": lambda: self.tfidf_buckets}[weighting]()
-        return sparse_vectors(sums)
+        s = self.settings
+        if weighting == "tf":
+            return bag_vectors(self.bags, s.buckets, s.hash_name)
+        if weighting == "tfidf":
+            return sparse_vectors(self.tfidf_buckets)
+        raise ValueError(f"no such weighting: {weighting}")
 
     def manifest(self, metadata: DataFrame) -> DataFrame:
         """(doc_id, subjects, fold) of the documents with terms and metadata; folds

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomeworks.sources.tables import read_table, spread
+from tomeworks.sources.tables import read_table
 
 NL = "chr(10)"
 
@@ -35,6 +35,8 @@ MARKED_TEXT = (
 )
 
 FILE_NAME = "CAST(doc_id AS VARCHAR(20)) || '.txt'"
+# a unique path whose order is that of the ids
+PATH = f"lpad(CAST(doc_id AS VARCHAR(20)), 20, '0') || '/' || {FILE_NAME}"
 
 _SIZE = (
     "CASE WHEN doc_id % 50 = 0 THEN '3G' WHEN doc_id % 9 = 0 THEN CAST(n_chars AS VARCHAR(20)) || 'K' "
@@ -61,14 +63,15 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "documents")
 
 
-def corpus(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, text), spread over the cores."""
-    return spread(documents(spark, folder).select("doc_id", "text"), "doc_id")
+def corpus(spark: SparkSession, folder: str, partitions: int | None = None) -> DataFrame:
+    """(doc_id, text) as scanned.  For a small file in few row groups a caller may ask for more partitions."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    return docs.repartition(partitions, "doc_id") if partitions else docs
 
 
-def marked(spark: SparkSession, folder: str) -> DataFrame:
+def marked(spark: SparkSession, folder: str, partitions: int | None = None) -> DataFrame:
     """(doc_id, seq, file, text) with ids, headers and footers in the text."""
-    return corpus(spark, folder).selectExpr(
+    return corpus(spark, folder, partitions).selectExpr(
         "doc_id", "doc_id AS seq", f"{FILE_NAME} AS file", f"{MARKED_TEXT} AS text"
     )
 
@@ -90,15 +93,17 @@ def metadata_keys(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "labels").select(F.col("doc_id").cast("string").alias("doc_key"))
 
 
-def xml_records(spark: SparkSession, folder: str, broken_every: int = 0) -> DataFrame:
-    """(xml): one RDF record per document; every n-th is cut short when asked for."""
+def xml_records(spark: SparkSession, folder: str, broken_every: int = 0, nameless_every: int = 0) -> DataFrame:
+    """(xml): one RDF record per document; when asked for every n-th is cut short, or has no id."""
     subject = lambda s: F.concat(
         F.lit("<p:subject><rdf:Description><rdf:value>"), s, F.lit("</rdf:value></rdf:Description></p:subject>")
     )
     record = F.concat(
         F.lit(_PREFIX),
         F.lit('<p:ebook rdf:about="ebooks/'),
-        F.col("doc_id").cast("string"),
+        F.when(F.lit(nameless_every > 0) & (F.col("doc_id") % max(1, nameless_every) == 0), F.lit("none")).otherwise(
+            F.col("doc_id").cast("string")
+        ),
         F.lit('"><p:title>T</p:title>'),
         F.array_join(F.transform("subjects", subject), ""),
         F.lit("</p:ebook></rdf:RDF>"),

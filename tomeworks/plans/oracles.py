@@ -38,6 +38,7 @@ TF = "tf AS (SELECT doc_id, term, n, n / max(n) OVER (PARTITION BY doc_id) AS tf
 DF = "df AS (SELECT term, count(*) AS df FROM counts GROUP BY term)"
 ND = "nd AS (SELECT count(DISTINCT doc_id) AS n_docs FROM counts)"
 IDF = "idf AS (SELECT term, df, ln(n_docs / df) AS idf FROM df, nd)"
+PLAIN_IDF = "idf AS (SELECT term, df, n_docs / df AS idf FROM df, nd)"
 TFIDF = "tfidf AS (SELECT doc_id, term, tf, idf, tf * idf AS tfidf FROM tf JOIN idf USING (term))"
 _COUNTED = (TOKENS, CLEAN, COUNTS)
 _WEIGHTED = (*_COUNTED, TF, DF, ND, IDF, TFIDF)
@@ -84,6 +85,10 @@ priors AS (SELECT subject, label, ln(n + 1) - ln(sum(n) OVER (PARTITION BY subje
 class_sums AS (SELECT subject, label, bucket, sum(w) AS w FROM labelled JOIN sums USING (doc_id)
   WHERE split = 'train' GROUP BY 1, 2, 3),
 totals AS (SELECT subject, label, sum(w) AS total FROM class_sums GROUP BY 1, 2)"""
+def _scores(size: int = 10000) -> str:
+    return SCORES.replace("10000", str(size))
+
+
 SCORES = """scores AS (SELECT l.doc_id, l.split, l.subject, l.label, p.label AS class,
   p.pi + sum(s.w * (ln(coalesce(c.w, 0) + 1) - ln(t.total + 10000))) AS score
   FROM labelled l JOIN priors p ON l.subject = p.subject
@@ -95,8 +100,9 @@ predicted AS (SELECT doc_id, split, subject, label, arg_max(class, score) AS pre
   FROM scores GROUP BY 1, 2, 3, 4)"""
 
 
-def _bayes(plan: str) -> tuple[str, ...]:
-    return (*_WEIGHTED, _sums("tfidf", "tfidf"), META, MANIFEST, TOP, _labelled(plan), BAYES)
+def _bayes(plan: str, size: int = 10000, idf: str = IDF) -> tuple[str, ...]:
+    weighted = (*_COUNTED, TF, DF, ND, idf, TFIDF)
+    return (*weighted, _sums("tfidf", "tfidf", size), META, MANIFEST, TOP, _labelled(plan), BAYES)
 
 
 _PREDICTED = (*_bayes("7/2/1"), SCORES)
@@ -114,13 +120,36 @@ _MEASURES = """SELECT subject, split, n_docs, true_pos + false_neg AS positives,
   round(true_neg / nullif(true_neg + false_pos, 0), 6) AS specificity"""
 
 
-def _digest(plan: str, source: str, weight: str) -> str:
+def _entries(plan: str, source: str, weight: str) -> str:
     ctes = (*_WEIGHTED, _sums(source, weight), META, MANIFEST, TOP, _labelled(plan))
-    select = """SELECT subject, split, label, count(*) AS n_docs, round(sum(w), 3) AS weight
-      FROM labelled JOIN (SELECT doc_id, sum(w) AS w FROM sums GROUP BY doc_id) USING (doc_id) GROUP BY 1, 2, 3"""
+    select = """SELECT doc_id, split, positives, bucket, round(w, 6) AS w FROM sums JOIN
+      (SELECT doc_id, split, coalesce(string_agg(subject, '|' ORDER BY subject) FILTER (label = 1), '') AS positives
+       FROM labelled GROUP BY doc_id, split) USING (doc_id)"""
     return _sql(*ctes, select=select)
 
 
+_FIT = """SELECT subject, setting, train_docs, test_docs, validate_docs, train_positives,
+  round(greatest(train_positives / train_docs, 1 - train_positives / train_docs), 6) AS train_majority,
+  true AS reaches_majority FROM
+  (SELECT subject, count(*) FILTER (split = 'train') AS train_docs, count(*) FILTER (split = 'test') AS test_docs,
+   count(*) FILTER (split = 'validate') AS validate_docs,
+   count(*) FILTER (split = 'train' AND label = 1) AS train_positives FROM labelled GROUP BY subject)"""
+
+
+def _fits(settings: list[str], plan: str = "7/2/1", subjects: str = "true") -> str:
+    values = ", ".join(f"('{s}')" for s in settings)
+    select = f"{_FIT} CROSS JOIN (VALUES {values}) v(setting) WHERE {subjects}"
+    return _sql(*_RUN, TOP, _labelled(plan), select=select)
+
+
+def _embedding_fits(settings: list[str]) -> str:
+    """Vectors that come ready-made; their labels are the subjects."""
+    run = """manifest AS (SELECT vec_id AS doc_id, [CAST(label AS VARCHAR)] AS subjects,
+      CAST((row_number() OVER (ORDER BY vec_id) - 1) % 10 AS INTEGER) AS fold FROM embeddings)"""
+    values = ", ".join(f"('{s}')" for s in settings)
+    return _sql(run, TOP, _labelled("7/2/1"), select=f"{_FIT} CROSS JOIN (VALUES {values}) v(setting)")
+
+
 # Raw text with markers, its lines, and the marker lines.
 MARKED = (
     f"marked AS (SELECT doc_id, doc_id AS seq, {inputs.FILE_NAME} AS file, {inputs.MARKED_TEXT} AS text FROM documents)"
@@ -144,6 +173,9 @@ _MARKED = (MARKED, LINES, MARKS)
 _BODY = """body AS (SELECT l.doc_id, l.line_no - m.header_line - 1 AS line_no, line, footer_line
   FROM lines l JOIN marks m ON l.doc_id = m.doc_id WHERE l.line_no > m.header_line
   AND (m.footer_line IS NULL OR m.footer_line = 0 OR l.line_no < m.footer_line))"""
+_BODY_MD5 = """SELECT m.doc_id, md5(coalesce(string_agg(line, chr(10) ORDER BY line_no), '') ||
+  CASE WHEN count(b.line_no) > 0 AND m.footer_line > 0 THEN chr(10) ELSE '' END) AS body_md5
+  FROM marks m LEFT JOIN body b ON m.doc_id = b.doc_id WHERE m.header_line IS NOT NULL GROUP BY m.doc_id, m.footer_line"""
 _ID_OF_LINE = (
     "regexp_replace(regexp_replace(substr(line, strpos(line, '{m}')), '\\].*', ''), '[^0-9]', '', 'g')"
 )
@@ -186,9 +218,6 @@ growth AS (SELECT c.doc_id, c.words, coalesce(f.new, 0) AS new FROM
   (SELECT doc_id, count(*) AS new FROM first_seen GROUP BY doc_id) f ON c.doc_id = f.doc_id)"""
 PARTS = """arriving AS (SELECT term FROM counts WHERE doc_id % 2 = 1),
 known AS (SELECT term, count(*) AS df FROM counts WHERE doc_id % 2 = 0 GROUP BY term)"""
-CAPPED = """capped AS (SELECT * FROM counts WHERE doc_id IN (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 100)),
-capped_idf AS (SELECT term, ln((SELECT count(DISTINCT doc_id) FROM capped) / count(*)) AS idf FROM capped GROUP BY term)"""
-
 
 def _histogram(value: str, ctes: tuple[str, ...] = (TOKENS,), source: str = "tokens", where: str = "true") -> str:
     return _sql(*ctes, select=f"SELECT {value} AS token, count(*) AS n FROM {source} WHERE {where} GROUP BY 1")
@@ -198,7 +227,8 @@ _VECTORS = (*_WEIGHTED, _sums("tfidf", "tfidf"), META, MANIFEST)
 
 ORACLES: dict[str, str] = {
     "s1_corpus_text": "SELECT doc_id, length(text) AS n_chars, len(string_split(text, chr(10))) AS n_lines FROM documents",
-    "s2_recursive_text_files": "SELECT doc_id, length(text) AS n_chars, len(string_split(text, chr(10))) AS n_lines FROM documents",
+    "s2_recursive_text_files": """SELECT source, CAST(sum(length(text) + 1) AS BIGINT) AS n_chars,
+      CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS n_lines FROM documents GROUP BY source""",
     "s3_lines_with_partition_hint": """SELECT length(line) AS n_chars, count(*) AS n_lines
       FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY 1""",
     "s4_manifest_lines": _sql(*_RUN, select="SELECT doc_id, doc_id || '.tf' AS file, fold, array_to_string(subjects, '|') AS subjects FROM manifest"),
@@ -211,9 +241,11 @@ ORACLES: dict[str, str] = {
     "k2_run_manifest": _sql(*_RUN, select=f"SELECT {LINE} AS line FROM manifest"),
     "k3_idf_manifest": _sql(*_RUN, select=f"SELECT {LINE} || ',' AS line FROM manifest ORDER BY doc_id LIMIT 100"),
     "k4_frequency_tables": _sql(*_COUNTED, DF, ND, IDF, select="SELECT term, df, round(idf, 6) AS idf FROM idf"),
-    "k5_fold_partitioned_vectors": _sql(*_VECTORS, select="SELECT fold, count(DISTINCT doc_id) AS n_docs, count(*) AS n_entries, round(sum(w), 3) AS weight FROM sums JOIN manifest USING (doc_id) GROUP BY fold"),
-    "k6_metadata_csv": _sql(META, select=f"""SELECT CASE WHEN doc_id % 17 = 0 THEN 'unreadable' ELSE 'written' END AS outcome, count(*) AS n,
-      CAST(sum(CASE WHEN doc_id % 17 = 0 THEN 0 ELSE length({RECORD}) END) AS BIGINT) AS n_chars FROM meta GROUP BY 1"""),
+    "k5_fold_partitioned_vectors": _sql(*_VECTORS, select="SELECT fold, doc_id, bucket, round(w, 6) AS w FROM sums JOIN manifest USING (doc_id)"),
+    "k6_metadata_csv": _sql(META, select=f"""SELECT outcome, count(*) AS n,
+      CAST(sum(CASE WHEN outcome = 'written' THEN length({RECORD}) ELSE 0 END) AS BIGINT) AS n_chars FROM (SELECT *,
+      CASE WHEN doc_id % 17 = 0 THEN 'unreadable' WHEN doc_id % 19 = 0 THEN 'no_id' ELSE 'written' END AS outcome FROM meta)
+      GROUP BY outcome"""),
     "k7_subject_counts": _sql(META, SUBJECT_ROWS, select="SELECT subject, count(*) AS n FROM subject_rows GROUP BY subject"),
     "k8_status_table": _sql(*_AUDIT, select=f"""SELECT s.doc_id || '.txt' AS file, book_id AS doc_key, status, g.fold FROM statuses s LEFT JOIN
       (SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) - 1) % 10 AS INTEGER) AS fold FROM statuses WHERE status = 'GOOD') g
@@ -227,9 +259,7 @@ ORACLES: dict[str, str] = {
     "f3_header_strip": _sql(*_MARKED, select="""SELECT l.doc_id, md5(string_agg(line, chr(10) ORDER BY l.line_no)) AS body_md5
       FROM lines l JOIN marks m ON l.doc_id = m.doc_id WHERE l.line_no > m.header_line GROUP BY l.doc_id"""),
     "f4_footer_line": _sql(*_MARKED, select="SELECT doc_id, footer_line FROM marks"),
-    "f5_footer_strip": _sql(*_MARKED, _BODY, select="""SELECT m.doc_id, md5(coalesce(string_agg(line, chr(10) ORDER BY line_no), '') ||
-      CASE WHEN count(b.line_no) > 0 AND m.footer_line > 0 THEN chr(10) ELSE '' END) AS body_md5
-      FROM marks m LEFT JOIN body b ON m.doc_id = b.doc_id WHERE m.header_line IS NOT NULL GROUP BY m.doc_id, m.footer_line"""),
+    "f5_footer_strip": _sql(*_MARKED, _BODY, select=_BODY_MD5),
     "f6_body_lines": _sql(*_MARKED, _BODY, select="SELECT doc_id, line_no, md5(line) AS line_md5 FROM body WHERE length(line) > 0"),
     "f7_token_cleaning": _sql(TOKENS, CLEAN, select="SELECT term, count(*) AS n FROM terms GROUP BY term"),
     "f8_good_files": _sql(*_AUDIT, select="SELECT doc_id, doc_id || '.txt' AS file FROM statuses WHERE status = 'GOOD' AND doc_id % 29 <> 1"),
@@ -244,7 +274,7 @@ ORACLES: dict[str, str] = {
     "f16_rescale": _sql(*_WEIGHTED, select="SELECT doc_id, term, tf, round(idf, 6) AS idf, round(tfidf, 6) AS tfidf FROM tfidf"),
     "f17_listing_projection": _sql(*LISTING, select="SELECT file || ',' || size_text AS record FROM files"),
     "f18_id_normalisation": "SELECT doc_id, CAST(doc_id AS VARCHAR) AS from_about, CAST(doc_id AS VARCHAR) AS from_record, CAST(doc_id AS VARCHAR) AS from_file FROM documents",
-    "j1_tf_idf_join": _sql(*_COUNTED, TF, CAPPED, select="SELECT doc_id, term, tf, round(idf, 6) AS idf FROM tf JOIN capped_idf USING (term)"),
+    "j1_tf_idf_join": _sql(*_WEIGHTED, select="SELECT doc_id, term, tf, round(idf, 6) AS idf FROM tf JOIN idf USING (term)"),
     "j2_file_status_lookup": _sql(*_AUDIT, select="SELECT doc_id, doc_id || '.txt' AS file, status FROM statuses"),
     "j3_metadata_lookup": "SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id",
     "j4_metadata_exists": "SELECT doc_id, doc_id IN (SELECT doc_id FROM labels) AS known FROM documents",
@@ -257,7 +287,7 @@ ORACLES: dict[str, str] = {
     "a3_document_frequency": _sql(*_COUNTED, DF, select="SELECT term, df FROM df"),
     "a4_merged_frequencies": _sql(*_COUNTED, DF, select="SELECT term, df FROM df"),
     "a5_document_count": _sql(*_COUNTED, ND, select="SELECT n_docs FROM nd"),
-    "a6_subject_frequency": _sql(*_RUN, select="SELECT subject, count(*) AS n FROM (SELECT unnest(subjects) AS subject FROM manifest WHERE fold < 7) GROUP BY subject"),
+    "a6_subject_frequency": _sql(*_RUN, select="SELECT subject, count(*) AS n FROM (SELECT unnest(subjects) AS subject FROM manifest) GROUP BY subject"),
     "a7_metadata_terms": _sql(META, RECORDS, select="SELECT term, count(*) AS n FROM (SELECT unnest(string_split(value, ',')) AS term FROM records) WHERE length(term) > 0 GROUP BY term"),
     "a8_status_histogram": _sql(*_AUDIT, select="SELECT status, count(*) AS n FROM statuses GROUP BY status"),
     "a9_audit_totals": _sql(*_AUDIT, select="""SELECT count(*) AS files, count(*) FILTER (status = 'DUPLICATE') AS duplicates,
@@ -272,6 +302,11 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'metadata', count(*) FROM documents UNION ALL SELECT 'listing', count(*) FROM files
       UNION ALL SELECT 'oversize', count(*) FROM sized WHERE size_mb > 2.5"""),
     "w1_cyclic_folds": "SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) - 1) % 10 AS INTEGER) AS fold FROM documents",
+    "w1_hashed_folds": "SELECT doc_id, true AS in_range FROM documents",
+    "p1_eligible_corpus": _sql(*_AUDIT, MARKS, _BODY, *LISTING, select=f"""SELECT CAST(s.book_id AS BIGINT) AS doc_id, body_md5 FROM statuses s JOIN
+      ({_BODY_MD5}) b ON s.doc_id = b.doc_id WHERE status = 'GOOD'
+      AND s.doc_id || '.txt' NOT IN (SELECT file FROM sized WHERE size_mb > 2.5)
+      AND s.doc_id || '.txt' NOT IN ({_quoted(HAND_PICKED_EXCLUSIONS)})"""),
     "w2_first_copy_status": _sql(
         "digests AS (SELECT doc_id, md5(text) AS doc_key FROM documents)",
         _status("digests", "doc_key", "SELECT doc_key FROM digests WHERE doc_id IN (SELECT doc_id FROM labels)"),
@@ -280,6 +315,7 @@ ORACLES: dict[str, str] = {
     "w3_vocabulary_growth": _sql(*_COUNTED, FIRST_SEEN, select="SELECT doc_id, new, CAST(sum(new) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS vocabulary FROM growth"),
     "w4_max_normalised": _sql(*_COUNTED, TF, select="SELECT doc_id, term, tf FROM tf"),
     "o1_top_subjects_of_run": _sql(*_RUN, TOP, select="SELECT subject, n FROM top"),
+    "o3_sample_rows": _sql(*_WEIGHTED, select="SELECT doc_id, term, round(tfidf, 6) AS tfidf FROM tfidf ORDER BY doc_id, term LIMIT 10"),
     "o2_subject_ranking": _sql(META, SUBJECT_ROWS, select="SELECT subject AS term, count(*) AS n FROM subject_rows GROUP BY 1 ORDER BY n DESC, term"),
     "o2_top_14_terms": _sql(META, SUBJECT_ROWS, select="SELECT subject AS term, count(*) AS n FROM subject_rows GROUP BY 1 ORDER BY n DESC, term LIMIT 14"),
     "u1_union_of_states": _sql(*_COUNTED, PARTS, select="SELECT df, count(*) AS n_rows FROM (SELECT term, df FROM known UNION ALL SELECT term, 1 FROM arriving) GROUP BY df"),
@@ -294,14 +330,25 @@ ORACLES: dict[str, str] = {
        FROM (SELECT doc_id, term, round(tfidf, 6) AS tfidf FROM tfidf)) WHERE rank <= 5"""),
     "m5_hash_vectors": _sql(*_WEIGHTED, _sums("tfidf", "tfidf"), select="SELECT doc_id, bucket, round(w, 6) AS w FROM sums"),
     "m5_hash_vectors_6000": _sql(*_WEIGHTED, _sums("tfidf", "tfidf", 6000), select="SELECT doc_id, bucket, round(w, 6) AS w FROM sums"),
-    "m6_tf_training_set": _digest("4/3/3", "tf", "tf"),
-    "m7_tfidf_training_set": _digest("7/2/1", "tfidf", "tfidf"),
+    "m5_hash_vectors_fast": _sql(*_WEIGHTED, select="SELECT doc_id, round(sum(tfidf), 6) AS weight, true AS in_range FROM tfidf GROUP BY doc_id"),
+    "m6_tf_training_set": _entries("4/3/3", "tf", "tf"),
+    "m7_tfidf_training_set": _entries("7/2/1", "tfidf", "tfidf"),
     "m8_naive_bayes_model": _sql(*_bayes("7/3"), select="""SELECT t.subject, t.label, b.bucket,
       round(ln(coalesce(c.w, 0) + 1) - ln(t.total + 10000), 6) AS theta
       FROM totals t CROSS JOIN (SELECT DISTINCT bucket FROM class_sums) b
       LEFT JOIN class_sums c ON c.subject = t.subject AND c.label = t.label AND c.bucket = b.bucket"""),
     "m8_naive_bayes_priors": _sql(*_bayes("7/3"), select="SELECT subject, label, round(pi, 6) AS pi FROM priors"),
     "m9_naive_bayes_experiment": _sql(*_bayes("7/3"), SCORES, _CELLS, select=_MEASURES + ", 10000 AS buckets, true AS log_used FROM cells"),
+    "m9_naive_bayes_no_log": _sql(*_bayes("7/3", idf=PLAIN_IDF), SCORES, _CELLS, select=_MEASURES + ", 10000 AS buckets, false AS log_used FROM cells"),
+    "m9_naive_bayes_6000": _sql(*_bayes("7/3", 6000), _scores(6000), _CELLS, select=_MEASURES + ", 6000 AS buckets, true AS log_used FROM cells"),
+    "m10_decision_tree": _fits(["3"], subjects="subject = (SELECT subject FROM top ORDER BY n DESC, subject LIMIT 1)"),
+    "m10_embedding_trees": _embedding_fits(["2", "3", "4"]),
+    "m11_decision_tree_sweep": _fits(["2", "3", "4"]),
+    "m11_decision_tree_tf_sweep": _fits([f"{n}/{d}" for n in (10000, 8000, 6000) for d in (2, 3, 4)], "4/3/3"),
+    "m12_logistic_regression": _fits(["0.3"]),
+    "m12_embedding_regressions": _embedding_fits(["0.01"]),
+    "m13_logistic_regression_sweep": _fits(["0.3", "0.1", "0.01", "0.001"]),
+    "m13_logistic_regression_tf_sweep": _fits([f"{n}/{r}" for n in (10000, 8000, 6000) for r in ("0.3", "0.01")], "4/3/3"),
     "m14_predictions": _sql(*_PREDICTED, select="SELECT doc_id, split, subject, label, prediction FROM predicted"),
     "m15_alternative_split": _sql(*_RUN, select=f"SELECT doc_id, fold, {_split_case('4/3/3')} AS split FROM manifest"),
     "x1_split_words": _histogram("token"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tomeworks.functions.fields import digits, ebook_id
@@ -19,6 +19,12 @@ _OPTIONS = {
 }
 
 
+def metadata_files(spark: SparkSession, folder: str, name_glob: str = "*.rdf") -> DataFrame:
+    """(path, xml): one record per file of a metadata tree, in all its sub-folders."""
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", name_glob)
+    return files.text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("xml"))
+
+
 def parse_metadata(records: DataFrame, column: str = "xml") -> DataFrame:
     """(doc_id, subjects, is_bad) for every XML record.
 
@@ -34,5 +40,11 @@ def parse_metadata(records: DataFrame, column: str = "xml") -> DataFrame:
     )
 
 
+def with_outcome(metadata: DataFrame) -> DataFrame:
+    """``metadata`` with ``outcome``: unreadable, no_id or read.  Every record has one."""
+    outcome = F.when(F.col("is_bad"), "unreadable").when(F.col("doc_id").isNull(), "no_id").otherwise("read")
+    return metadata.withColumn("outcome", outcome)
+
+
 def usable(metadata: DataFrame) -> DataFrame:
     return metadata.where(~F.col("is_bad") & F.col("doc_id").isNotNull()).select("doc_id", "subjects")

@@ -12,19 +12,6 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core work when a scan has few partitions.
-
-    A small file may be one row group, hence one busy task, however many cores
-    there are.  Scans of many partitions are left alone: they are parallel
-    already, and text should not be shuffled.  ``df`` must be a plain scan.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < 4 * cores:
-        return df.repartition(cores, key)
-    return df
-
-
 def read_features(spark: SparkSession, path: str, folds: Iterable[int] | None = None) -> DataFrame:
     """A saved feature table; with ``folds`` only those fold folders are read."""
     table = spark.read.parquet(path)

@@ -52,14 +52,35 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    staged = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    staged.stage_path = path
+    return staged
+
+
+def _target(spark: SparkSession, path: str):
+    """The path and its file system."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target, files = _target(spark, path)
+    return files.exists(target)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The paths right below a folder."""
+    target, files = _target(spark, path)
+    return [str(s.getPath()) for s in files.listStatus(target)]
+
+
+def last_change(spark: SparkSession, path: str) -> int:
+    """When a file or folder was last written, in milliseconds."""
+    target, files = _target(spark, path)
+    return files.getFileStatus(target).getModificationTime()
 
 
 def still_staged(df: DataFrame) -> bool:
     """Whether the files of a stage table are still there, for tables kept across jobs."""
-    context = df.sparkSession.sparkContext
-    files = df.inputFiles()
-    if not files:
-        return False
-    path = context._jvm.org.apache.hadoop.fs.Path(files[0])
-    return path.getFileSystem(context._jsc.hadoopConfiguration()).exists(path)
+    return exists(df.sparkSession, df.stage_path)

@@ -6,8 +6,9 @@ Two forms with the same result:
   terms that changed;
 * ``start_frequency_log`` keeps no state.  Every micro-batch is reduced to
   (term, df) and written to its own folder, named after the batch, so that a
-  batch replayed after a failure replaces its own output.  ``snapshot`` adds the
-  folders up.
+  batch replayed after a failure replaces its own output.  From time to time the
+  folders are merged into a state table; ``snapshot`` adds up the newest one and
+  the batches after it.
 
 IDF is computed from a snapshot: N changes with every document, so an IDF inside
 the stream would have to touch every term each time.
@@ -23,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tomeworks.functions.text import terms
 from tomeworks.operators.terms import term_bags
 from tomeworks.operators.vocabulary import document_count, document_frequency
-from tomeworks.sources.tables import spread
+from tomeworks.staging import children, exists, stage
 
 DOCUMENT_SCHEMA = T.StructType(
     [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())]
@@ -44,8 +45,9 @@ def running_frequency(documents: DataFrame, drop_replays: bool = False) -> DataF
     """Streaming (term, df).
 
     Each document is reduced to its distinct terms inside its row, so the only
-    state is one count per term.  ``drop_replays`` also remembers every doc_id;
-    with an event-time column use ``dropDuplicatesWithinWatermark`` before this.
+    state is one count per term, in RocksDB (``session.SETTINGS``).  ``drop_replays`` also
+    remembers every doc_id for ever: for a stream without end use the log, whose
+    ids are a table, or an event-time column with ``dropDuplicatesWithinWatermark``.
     """
     if drop_replays:
         documents = documents.dropDuplicates(["doc_id"])
@@ -53,15 +55,33 @@ def running_frequency(documents: DataFrame, drop_replays: bool = False) -> DataF
     return each.groupBy("term").agg(F.count("*").alias("df"))
 
 
-def start_frequency_log(documents: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
-    """Log the document frequencies of each micro-batch below ``folder`` until none are left."""
+def start_frequency_log(
+    documents: DataFrame, folder: str, checkpoint: str, merge_every: int = 20, drop_replays: bool = False
+) -> StreamingQuery:
+    """Log the document frequencies of each micro-batch below ``folder`` until none are left.
+
+    Every ``merge_every`` batches the log is merged into one state table, so a
+    snapshot reads a bounded number of folders.  ``drop_replays`` leaves out documents whose id
+    an earlier batch has logged; the ids are a table below ``folder``, not operator state.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # two small results from one pass over the batch
-        bags = term_bags(spread(batch.select("doc_id", "text"), "doc_id")).persist()
+        spark = batch.sparkSession
+        fresh = batch.select("doc_id", "text")
+        if drop_replays:
+            ids = f"{folder}/ids"
+            seen = spark.read.schema("doc_id bigint, batch bigint").parquet(ids) if exists(spark, ids) else None
+            fresh = fresh.dropDuplicates(["doc_id"])
+            if seen is not None:  # its own ids are there when the batch is run again
+                fresh = fresh.join(seen.where(F.col("batch") < batch_id).select("doc_id"), "doc_id", "left_anti")
+        # several small results from one pass over the batch
+        bags = stage(term_bags(fresh), "stream-bags")
         document_frequency(bags).write.mode("overwrite").parquet(f"{folder}/terms/batch={batch_id}")
         document_count(bags).write.mode("overwrite").parquet(f"{folder}/docs/batch={batch_id}")
-        bags.unpersist()
+        if drop_replays:
+            bags.select("doc_id").write.mode("overwrite").parquet(f"{folder}/ids/batch={batch_id}")
+        if (batch_id + 1) % merge_every == 0:
+            merge(spark, folder, batch_id)
 
     return (
         documents.writeStream.foreachBatch(write)
@@ -71,8 +91,42 @@ def start_frequency_log(documents: DataFrame, folder: str, checkpoint: str) -> S
     )
 
 
+def _merged_upto(spark: SparkSession, folder: str) -> int:
+    """The last batch of the newest complete state table, -1 when there is none."""
+    path = f"{folder}/merged"
+    if not exists(spark, path):
+        return -1
+    done = [int(p.rsplit("=", 1)[1]) for p in children(spark, path) if exists(spark, f"{p}/docs/_SUCCESS")]
+    return max(done, default=-1)
+
+
+def _parts(spark: SparkSession, folder: str, kind: str, upto: int | None = None) -> DataFrame:
+    """The newest state table and the batches after it, up to a given one."""
+    base = _merged_upto(spark, folder)
+    log = spark.read.parquet(f"{folder}/{kind}").where(F.col("batch") > base)
+    if upto is not None:
+        log = log.where(F.col("batch") <= upto)
+    columns = [c for c in log.columns if c != "batch"]
+    if base < 0:
+        return log.select(*columns)
+    return spark.read.parquet(f"{folder}/merged/upto={base}/{kind}").select(*columns).unionByName(log.select(*columns))
+
+
+def _summed(spark: SparkSession, folder: str, upto: int | None = None) -> tuple[DataFrame, DataFrame]:
+    frequencies = _parts(spark, folder, "terms", upto).groupBy("term").agg(F.sum("df").alias("df"))
+    documents = _parts(spark, folder, "docs", upto).agg(F.sum("n_docs").alias("n_docs"))
+    return frequencies, documents
+
+
+def merge(spark: SparkSession, folder: str, upto: int) -> None:
+    """One state table of everything up to batch ``upto``; batches run again later do not change it."""
+    if _merged_upto(spark, folder) >= upto:
+        return
+    frequencies, documents = _summed(spark, folder, upto)
+    frequencies.write.mode("overwrite").parquet(f"{folder}/merged/upto={upto}/terms")
+    documents.write.mode("overwrite").parquet(f"{folder}/merged/upto={upto}/docs")
+
+
 def snapshot(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """(term, df) and the one-row document count of everything logged so far."""
-    frequencies = spark.read.parquet(f"{folder}/terms").groupBy("term").agg(F.sum("df").alias("df"))
-    documents = spark.read.parquet(f"{folder}/docs").agg(F.sum("n_docs").alias("n_docs"))
-    return frequencies, documents
+    return _summed(spark, folder)
