@@ -36,7 +36,7 @@ from tomeworks.staging import stage
 WINDOW = 8
 COVER = 0.5
 BLOCK = 1_000_000
-_REMEMBERED = 300_000
+_REMEMBERED = 500_000
 
 # Fixed word lists.
 NUMBER_WORDS = frozenset(
@@ -54,6 +54,8 @@ _NUMBER = re.compile(r"[-+]?[$€£]?\d[\d.,:/]*[%€$£]?")
 _STUCK = re.compile(rf"(?<=\d)(?=(?:{'|'.join(sorted((re.escape(u) for u in UNITS if u != '%'), key=len, reverse=True))})\b)")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
+_OUTER = "()[]{}<>\"'.,;:!?*#&|"
+
 _WORD, _NUM, _UNIT, _CAPITAL, _NONE = range(5)
 _SENTENCE_END = 8
 _STEP = 0x9E3779B97F4A7C15
@@ -68,8 +70,11 @@ class _Words(dict):
         self.hashes, self.kinds, self.values = [], [], []
 
     def __missing__(self, word: str) -> int:
-        number = _NUMBER.fullmatch(word.strip("()[]{}<>\"'.,;:!?*#&|"))
-        core = number[0].rstrip(".,:/") if number else _EDGES.sub("", word)
+        core = word.strip(_OUTER)
+        number = None
+        if not core.isalpha():  # most words are, and need no pattern
+            number = _NUMBER.fullmatch(core)
+            core = number[0].rstrip(".,:/") if number else _EDGES.sub("", word)
         lower = core.lower()
         if not core:
             kind = _NONE
@@ -79,7 +84,8 @@ class _Words(dict):
             kind = _UNIT
         else:
             kind = _CAPITAL if len(core) > 1 and core[0].isupper() and core[1:].islower() else _WORD
-        ends = _SENTENCE_END if word.rstrip("\"')]}»”’*#$%&|<> ").endswith((".", "!", "?", ":")) else 0
+        last = word if word.isalpha() else word.rstrip("\"')]}»”’*#$%&|<> ")
+        ends = _SENTENCE_END if last.endswith((".", "!", "?", ":")) else 0
         place = self[word] = len(self.kinds)
         self.hashes.append(xxhash.xxh3_64_intdigest(lower.encode()))
         self.kinds.append(kind | ends)
