@@ -12,7 +12,7 @@ Links are confirmed on the full sets.  Comparing all members of a bucket would
 square its size, so a bucket is a star: its members are compared with the
 member that has most bucket-mates.  What a star leaves unlinked may still be linked with
 others, so the members outside the largest component of a bucket are compared
-with all of its members, in blocks of bounded size.  No bucket is capped and no
+with all of its members but the centre, in blocks of bounded size.  No bucket is capped and no
 member dropped.
 
 Components are found on the links, and every document gets the smallest doc_id
@@ -155,12 +155,16 @@ def _near_in_size(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _star_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Every member with the centre of each of its buckets, once."""
+def _centres(members: DataFrame) -> DataFrame:
+    """(bucket, c): the member of each bucket that has most bucket-mates, in all its buckets together."""
     mates = members.groupBy("key").agg(F.sum("n_members").alias("mates"))
     ranked = members.join(mates, "key")
     centre = F.max_by(F.struct("key", "n_shingles"), F.struct("mates", "key"))
-    centres = ranked.groupBy("bucket").agg(centre.alias("c"))
+    return ranked.groupBy("bucket").agg(centre.alias("c"))
+
+
+def _star_pairs(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
+    """Every member with the centre of each of its buckets, once."""
     pairs = members.join(centres, "bucket").where(F.col("key") != F.col("c.key"))
     fitting = pairs.where(_near_in_size(F.col("n_shingles"), F.col("c.n_shingles"), percent))
     return fitting.select(F.col("key").alias("a"), F.col("c.key").alias("b")).distinct()
@@ -174,11 +178,13 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(_linked(shared, F.size("set_a"), F.size("set_b"), percent)).select("a", "b")
 
 
-def _rest_blocks(members: DataFrame, roots: DataFrame) -> DataFrame:
+def _rest_blocks(members: DataFrame, centres: DataFrame, roots: DataFrame) -> DataFrame:
     """Rows (bucket, ublock, mblock, is_query, key, root) of the comparisons that the stars leave open.
 
-    The queries are the members outside the largest component of their bucket.
+    The centre has been compared with all others; of these, the queries are the
+    ones outside their largest component.
     """
+    members = members.join(centres, "bucket").where(F.col("key") != F.col("c.key"))
     rooted = members.join(roots, members["key"] == roots["node"], "left")
     rooted = rooted.select("bucket", "key", "n_shingles", F.coalesce("root", "key").alias("root"))
     parts = rooted.groupBy("bucket", "root").agg(F.sum("n_shingles").alias("n"))
@@ -241,8 +247,9 @@ def links(classes: DataFrame, rows: DataFrame, size: int, percent: int) -> DataF
     wanted = stage(members.select("key").distinct().join(classes.select("key", "row_key"), "key"), "candidates")
     chosen = small_join(rows, wanted, wanted.count(), ["row_key"], "inner").dropDuplicates(["key"])
     sets = stage(chosen.select("key", _sets(size)(F.col("text")).alias("set")), "sets")
-    stars = stage(_confirmed(_star_pairs(members, percent), sets, percent), "star-links")
-    blocks = stage(_rest_blocks(members, stage(components(stars), "roots")), "blocks")
+    centres = stage(_centres(members), "centres")
+    stars = stage(_confirmed(_star_pairs(members, centres, percent), sets, percent), "star-links")
+    blocks = stage(_rest_blocks(members, centres, stage(components(stars), "roots")), "blocks")
     rest = blocks.join(sets, "key").groupBy("bucket", "ublock", "mblock").applyInPandas(_compare(percent), "a binary, b binary")
     return stars.unionByName(rest)
 
