@@ -46,7 +46,7 @@ WIDTH = 16
 CONTEXT, STRIDE = 16, 12
 SAMPLE, TRAINERS, ROUNDS, BATCH, STEPS, RATE = 2_000, 6, 3, 256, 100, 0.01
 _FLUSH = 300_000
-_REMEMBERED = 200_000
+_REMEMBERED = 600_000
 _BLOCK = 512
 _SHAPES = {
     "E": (OWN_EMBEDDINGS + SHARED_EMBEDDINGS + 1, WIDTH),
@@ -95,8 +95,10 @@ def _id_counts(shared, n_ids: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, total = shared.value.encode, np.zeros(n_ids)
         for batch in batches:
-            for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
-                np.add.at(total, encode(" " + word.decode(errors="replace")), n)
+            ids = [encode(" " + word.decode(errors="replace")) for word in batch.column("word").to_pylist()]
+            if ids:
+                times = np.repeat(batch.column("n").to_numpy(), [len(x) for x in ids])
+                total += np.bincount(np.concatenate(ids), times, n_ids)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at].astype(np.int64))], names=["id", "n"])
 

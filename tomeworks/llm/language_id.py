@@ -37,7 +37,9 @@ SWITCH = 8.0
 NONE = "und"
 _LONGEST_GRAM = 4
 _REMEMBERED = 200_000
-_TRELLIS = 1 << 25  # cells of one search
+_NEW_WORDS = 20_000  # scored at a time
+_TRELLIS = 1 << 24  # cells of one search
+_CHARS = 2_000_000  # of the texts searched together; a longer text is searched alone
 _WORD = re.compile(r"[^\W\d_]+")
 
 # First code point of each range and its script; fixed values.
@@ -144,7 +146,8 @@ class Model:
         new = list({w for words in split for w in words if w not in self.places})
         if new:
             start = len(self.scores)
-            self.scores = np.concatenate([self.scores, self.word_scores(new)])
+            parts = [self.word_scores(new[i : i + _NEW_WORDS]) for i in range(0, len(new), _NEW_WORDS)]
+            self.scores = np.concatenate([self.scores, *parts])
             self.places.update(zip(new, range(start, start + len(new))))
         return [np.fromiter(map(self.places.__getitem__, words), np.int64, len(words)) for words in split]
 
@@ -225,13 +228,24 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(counts)
 
 
+def _blocks(texts: list[str]) -> Iterator[list[str]]:
+    block, size = [], 0
+    for text in texts:
+        if block and size + len(text) > _CHARS:
+            yield block
+            block, size = [], 0
+        block.append(text)
+        size += len(text)
+    if block:
+        yield block
+
+
 def _predicted(shared, with_spans: bool):
     def predict(texts: pa.Array) -> pa.Array:
         model = shared.value
         plain = [t or "" for t in texts.to_pylist()]
         langs, scores, spans = [], [], []
-        for at in range(0, len(plain), 1000):
-            part = plain[at : at + 1000]
+        for part in _blocks(plain):
             found = model.labels(part) if model.langs else [np.zeros(0, np.int16)] * len(part)
             for text, labels in zip(part, found):
                 if len(labels):
