@@ -4,6 +4,8 @@ import math
 import re
 import zlib
 from collections import Counter
+from functools import partial
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -130,3 +132,20 @@ def test_odd_rows(spark, tmp_path):
     rows = lm.op9_attention_lm(spark, folder_of(tmp_path / "odd", spark, docs)).collect()
     compare(rows, [(r[0], r[1]) for r in ODD])
     assert lm.op9_attention_lm(spark, folder_of(tmp_path / "none", spark, docs.limit(0))).count() == 0
+
+
+def test_every_training_document_reaches_the_weights(spark, monkeypatch):
+    """A word of one document moves its embedding, and the groups and partial sums do not depend on the partitions."""
+    monkeypatch.setattr(lm, "GROUP", 40)  # 8 groups, 2 partial sums
+    monkeypatch.setattr(lm, "REPEATED", 0)  # each document in one round only
+    first = lm.first_weights()
+    n = 300
+    counts = np.ones(n + 1)
+    classes = lm.Classes(counts)
+    docs = make_docs(spark, [f"{i} {i} {i}" for i in range(n)]).select(lm.doc_key().alias("key"), "text")
+    encoder = spark.sparkContext.broadcast(SimpleNamespace(encode=partial(np.fromstring, dtype=np.int32, sep=" ")))
+    after = lm.fit(docs.repartition(3), classes, encoder)
+    moved = np.abs(after["E"] - first["E"]).max(axis=1) > 0
+    assert moved[classes.input[:n]].all()
+    again = lm.fit(docs.repartition(7), classes, encoder)
+    assert all((after[k] == again[k]).all() for k in after)

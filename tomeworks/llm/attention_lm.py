@@ -11,11 +11,13 @@ Two models score a text.
   inside a class an id has its share of the corpus, counted over all training
   documents.  So every id has a probability and they add up to one.
 
-Training is plain numpy in tasks: TRAINERS groups of a bounded sample (about SAMPLE training documents)
-start from the same weights, take their Adam steps, and the weights are averaged,
-ROUNDS times.  Sums run in a fixed order within a group.
+Training is plain numpy in tasks, over all training documents: every one of them takes part in one of ROUNDS rounds, in
+more while there are few (at most REPEATED documents are read in addition).  In a round, groups of about GROUP / ROUNDS documents start
+from the same weights and take their Adam steps, one chunk of about CHUNK ids after the other, so a task's memory is bounded; there are
+TRAINERS groups or more, in proportion to the documents.  Then the weights are averaged: partial sums in tasks, their square root in
+number, meet on the driver.  Groups and order follow from the documents, so sums run in a fixed order.
 
-Scoring cuts a text into windows of CONTEXT inputs that overlap; each token is
+Training cuts a text into windows of CONTEXT inputs side by side.  Scoring cuts it into windows that overlap; each token is
 scored once, where it has at least CONTEXT - STRIDE inputs before it (or all there are).  Windows
 of many texts are one masked batch.  Whole texts are scored.
 
@@ -26,6 +28,7 @@ out.  Without training documents all classes are equally likely.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -43,11 +46,12 @@ HOT = 200_000
 CLASSES = 64
 OWN_EMBEDDINGS, SHARED_EMBEDDINGS = 3072, 1024
 WIDTH = 16
-CONTEXT, STRIDE = 16, 12
-SAMPLE, TRAINERS, ROUNDS, BATCH, STEPS, RATE = 2_000, 6, 3, 256, 100, 0.01
+CONTEXT, STRIDE = 64, 32
+TRAINERS, ROUNDS, BATCH, STEPS, RATE = 6, 3, 32, 100, 0.01
+GROUP, CHUNK, REPEATED = 50_000, 1 << 18, 4_000
 _FLUSH = 300_000
 _REMEMBERED = 600_000
-_BLOCK = 512
+_BLOCK = 128
 _SHAPES = {
     "E": (OWN_EMBEDDINGS + SHARED_EMBEDDINGS + 1, WIDTH),
     "P": (CONTEXT, WIDTH),
@@ -175,18 +179,18 @@ def gradients(w: Weights, inputs: np.ndarray, classes: np.ndarray, scored: np.nd
     return loss, g
 
 
-def cut(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def cut(sizes: np.ndarray, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, first place in the text, places scored before it) of every window, for texts of these sizes.
 
-    The first window scores all its places, the later ones their last STRIDE.
+    The first window scores all its places, the later ones their last ``stride``.
     """
-    many = 1 + np.maximum(0, -(-(sizes - CONTEXT) // STRIDE))
+    many = 1 + np.maximum(0, -(-(sizes - CONTEXT) // stride))
     text = np.repeat(np.arange(len(sizes)), many)
     number = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
-    return text, number * STRIDE, np.where(number > 0, CONTEXT - STRIDE, 0)
+    return text, number * stride, np.where(number > 0, CONTEXT - stride, 0)
 
 
-def batches_of(ids: list[np.ndarray], classes: Classes) -> Iterator[tuple[np.ndarray, ...]]:
+def batches_of(ids: list[np.ndarray], classes: Classes, stride: int = STRIDE) -> Iterator[tuple[np.ndarray, ...]]:
     """Blocks of windows: (text, inputs, targets, scored); every target is scored in one of them."""
     sizes = np.array([len(x) + 1 for x in ids])
     end = len(classes.of) - 1
@@ -197,7 +201,7 @@ def batches_of(ids: list[np.ndarray], classes: Classes) -> Iterator[tuple[np.nda
         targets[at : at + len(x)] = x
         inputs[at + 1 : at + 1 + len(x)] = x
     inputs = classes.input[inputs]
-    text, first, skip = cut(sizes)
+    text, first, skip = cut(sizes, stride)
     for at in range(0, len(text), _BLOCK):
         t, f, s = text[at : at + _BLOCK], first[at : at + _BLOCK, None], skip[at : at + _BLOCK, None]
         place = f + np.arange(CONTEXT)
@@ -206,27 +210,35 @@ def batches_of(ids: list[np.ndarray], classes: Classes) -> Iterator[tuple[np.nda
         yield t, inputs[flat], targets[flat], (place <= last) & (place - f >= s)
 
 
-def train(w: Weights, ids: list[np.ndarray], classes: Classes, seed: int) -> Weights:
-    """Passes over the windows in random order, until there are at least STEPS steps; one pass for a full sample."""
-    w = {k: v.copy() for k, v in w.items()}
-    parts = list(batches_of(ids, classes)) if ids else []
-    if not parts:
-        return w
-    inputs, targets, scored = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
-    rng = np.random.default_rng(seed)
-    m, v = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
-    step = 0
-    while step < STEPS:
-        order = rng.permutation(len(inputs))
-        for at in range(0, len(order), BATCH):
-            own = order[at : at + BATCH]
-            _, g = gradients(w, inputs[own], classes.of[targets[own]], scored[own])
-            step += 1
-            for k in w:
-                m[k] += 0.1 * (g[k] - m[k])
-                v[k] += 0.01 * (g[k] * g[k] - v[k])
-                w[k] -= RATE * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-6)
-    return w
+class Trainer:
+    """Adam steps from given weights, over one chunk of texts after the other."""
+
+    def __init__(self, w: Weights, classes: Classes, seed: int):
+        self.w, self.classes = {k: v.copy() for k, v in w.items()}, classes
+        self.rng, self.step = np.random.default_rng(seed), 0
+        self.m, self.v = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
+
+    def learn(self, ids: list[np.ndarray]) -> None:
+        """One pass over the windows in random order; more of them until there have been at least STEPS steps."""
+        parts = list(batches_of(ids, self.classes, CONTEXT)) if ids else []
+        if not parts:
+            return
+        inputs, targets, scored = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
+        passed = False
+        while not passed or self.step < STEPS:
+            order = self.rng.permutation(len(inputs))
+            for at in range(0, len(order), BATCH):
+                own = order[at : at + BATCH]
+                self._take(gradients(self.w, inputs[own], self.classes.of[targets[own]], scored[own])[1])
+            passed = True
+
+    def _take(self, g: Weights) -> None:
+        self.step += 1
+        m, v = self.m, self.v
+        for k in self.w:
+            m[k] += 0.1 * (g[k] - m[k])
+            v[k] += 0.01 * (g[k] * g[k] - v[k])
+            self.w[k] -= RATE * (m[k] / (1 - 0.9**self.step)) / (np.sqrt(v[k] / (1 - 0.99**self.step)) + 1e-6)
 
 
 class Scorer:
@@ -270,39 +282,82 @@ class Scorer:
 
 
 def _trained(shared_encoder, shared_state):
+    """The weights of each group; its rows come one after the other, in the order of their keys."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, classes, round_ = shared_state.value
-        encode = shared_encoder.value.encode
-        texts = [(k.as_py(), t.as_py() or "") for b in batches for k, t in zip(b.column("key"), b.column("text"))]
-        texts.sort()  # the same steps in whatever order the rows arrive
-        ids = [np.concatenate([np.zeros(0, np.int32), *(encode(" " + w.decode()) for w in words_of(t))]) for _, t in texts]
-        after = train(weights, ids, classes, round_)
-        flat = np.concatenate([after[k].ravel() for k in _SHAPES]).astype(np.float32)
-        if ids:
-            yield pa.RecordBatch.from_arrays([pa.array([len(ids)], pa.int64()), pa.array([flat.tobytes()])], names=["n", "weights"])
+        known = _Known({}, shared_encoder.value.encode)
+        group, trainer, n, ids, held = None, None, 0, [], 0
+
+        def result() -> pa.RecordBatch:
+            trainer.learn(ids)
+            flat = np.concatenate([trainer.w[k].ravel() for k in _SHAPES]).astype(np.float32)
+            columns = [pa.array([group], pa.int64()), pa.array([n], pa.int64()), pa.array([flat.tobytes()], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["group", "n", "weights"])
+
+        for batch in batches:
+            for own, text in zip(batch.column("group").to_pylist(), batch.column("text")):
+                if own != group:
+                    if trainer:
+                        yield result()
+                    group, trainer, n, ids, held = own, Trainer(weights, classes, round_), 0, [], 0
+                places = known.of(words_of(text.as_py()))
+                ids.append(np.frombuffer(b"".join([known.ids[p] for p in places]), np.int32))
+                n += 1
+                held += len(ids[-1]) + 1
+                if held >= CHUNK:
+                    trainer.learn(ids)
+                    ids, held = [], 0
+        if trainer:
+            yield result()
 
     return run
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Weights times documents, added up in the order of the rows, which are sorted by part."""
+    part, n, total = None, 0, None
+
+    def result() -> pa.RecordBatch:
+        columns = [pa.array([part], pa.int64()), pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["part", "n", "weights"])
+
+    for batch in batches:
+        for own, times, weights in zip(*(batch.column(c) for c in ("part", "n", "weights"))):
+            if own.as_py() != part:
+                if total is not None:
+                    yield result()
+                part, n, total = own.as_py(), 0, np.zeros(sum(int(np.prod(s)) for s in _SHAPES.values()))
+            n += times.as_py()
+            total += np.frombuffer(weights.as_py(), np.float32).astype(np.float64) * times.as_py()
+    if total is not None:
+        yield result()
+
+
 def fit(training: DataFrame, classes: Classes, encoder) -> Weights:
-    """Averaged weights of TRAINERS groups of a sample of the training documents."""
+    """Weights that all training documents have a part in."""
     context = training.sparkSession.sparkContext
     n = training.count()
-    draw = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / (1 << 30)
-    sample = training.where(draw * n < SAMPLE).select("key", "text").repartition(TRAINERS, "key")
-    sample = stage(sample.withColumn("part", F.spark_partition_id()), "lm-sample", ("part",))
+    groups = max(TRAINERS, -(-n // GROUP))
+    parts = math.isqrt(groups)
+    rounds_each = min(ROUNDS, 1 + REPEATED // max(1, n))
+    drawn = F.pmod(F.xxhash64("key"), F.lit(1 << 60))
     weights = first_weights()
     for round_ in range(ROUNDS):
         state = context.broadcast((weights, classes, round_))
-        grouped = sample.repartition(TRAINERS, "part").select("key", "text")
-        rows = grouped.mapInArrow(_trained(encoder, state), "n bigint, weights binary").collect()
+        own = training.where((drawn + round_) % ROUNDS < rounds_each)
+        dealt = own.select(F.pmod(F.xxhash64("key", F.lit(1)), F.lit(groups)).cast("bigint").alias("group"), "key", "text")
+        dealt = dealt.repartition(groups, "group").sortWithinPartitions("group", "key").select("group", "text")
+        made = dealt.mapInArrow(_trained(encoder, state), "group bigint, n bigint, weights binary")
+        made = made.withColumn("part", F.col("group") % parts).repartition(parts, "part").sortWithinPartitions("part", "group")
+        rows = made.select("part", "n", "weights").mapInArrow(_summed, "part bigint, n bigint, weights binary").collect()
         if not rows:
-            break
-        rows.sort(key=lambda r: (r.n, bytes(r.weights)))
-        flat = sum(np.frombuffer(r.weights, np.float32).astype(np.float64) * r.n for r in rows) / sum(r.n for r in rows)
+            continue
+        rows.sort(key=lambda r: r.part)
+        flat = sum(np.frombuffer(r.weights) for r in rows) / sum(r.n for r in rows)
         ends = np.cumsum([int(np.prod(s)) for s in _SHAPES.values()])[:-1]
-        parts = np.split(flat.astype(np.float32), ends)
-        weights = {k: part.reshape(s) for (k, s), part in zip(_SHAPES.items(), parts)}
+        pieces = np.split(flat.astype(np.float32), ends)
+        weights = {k: piece.reshape(s) for (k, s), piece in zip(_SHAPES.items(), pieces)}
     return weights
 
 
