@@ -79,3 +79,22 @@ def test_odd_rows(spark):
     assert left.columns == docs.columns and left.count() == len(ODD)
     assert d.decontaminate(docs, items(spark, [ITEM]).limit(0)).count() == len(rows)
     assert d.decontaminate(docs.limit(0), items(spark, [ITEM])).count() == 0
+
+
+def test_one_changed_word_does_not_hide_an_item(spark):
+    """Of items of 9 to 30 words, whichever word is changed; two distant scraps of three words are no item."""
+    words = "how did seven old sailors carry their heavy wooden boats over that steep frozen hill before dawn while nobody else was awake".split()
+    words += "in all those quiet villages along our northern coast".split()
+    texts = [" ".join(words[:n]) for n in (9, 10, 12, 15, 18, 22, 30)]
+    docs = [" ".join(["before", *t.split()[:i], "changed", *t.split()[i + 1 :], "after"]) for t in texts for i in range(len(t.split()))]
+    got = found(spark, docs, texts)
+    wanted = [k for k, t in enumerate(texts) for _ in t.split()]
+    assert all((i, k) in got for i, k in enumerate(wanted))
+    scraps = f"{' '.join(words[:3])} {'and then more ' * 20} {' '.join(words[4:7])}"
+    assert found(spark, [scraps], texts[:1]) == {}
+
+
+def test_long_run_of_a_long_item(spark):
+    item = " ".join(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(80))
+    docs = [" ".join(item.split()[20 : 20 + n]) for n in (12, 13)]
+    assert set(found(spark, docs, [item])) == {(1, 0)}

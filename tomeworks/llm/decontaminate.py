@@ -3,12 +3,13 @@
 Text becomes a template: words in lower case without outer punctuation, a
 number as <num>, a unit after a number as <unit>, a run of capitalised words
 inside a sentence as <name>.  Every window of WINDOW template words is
-hashed.  Windows of documents that occur in a benchmark item meet it in a hash
+hashed; of an item with fewer than three times as many words, every window of a third of them, of 3 words at least.  Windows of documents that occur in a benchmark item meet it in a hash
 join; the windows of one document and item that lie on one diagonal (same
 distance between the places) belong together.  What stands in the slots must be
 consistent there: one value of the item always becomes the same value in
-the document.  A document contains an item when consistent windows cover at
-least COVER of it.  Shorter items are one window of their own length.
+the document.  A document contains an item when the words of consistent windows are at
+least COVER of its words, and at least LEAST, or when RUN of them follow one another.  Windows shorter than WINDOW only count together
+where their places in the document are near.  Items shorter than WINDOW are one window of their own length.
 
 The windows of the benchmark are the stated query set.  They go to the tasks as sorted hashes,
 in blocks of at most BLOCK; every block is one more pass over the documents, so memory is
@@ -21,6 +22,7 @@ Repeated rows are found alike.  Empty tables give an empty result.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,6 +37,7 @@ from tomeworks.staging import stage
 
 WINDOW = 8
 COVER = 0.5
+LEAST, RUN = 6, 13
 BLOCK = 1_000_000
 _REMEMBERED = 500_000
 
@@ -58,7 +61,7 @@ _OUTER = "()[]{}<>\"'.,;:!?*#&|"
 
 _WORD, _NUM, _UNIT, _CAPITAL, _NONE = range(5)
 _SENTENCE_END = 8
-_STEP = 0x9E3779B97F4A7C15
+_STEP, _SIZED = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
 _HASHES = {kind: xxhash.xxh3_64_intdigest(name) for kind, name in ((_NUM, b"<num>"), (_UNIT, b"<unit>"), (_CAPITAL, b"<name>"))}
 
 
@@ -142,14 +145,22 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return _ARRAYS["hashes"], _ARRAYS["kinds"]
 
 
-def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
-    n = len(hashes) - size + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    total = np.full(n, size, np.uint64)
-    for i in range(size):
-        total = total * np.uint64(_STEP) + hashes[i : i + n]
-    return total ^ (total >> np.uint64(29))
+def window_size(n_words: int) -> int:
+    """How many words of an item of this many words make a window."""
+    return n_words if n_words < WINDOW else min(WINDOW, max(3, n_words // 3))
+
+
+def window_hashes(hashes: np.ndarray, sizes: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """(size, hashes) of the windows of all these sizes, in ascending order."""
+    total = np.zeros(len(hashes), np.uint64)
+    for i in range(max(sizes, default=0)):
+        n = len(hashes) - i
+        if n <= 0:
+            return
+        total = total[:n] * np.uint64(_STEP) + hashes[i:]
+        if i + 1 in sizes:
+            own = total + np.uint64(i + 1) * np.uint64(_SIZED)
+            yield i + 1, own ^ (own >> np.uint64(29))
 
 
 def _slots(kinds: np.ndarray, places: np.ndarray, at: int, size: int) -> list[str]:
@@ -157,7 +168,7 @@ def _slots(kinds: np.ndarray, places: np.ndarray, at: int, size: int) -> list[st
     return [_SEEN.values[p] for p in places[own]]
 
 
-_ITEMS = "item_id bigint, item_pos int, size int, n_windows int, hash bigint, item_slots array<string>"
+_ITEMS = "item_id bigint, item_pos int, size int, n_words int, hash bigint, item_slots array<string>"
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,13 +176,12 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         rows = []
         for item, text in zip(batch.column("item_id"), batch.column("text")):
             hashes, kinds, places = template(text.as_py() or "")
-            size = min(WINDOW, len(hashes))
-            if size:
-                found = window_hashes(hashes, size).view(np.int64).tolist()
-                rows += [(item.as_py(), i, size, len(found), h, _slots(kinds, places, i, size)) for i, h in enumerate(found)]
+            for size, found in window_hashes(hashes, [window_size(len(hashes))]):
+                own = enumerate(found.view(np.int64).tolist())
+                rows += [(item.as_py(), i, size, len(hashes), h, _slots(kinds, places, i, size)) for i, h in own]
         types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.string())]
         columns = zip(*rows) if rows else [[]] * 6
-        names = ["item_id", "item_pos", "size", "n_windows", "hash", "item_slots"]
+        names = ["item_id", "item_pos", "size", "n_words", "hash", "item_slots"]
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=names)
 
 
@@ -190,8 +200,7 @@ def _hits(shared, sizes: list[int]) -> Callable:
             rows = []
             for key, doc_id, text in zip(*(batch.column(c) for c in ("key", "doc_id", "text"))):
                 hashes, kinds, places = template(text.as_py() or "")
-                for size in sizes:
-                    own = window_hashes(hashes, size)
+                for size, own in window_hashes(hashes, sizes):
                     maybe = np.flatnonzero(low[own & mask])
                     at = np.minimum(np.searchsorted(wanted, own[maybe]), len(wanted) - 1)
                     for i in maybe[wanted[at] == own[maybe]].tolist():
@@ -205,6 +214,69 @@ def _hits(shared, sizes: list[int]) -> Callable:
     return find
 
 
+def _agreeing(hits: list[dict]) -> tuple[set[int], bool]:
+    """Places in the item of the windows of one diagonal, none if its slots disagree; whether slots have changed."""
+    pairs = {pair for hit in hits for pair in zip(hit["item_slots"], hit["doc_slots"])}
+    if len(pairs) > len({i for i, _ in pairs}):
+        return set(), False
+    return {hit["item_pos"] for hit in hits}, any(i != d for i, d in pairs)
+
+
+def _longest(words: set[int]) -> int:
+    most = run = 0
+    for i in sorted(words):
+        run = run + 1 if i - 1 in words else 1
+        most = max(most, run)
+    return most
+
+
+def covered(hits: list[dict], size: int, n_words: int, cover: float) -> tuple[int, float, bool] | None:
+    """(windows, share of the item's words, changed) if the hits (item_pos, doc_pos, item_slots, doc_slots) make the item."""
+    by_diagonal: dict[int, list[dict]] = {}
+    for hit in hits:
+        by_diagonal.setdefault(hit["doc_pos"] - hit["item_pos"], []).append(hit)
+    held = []
+    for diagonal in sorted(by_diagonal):
+        at, changed = _agreeing(by_diagonal[diagonal])
+        if at:
+            held.append((diagonal, at, {i + k for i in at for k in range(size)}, changed))
+    best, first = (0, 0, 0), 0
+    whole = size >= min(WINDOW, n_words)
+    times: Counter = Counter()  # how many diagonals in reach hold a word
+    for last, (diagonal, _, words, _) in enumerate(held):
+        times.update(words)
+        while not whole and held[first][0] < diagonal - n_words // 2:
+            times.subtract(held[first][2])
+            times = +times
+            first += 1
+        if len(times) > best[0]:
+            best = (len(times), first, last + 1)
+    n, first, last = best
+    run = max((_longest(words) for _, _, words, _ in held), default=0)
+    if not n or (n < max(cover * n_words, min(n_words, LEAST)) and run < RUN):
+        return None
+    own = held[first:last]
+    return len(set().union(*(at for _, at, _, _ in own))), n / n_words, any(changed for *_, changed in own)
+
+
+_FOUND = "key binary, doc_id bigint, item_id bigint, n_windows bigint, coverage double, reparameterised boolean"
+
+
+def _found(cover: float) -> Callable:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for key, doc_id, item_id, size, n_words, hits in zip(*(c.to_pylist() for c in batch.columns)):
+                if got := covered(hits, size, n_words, cover):
+                    rows.append((key, doc_id, item_id, *got))
+            types = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.bool_()]
+            columns = zip(*rows) if rows else [[]] * 6
+            names = ["key", "doc_id", "item_id", "n_windows", "coverage", "reparameterised"]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=names)
+
+    return find
+
+
 def contained_items(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
     """(key, doc_id, item_id, n_windows, coverage, reparameterised): which documents hold which items.
 
@@ -224,21 +296,9 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, cover: float = COVER)
             hits = hits.unionByName(keyed.mapInArrow(_hits(spark.sparkContext.broadcast(wanted), sizes), _HITS))
     hits = stage(hits, "window-hits")
     met = small_join(hits, items, n, ["hash"], "inner")
-    pairs = F.zip_with("item_slots", "doc_slots", lambda i, d: F.struct(i.alias("i"), d.alias("d")))
-    diagonals = met.groupBy("key", "doc_id", "item_id", (F.col("doc_pos") - F.col("item_pos")).alias("diagonal")).agg(
-        F.collect_set("item_pos").alias("at"),
-        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("slots"),
-        F.max("n_windows").alias("all"),
-    )
-    consistent = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["i"])))
-    changed = F.exists("slots", lambda s: s["i"] != s["d"])
-    held = diagonals.where(consistent).groupBy("key", "doc_id", "item_id").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("bigint").alias("n_windows"),
-        F.max("all").alias("all"),
-        F.max(changed).alias("reparameterised"),
-    )
-    found = held.withColumn("coverage", F.col("n_windows") / F.col("all")).where(F.col("coverage") >= cover)
-    return found.select("key", "doc_id", "item_id", "n_windows", "coverage", "reparameterised")
+    hit = F.struct("item_pos", "doc_pos", "item_slots", "doc_slots")
+    groups = met.groupBy("key", "doc_id", "item_id").agg(F.max("size"), F.max("n_words"), F.collect_set(hit))
+    return groups.mapInArrow(_found(cover), _FOUND)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
