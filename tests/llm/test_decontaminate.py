@@ -98,3 +98,17 @@ def test_long_run_of_a_long_item(spark):
     item = " ".join(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(80))
     docs = [" ".join(item.split()[20 : 20 + n]) for n in (12, 13)]
     assert set(found(spark, docs, [item])) == {(1, 0)}
+
+
+def test_one_number_for_two_things_and_names_at_sentence_starts(spark):
+    apples = "someone picked 5 apples in the garden and then gave them all to 5 friends who came along for lunch"
+    starts = "Alice has four red marbles. Bob gives her two more. Alice loses one of them. Bob finds it again today."
+    docs = [
+        f"so {apples.replace('5 apples', '7 apples').replace('5 friends', '3 friends')} then",
+        f"Once more. {starts.replace('Alice', 'Carol').replace('Bob', 'Dan')} That is all.",
+        f"once more. {ITEM.lower()} that is all.",
+        f"once more. {starts.lower()} that is all.",
+    ]
+    got = found(spark, docs, [apples, starts, ITEM])
+    assert set(got) == {(0, 0), (1, 1), (2, 2), (3, 1)}
+    assert got[0, 0] and got[1, 1] and not got[2, 2]

@@ -6,8 +6,10 @@ inside a sentence as <name>.  Every window of WINDOW template words is
 hashed; of an item with fewer than three times as many words, every window of a third of them, of 3 words at least.  Windows of documents that occur in a benchmark item meet it in a hash
 join; the windows of one document and item that lie on one diagonal (same
 distance between the places) belong together.  What stands in the slots must be
-consistent there: one value of the item always becomes the same value in
-the document.  A document contains an item when the words of consistent windows are at
+consistent there: one name of the item always becomes the same name in
+the document.  A number or unit may stand for two things, so windows that contradict what it mostly becomes
+are left out, and the others count.  Texts have several readings: PLAIN takes a capital at the start of a sentence for a word, NAMES for a
+name; items are also read with their names as words, LOWER, for lower-cased copies.  The best reading counts.  A document contains an item when the words of consistent windows are at
 least COVER of its words, and at least LEAST, or when RUN of them follow one another.  Windows shorter than WINDOW only count together
 where their places in the document are near.  Items shorter than WINDOW are one window of their own length.
 
@@ -61,6 +63,7 @@ _OUTER = "()[]{}<>\"'.,;:!?*#&|"
 
 _WORD, _NUM, _UNIT, _CAPITAL, _NONE = range(5)
 _SENTENCE_END = 8
+PLAIN, NAMES, LOWER, LOWER_NAME = range(4)  # the last: a window of LOWER with a name in it
 _STEP, _SIZED = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
 _HASHES = {kind: xxhash.xxh3_64_intdigest(name) for kind, name in ((_NUM, b"<num>"), (_UNIT, b"<unit>"), (_CAPITAL, b"<name>"))}
 
@@ -100,7 +103,12 @@ _SEEN = _Words()
 
 
 def template(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes and kinds of the template words, and their places in ``_SEEN``."""
+    """Hashes and kinds of the template words in their plain reading, and their places in ``_SEEN``."""
+    return next(readings(text, (PLAIN,)))[1:]
+
+
+def readings(text: str, wanted: tuple[int, ...]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(reading, hashes, kinds, places) of the readings, those after the first only where they differ from PLAIN."""
     global _SEEN
     if len(_SEEN) > _REMEMBERED:
         _SEEN = _Words()
@@ -116,16 +124,29 @@ def template(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     start = np.concatenate([[True], ends[:-1]]) if len(words) else np.zeros(0, bool)
     places, kinds, start = places[real], kinds[real], start[real]
     before = np.concatenate([[_NONE], kinds[:-1]]) if len(kinds) else kinds
-    kinds = np.where((kinds == _CAPITAL) & start | (kinds == _UNIT) & (before != _NUM), _WORD, kinds)
+    kinds = np.where((kinds == _UNIT) & (before != _NUM), _WORD, kinds)
+    capital = kinds == _CAPITAL
+    for reading in wanted:
+        if reading == PLAIN or (capital & start if reading == NAMES else capital).any():
+            no_names = {PLAIN: capital & start, NAMES: False, LOWER: capital}[reading]
+            yield reading, *_filled(np.where(no_names, _WORD, kinds), places, known[0])
+
+
+def _filled(kinds: np.ndarray, places: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     before = np.concatenate([[_NONE], kinds[:-1]]) if len(kinds) else kinds
     # a name of several words is one slot, with the value of its first word
     places, kinds = (x[~((kinds == _CAPITAL) & (before == _CAPITAL))] for x in (places, kinds))
-    hashes = known[0][places]
+    hashes = known[places]
     for kind, h in _HASHES.items():
         hashes[kinds == kind] = h
     return hashes, kinds, places
 
 
+def _marked(hashes: np.ndarray, reading: int) -> np.ndarray:
+    """Window hashes of NAMES only meet their like."""
+    return hashes ^ np.uint64(_STEP) if reading == NAMES else hashes
+
+
 _ARRAYS: dict = {}
 
 
@@ -168,20 +189,22 @@ def _slots(kinds: np.ndarray, places: np.ndarray, at: int, size: int) -> list[st
     return [_SEEN.values[p] for p in places[own]]
 
 
-_ITEMS = "item_id bigint, item_pos int, size int, n_words int, hash bigint, item_slots array<string>"
+_ITEMS = "item_id bigint, item_pos int, reading int, size int, n_words int, hash bigint, item_slots array<string>"
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for item, text in zip(batch.column("item_id"), batch.column("text")):
-            hashes, kinds, places = template(text.as_py() or "")
-            for size, found in window_hashes(hashes, [window_size(len(hashes))]):
-                own = enumerate(found.view(np.int64).tolist())
-                rows += [(item.as_py(), i, size, len(hashes), h, _slots(kinds, places, i, size)) for i, h in own]
-        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.string())]
-        columns = zip(*rows) if rows else [[]] * 6
-        names = ["item_id", "item_pos", "size", "n_words", "hash", "item_slots"]
+            for reading, hashes, kinds, places in readings(text.as_py() or "", (PLAIN, NAMES, LOWER)):
+                capital = np.array([_SEEN.kinds[p] & 7 == _CAPITAL for p in places], bool)
+                for size, found in window_hashes(hashes, [window_size(len(hashes))]):
+                    for i, h in enumerate(_marked(found, reading).view(np.int64).tolist()):
+                        own = LOWER_NAME if reading == LOWER and capital[i : i + size].any() else reading
+                        rows.append((item.as_py(), i, own, size, len(hashes), h, _slots(kinds, places, i, size)))
+        types = [pa.int64(), *[pa.int32()] * 4, pa.int64(), pa.list_(pa.string())]
+        columns = zip(*rows) if rows else [[]] * 7
+        names = ["item_id", "item_pos", "reading", "size", "n_words", "hash", "item_slots"]
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=names)
 
 
@@ -199,13 +222,14 @@ def _hits(shared, sizes: list[int]) -> Callable:
         for batch in batches:
             rows = []
             for key, doc_id, text in zip(*(batch.column(c) for c in ("key", "doc_id", "text"))):
-                hashes, kinds, places = template(text.as_py() or "")
-                for size, own in window_hashes(hashes, sizes):
-                    maybe = np.flatnonzero(low[own & mask])
-                    at = np.minimum(np.searchsorted(wanted, own[maybe]), len(wanted) - 1)
-                    for i in maybe[wanted[at] == own[maybe]].tolist():
-                        h = int(own[i].astype(np.int64))
-                        rows.append((key.as_py(), doc_id.as_py(), i, h, _slots(kinds, places, i, size)))
+                for reading, hashes, kinds, places in readings(text.as_py() or "", (PLAIN, NAMES)):
+                    for size, own in window_hashes(hashes, sizes):
+                        own = _marked(own, reading)
+                        maybe = np.flatnonzero(low[own & mask])
+                        at = np.minimum(np.searchsorted(wanted, own[maybe]), len(wanted) - 1)
+                        for i in maybe[wanted[at] == own[maybe]].tolist():
+                            h = int(own[i].astype(np.int64))
+                            rows.append((key.as_py(), doc_id.as_py(), i, h, _slots(kinds, places, i, size)))
             types = [pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string())]
             columns = zip(*rows) if rows else [[]] * 5
             names = ["key", "doc_id", "doc_pos", "hash", "doc_slots"]
@@ -214,12 +238,23 @@ def _hits(shared, sizes: list[int]) -> Callable:
     return find
 
 
+def _is_name(value: str) -> bool:
+    return value not in NUMBER_WORDS and value not in UNITS and not any(map(str.isdigit, value))
+
+
 def _agreeing(hits: list[dict]) -> tuple[set[int], bool]:
-    """Places in the item of the windows of one diagonal, none if its slots disagree; whether slots have changed."""
-    pairs = {pair for hit in hits for pair in zip(hit["item_slots"], hit["doc_slots"])}
-    if len(pairs) > len({i for i, _ in pairs}):
-        return set(), False
-    return {hit["item_pos"] for hit in hits}, any(i != d for i, d in pairs)
+    """Places in the item of the windows of one diagonal whose slots agree; whether slots have changed.
+
+    None if a name becomes two; of numbers and units, what they become most often holds, and their own value before others.
+    """
+    times = Counter(pair for hit in hits for pair in zip(hit["item_slots"], hit["doc_slots"]))
+    chosen: dict[str, str] = {}
+    for i, d in sorted(times, key=lambda pair: (-times[pair], pair[0] != pair[1], pair)):
+        if chosen.setdefault(i, d) != d and _is_name(i):
+            return set(), False
+    kept = [hit for hit in hits if all(chosen[i] == d for i, d in zip(hit["item_slots"], hit["doc_slots"]))]
+    used = {i for hit in kept for i in hit["item_slots"]}
+    return {hit["item_pos"] for hit in kept}, len(kept) < len(hits) or any(i != chosen[i] for i in used)
 
 
 def _longest(words: set[int]) -> int:
@@ -230,8 +265,19 @@ def _longest(words: set[int]) -> int:
     return most
 
 
-def covered(hits: list[dict], size: int, n_words: int, cover: float) -> tuple[int, float, bool] | None:
-    """(windows, share of the item's words, changed) if the hits (item_pos, doc_pos, item_slots, doc_slots) make the item."""
+def covered(hits: list[dict], cover: float) -> tuple[int, float, bool] | None:
+    """(windows, share of the item's words, changed) if the hits of a reading make the item; the best of the readings."""
+    by_reading: dict[int, list[dict]] = {}
+    for hit in hits:
+        by_reading.setdefault(min(hit["reading"], LOWER), []).append(hit)
+    # without a name in lower case, LOWER would only leave the names out
+    if all(hit["reading"] == LOWER for hit in by_reading.get(LOWER, ())):
+        by_reading.pop(LOWER, None)
+    found = [got for own in by_reading.values() if (got := _covered(own, own[0]["size"], own[0]["n_words"], cover))]
+    return max(found, key=lambda got: (got[1], not got[2], got[0]), default=None)
+
+
+def _covered(hits: list[dict], size: int, n_words: int, cover: float) -> tuple[int, float, bool] | None:
     by_diagonal: dict[int, list[dict]] = {}
     for hit in hits:
         by_diagonal.setdefault(hit["doc_pos"] - hit["item_pos"], []).append(hit)
@@ -266,8 +312,8 @@ def _found(cover: float) -> Callable:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for key, doc_id, item_id, size, n_words, hits in zip(*(c.to_pylist() for c in batch.columns)):
-                if got := covered(hits, size, n_words, cover):
+            for key, doc_id, item_id, hits in zip(*(c.to_pylist() for c in batch.columns)):
+                if got := covered(hits, cover):
                     rows.append((key, doc_id, item_id, *got))
             types = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.bool_()]
             columns = zip(*rows) if rows else [[]] * 6
@@ -296,8 +342,8 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, cover: float = COVER)
             hits = hits.unionByName(keyed.mapInArrow(_hits(spark.sparkContext.broadcast(wanted), sizes), _HITS))
     hits = stage(hits, "window-hits")
     met = small_join(hits, items, n, ["hash"], "inner")
-    hit = F.struct("item_pos", "doc_pos", "item_slots", "doc_slots")
-    groups = met.groupBy("key", "doc_id", "item_id").agg(F.max("size"), F.max("n_words"), F.collect_set(hit))
+    hit = F.struct("reading", "size", "n_words", "item_pos", "doc_pos", "item_slots", "doc_slots")
+    groups = met.groupBy("key", "doc_id", "item_id").agg(F.collect_set(hit))
     return groups.mapInArrow(_found(cover), _FOUND)
 
 
