@@ -77,3 +77,16 @@ def test_odd_rows(spark, monkeypatch):
     assert line_dedup.remove_repeats(docs.limit(0)).count() == 0
     monkeypatch.setattr("tomeworks.llm.common.BROADCAST_ROWS", 0)
     assert sorted(str(r.text) for r in line_dedup.remove_repeats(docs).collect()) == sorted(str(r.text) for r in rows)
+
+
+def test_short_passages_and_blank_lines_between(spark):
+    """Every passage of 2 to 6 lines goes, whatever surrounds it, also with blank lines between its lines."""
+    rng = random.Random(5)
+    passages = [("\n\n" if i % 2 else "\n").join(sentences(rng, 2 + i % 5)) for i in range(40)]
+    around = lambda p: "\n".join([*sentences(rng, rng.randrange(1, 9)), p, *sentences(rng, 5)])
+    texts = [around(p) for p in passages] + [around(p) for p in passages]
+    rows = {r.doc_id: r for r in line_dedup.remove_repeats(make_docs(spark, texts)).collect()}
+    for i, passage in enumerate(passages):
+        assert rows[i].n_removed == 0
+        assert rows[40 + i].n_removed == passage.count("\n") + 1
+        assert not any(line in rows[40 + i].text for line in passage.split("\n") if line)

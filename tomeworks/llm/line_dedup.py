@@ -1,11 +1,10 @@
-"""Repeated blocks of lines, found by content-defined line chunks.
+"""Repeated blocks of lines, found by their neighbouring lines.
 
-Every line has a 64-bit hash.  A hash rolls over two neighbouring line hashes;
-where its low bits are zero a chunk of lines ends, so an inserted line moves the
-ends near it and no others.  Chunks have 2 to 16 lines.  Chunks with the same
+Every two neighbouring lines that hold a word make a chunk, together with the blank lines between them.  So chunks overlap, and
+a passage of two worded lines or more is found whole, whatever stands before and after it.  Chunks with the same
 digest are compared byte by byte, and of those that are equal all but the first
-occurrence, in the order of (doc_id, text digest, place), are removed.  Only chunks with
-at least two lines that hold a word are ever removed.
+occurrence, in the order of (doc_id, text digest, place), are removed.  A single worded line is never
+removed by itself, nor are blank lines around a passage.
 
 The counting of digests is summed on the map side.  While the repeated digests
 are few enough to be sent everywhere, only their chunks are shuffled with their
@@ -29,36 +28,15 @@ from pyspark.sql import functions as F
 from tomeworks.llm.common import doc_key, documents, query, small_join, with_text
 from tomeworks.staging import stage
 
-LEAST, MOST = 2, 16
-_CUT = 0b11  # an end every four lines
 _BLANKS = " \t\v\f\r"
-_M64 = (1 << 64) - 1
-_TURN = 0x9E3779B97F4A7C15  # odd multiplier of the rolling hash
-
-
-def chunk_ends(hashes: list[int]) -> list[int]:
-    """The line after each chunk, by the hashes of the lines."""
-    ends, last, before = [], 0, 0
-    for i, h in enumerate(hashes):
-        rolled = ((before * _TURN) & _M64) ^ h
-        before = h
-        size = i + 1 - last
-        if size >= MOST or (size >= LEAST and (rolled * _TURN >> 40) & _CUT == 0):
-            last = i + 1
-            ends.append(last)
-    if last < len(hashes):
-        ends.append(len(hashes))
-    return ends
 
 
 def chunks_of(text: str) -> Iterator[tuple[int, int, str]]:
     """(first line, line after the last, text) of the chunks that may be removed."""
     lines = text.split("\n")
-    start = 0
-    for end in chunk_ends([xxhash.xxh3_64_intdigest(line.encode()) for line in lines]):
-        if sum(1 for line in lines[start:end] if line.strip(_BLANKS)) >= 2:
-            yield start, end, "\n".join(lines[start:end])
-        start = end
+    worded = [i for i, line in enumerate(lines) if line.strip(_BLANKS)]
+    for first, last in zip(worded, worded[1:]):
+        yield first, last + 1, "\n".join(lines[first : last + 1])
 
 
 _CHUNKS = "doc_id bigint, key binary, first int, stop int, digest binary, chunk string"
@@ -103,8 +81,8 @@ def _kept_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept, at, gone = [], 0, 0
             for cut in cuts.as_py() or ():
                 kept += lines[at : cut["first"]]
+                gone += cut["stop"] - max(at, cut["first"])  # chunks share a line with their neighbours
                 at = cut["stop"]
-                gone += cut["stop"] - cut["first"]
             kept += lines[at:]
             texts.append(None if text is None else "\n".join(kept))
             removed.append(gone)
