@@ -12,6 +12,7 @@ from tomeworks.llm import (  # noqa: F401
     near_dup,
     quality_rules,
     secret_scan,
+    sentence_pieces,
     shards,
 )
 from tomeworks.llm.common import QUERIES
