@@ -7,6 +7,7 @@ from tomeworks.llm import (  # noqa: F401
     bpe,
     chunk_dedup,
     decontaminate,
+    divergence,
     language_id,
     line_dedup,
     near_dup,
@@ -17,6 +18,6 @@ from tomeworks.llm import (  # noqa: F401
 )
 from tomeworks.llm.common import QUERIES
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_source_divergence": divergence.SQL}
 
 __all__ = ["ORACLES", "QUERIES"]
