@@ -5,6 +5,7 @@ from __future__ import annotations
 from tomeworks.llm import (  # noqa: F401
     attention_lm,
     bpe,
+    centroids,
     chunk_dedup,
     decontaminate,
     divergence,
@@ -18,6 +19,9 @@ from tomeworks.llm import (  # noqa: F401
 )
 from tomeworks.llm.common import QUERIES
 
-ORACLES: dict[str, str] = {"op12_source_divergence": divergence.SQL}
+ORACLES: dict[str, str] = {
+    "op11_centroids": centroids.SQL,
+    "op12_source_divergence": divergence.SQL,
+}
 
 __all__ = ["ORACLES", "QUERIES"]
