@@ -35,14 +35,15 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
 from tomeworks.llm.common import documents, query, whole
 from tomeworks.staging import stage
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-TABLE_BYTES = 48 * 1024 * 1024
-_ENTRY_BYTES = 160  # of a word in a Python dictionary, besides its characters and ids
+TABLE_BYTES = 64 * 1024 * 1024
+_ENTRY_BYTES = 224  # of a word in a Python dictionary, besides its characters and ids
 _COUNTED = 300_000  # words a task counts before it passes them on
 _LONGEST = 64  # characters of a word merged side by side with others
 _GATHERED = 2_000_000  # characters of the documents whose words beyond the table are gathered
@@ -51,13 +52,19 @@ _NO_PAIR = 1 << 30
 _PROBE = " a  e\u0301\u00e9 \ufb01\u3000\uff21\tb "
 
 _WORD = re.compile(f"{MARK}+[^{MARK}]*")
-words_of = _WORD.findall
 
 
 def marked(text: str) -> str:
     return MARK + text.replace(" ", MARK) if text else ""
 
 
+def words_of(text: str) -> list[str]:
+    """The marked words of a text, each without its first marker."""
+    if "  " in text or MARK in text or text[:1] in ("", " "):
+        return [word[1:] for word in _WORD.findall(marked(text))]
+    return text.split(" ")
+
+
 class Segmenter:
     """The pieces of one marked word, by the merges of a model file."""
 
@@ -84,7 +91,7 @@ class Segmenter:
 
         code = {pieces[i]: i for i in plain}
         symbol = lambda s: code.get(s, self.size + ord(s) if len(s) == 1 else None)
-        self.first = np.arange(_CODE_POINTS, dtype=np.int64) + self.size
+        self.first = np.arange(_CODE_POINTS, dtype=np.int32) + self.size
         for piece, i in code.items():
             if len(piece) == 1:
                 self.first[ord(piece)] = i
@@ -111,7 +118,7 @@ class Segmenter:
         return np.where(self.keys[at] == wanted, self.ranks[at], _NO_PAIR), self.merged[at]
 
     def _symbols(self, text: str) -> np.ndarray:
-        return self.first[np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)]
+        return self.first[np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)].astype(np.int64)
 
     def _side_by_side(self, words: list[str]) -> list[bytes]:
         symbols = self._symbols("".join(words))
@@ -140,10 +147,11 @@ class Segmenter:
             before = at[at > starts[busy]] - 1
             changed = np.concatenate([at[inner[at]], before])
             ranks[changed], into[changed] = self._pairs(symbols[changed], symbols[changed + 1])
-        if (symbols >= self.size).any():
-            return [self._ids(symbols[s : s + n].tolist()) for s, n in zip(starts.tolist(), lengths.tolist())]
         packed = symbols.astype(np.int32).tobytes()
-        return [packed[4 * s : 4 * (s + n)] for s, n in zip(starts.tolist(), lengths.tolist())]
+        found = [packed[s:e] for s, e in zip((4 * starts).tolist(), (4 * (starts + lengths)).tolist())]
+        for i in np.flatnonzero(np.maximum.reduceat(symbols, starts) >= self.size).tolist():
+            found[i] = self._ids(symbols[starts[i] : starts[i] + lengths[i]].tolist())
+        return found
 
     def _alone(self, word: str) -> bytes:
         symbols = self._symbols(word).tolist()
@@ -197,13 +205,13 @@ class Segmenter:
         return np.array(ids, dtype=np.int32).tobytes()
 
     def segment(self, words: list[str]) -> dict[str, bytes]:
-        """The ids of each word, packed as 32-bit integers."""
-        found = {w: self._alone(w) for w in words if len(w) > _LONGEST}
+        """The ids of each word with the marker in front, packed as 32-bit integers."""
+        found = {w: self._alone(MARK + w) for w in words if len(w) > _LONGEST}
         # words of similar length finish together
         short = sorted((w for w in words if len(w) <= _LONGEST), key=len)
         for i in range(0, len(short), 20_000):
             part = short[i : i + 20_000]
-            found.update(zip(part, self._side_by_side(part)))
+            found.update(zip(part, self._side_by_side([MARK + w for w in part])))
         return found
 
     def decode(self, ids: list[int]) -> bytes:
@@ -241,7 +249,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text in batch.column(0):
-                counts.update(words_of(marked(text.as_py())))
+                counts.update(words_of(text.as_py()))
                 if len(counts) > _COUNTED:
                     yield recurring()
         yield recurring()
@@ -291,7 +299,7 @@ class _Table(dict):
 def _encode_some(texts: list[str], table: _Table, model: Segmenter, end: bytes) -> list[bytes]:
     packed, open_ones = [], []
     for text in texts:
-        words = words_of(marked(text))
+        words = words_of(text)
         before = table.misses
         packed.append(b"".join(map(table.__getitem__, words)) + end)
         if table.misses > before:
@@ -304,35 +312,51 @@ def _encode_some(texts: list[str], table: _Table, model: Segmenter, end: bytes)
     return packed
 
 
-def encode(
-    docs: DataFrame, path: str | None = None, with_end: bool = True, table_bytes: int = TABLE_BYTES
+def _coded(
+    docs: DataFrame, path: str | None, with_end: bool, table_bytes: int, keep: list[str], decoded: bool = False
 ) -> DataFrame:
-    """``docs`` with ``ids`` array<int> and ``n_tokens``; they are read twice."""
+    """The columns ``keep`` with ``ids``, and with ``decoded``, the text of the ids, if asked for."""
     spark = docs.sparkSession
     shared = segmenter(spark, path)
     rows = chunk_table(docs, shared, table_bytes).collect()  # at most table_bytes
     entries = spark.sparkContext.broadcast({r["word"]: bytes(r["ids"]) for r in rows})
     end = np.array([shared.value.end] if with_end else [], dtype=np.int32).tobytes()
 
-    @F.arrow_udf("array<int>")
-    def ids(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, table = shared.value, _Table(entries.value)
-        for texts in arrays:
-            packed: list[bytes] = []
-            some, chars = [], 0
-            for text in texts:
-                some.append(text.as_py())
-                chars += len(some[-1])
-                if chars > _GATHERED:
-                    packed += _encode_some(some, table, model, end)
-                    some, chars = [], 0
-            packed += _encode_some(some, table, model, end)
+
+        def coded(rows: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+            packed = _encode_some(texts, table, model, end)
             offsets = np.cumsum([0] + [len(p) // 4 for p in packed])
             flat = np.frombuffer(b"".join(packed), dtype=np.int32)
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
+            columns = [*rows.columns[:-1], pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))]
+            if decoded:
+                texts = [model.decode(memoryview(p).cast("i").tolist()) for p in packed]
+                columns.append(pa.array(texts, pa.binary()))
+            return pa.RecordBatch.from_arrays(columns, [*keep, "ids", "decoded"][: len(columns)])
 
+        for batch in batches:
+            start, some, chars = 0, [], 0
+            for at, text in enumerate(batch.columns[-1]):
+                some.append(text.as_py())
+                chars += len(some[-1])
+                if chars > _GATHERED or at == len(batch) - 1:
+                    yield coded(batch.slice(start, len(some)), some)
+                    start, some, chars = at + 1, [], 0
+
+    schema = docs.select(*keep).schema.add("ids", ArrayType(IntegerType()))
+    if decoded:
+        schema = schema.add("decoded", BinaryType())
+    return docs.select(*keep, whole(F.col("text"))).mapInArrow(code, schema)
+
+
+def encode(
+    docs: DataFrame, path: str | None = None, with_end: bool = True, table_bytes: int = TABLE_BYTES
+) -> DataFrame:
+    """``docs`` with ``ids`` array<int> and ``n_tokens``; they are read twice."""
     rest = docs.drop("ids", "n_tokens")
-    return rest.withColumn("ids", ids(whole(F.col("text")))).withColumn("n_tokens", F.size("ids").cast("bigint"))
+    coded = _coded(rest, path, with_end, table_bytes, rest.columns)
+    return coded.withColumn("n_tokens", F.size("ids").cast("bigint"))
 
 
 def token_text(shared, ids: Column) -> Column:
@@ -355,10 +379,11 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 @query
 def op13_sentence_pieces(spark, folder):
     """Every document encoded and decoded again, as digests."""
-    encoded = encode(documents(spark, folder).select("doc_id", "text")).drop("text")
-    return decode(encoded).select(
+    # both in one Python worker
+    coded = _coded(documents(spark, folder), None, True, TABLE_BYTES, ["doc_id"], decoded=True)
+    return coded.select(
         "doc_id",
-        "n_tokens",
+        F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
