@@ -28,6 +28,10 @@ have any length; an empty table gives an empty result.  Ids and other columns ar
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,9 +44,17 @@ UNIT = 1_000_000_000
 # Everything but ASCII letters and characters beyond ASCII parts two terms.
 _TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# Of the bytes of a text, letters in lower case and those beyond ASCII stay, all others become spaces.
+_TERM_BYTES = bytes(b if b > 0x7F or chr(b).isalpha() else 0x20 for b in range(256)).lower()
+_COUNTED = 400_000
+_COUNTS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
 _WIDE = "decimal(38,0)"
 
 
+def _group() -> list[Column]:
+    return [F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source")]
+
+
 def share(count: Column, total: Column, kept: Column) -> Column:
     """1 + floor(UNIT * (count + 2) / (total + 2 * kept)), exactly, however large the counts are."""
     parts = F.lit(UNIT).cast("decimal(10,0)") * (count.cast("decimal(20,0)") + 2)
@@ -56,21 +68,39 @@ def difference(p: Column, q: Column) -> Column:
 
 
 def group_terms(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences, and documents that have the term; one exchange."""
-    text = F.translate(F.coalesce(F.col("text"), F.lit("")), _UPPER, _LOWER)
-    found = docs.select(
-        F.coalesce("lang", F.lit("")).alias("lang"),
-        F.coalesce("source", F.lit("")).alias("source"),
-        F.array_sort(F.regexp_extract_all(text, F.lit(_TERM), F.lit(0))).alias("terms"),
-    )
-    # in a sorted array the first of equal terms stands for the document
-    is_first = lambda term, i: (i == 0) | (F.get("terms", i - 1) != term)
-    marked = F.transform("terms", lambda term, i: F.struct(term.alias("term"), is_first(term, i).cast("bigint").alias("first")))
-    return (
-        found.select("lang", "source", F.inline(marked))
-        .groupBy("lang", "source", "term")
-        .agg(F.count("*").alias("n"), F.sum("first").alias("docs"))
-    )
+    """(lang, source, term, n, docs): occurrences, and documents that have the term; one exchange.
+
+    A task counts up to _COUNTED (group, term) pairs before it passes them on.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple[str, str], tuple[Counter[bytes], Counter[bytes]]] = {}
+        held = 0
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for (lang, source), (n, in_docs) in found.items():
+                terms = pa.array(list(n), pa.binary()).cast(pa.string())
+                columns = [[lang] * len(n), [source] * len(n), terms, list(n.values()), [in_docs[t] for t in n]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_COUNTS)
+            found.clear()
+
+        for batch in batches:
+            for lang, source, text in zip(*(column.to_pylist() for column in batch.columns)):
+                terms = text.translate(_TERM_BYTES).split()
+                n, in_docs = found.setdefault((lang, source), (Counter(), Counter()))
+                held -= len(n)
+                n.update(terms)
+                in_docs.update(set(terms))
+                held += len(n)
+                if held > _COUNTED:
+                    yield from counted()
+                    held = 0
+        yield from counted()
+
+    texts = docs.select(*_group(), F.coalesce("text", F.lit("")).cast("binary"))
+    counts = texts.mapInArrow(count, "lang string, source string, term string, n bigint, docs bigint")
+    # counted already: exchanged by term, so that the sources of a term need not move again
+    return counts.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def kept_terms(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
@@ -91,9 +121,7 @@ def kept_terms(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> DataF
 def group_totals(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """(lang, source, total, n_lang, kept): of every group the occurrences of kept terms, there and in the
     language, and the number of kept terms; one row a group."""
-    groups = docs.select(
-        F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source")
-    ).distinct()
+    groups = docs.select(*_group()).distinct()
     own = (
         kept.select("lang", F.inline("sources"))
         .groupBy("lang", "source")
