@@ -34,20 +34,26 @@ def file_statuses(
     key: str = "doc_key",
     seq: str = "seq",
     broadcast_bytes: int = BROADCAST_BYTES,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """``files`` plus ``status``.
 
     MISSING_ID  the file has no id
     NO_META     its id has no metadata (every copy)
     GOOD        the first file, by ``seq``, with its id
-    DUPLICATE   any later one
+    DUPLICATE   any later one, and any whose id is in ``seen``, the ids found GOOD by earlier audits
 
     No window over the copies of an id: a single id may own a third of all
     files.  Ids are reduced to one row each, which is then looked up.  ``files``
     is read several times and should be a stage table; ``key`` is a string.
     """
     known = metadata.select(key).distinct().withColumn("_known", F.lit(True))
-    keys = stage(first_copies(files, key, seq).join(known, key, "left"), "ids")
+    firsts = first_copies(files, key, seq).join(known, key, "left")
+    if seen is not None:
+        earlier = seen.toDF(key).withColumn("_seen", F.lit(True))
+        # an id seen before has no first copy among these files
+        firsts = firsts.join(earlier, key, "left").withColumn("first_seq", F.expr("if(_seen, NULL, first_seq)")).drop("_seen")
+    keys = stage(firsts, "ids")
     found = keyed_lookup(
         files.where(F.col(key).isNotNull()), keys, key, weight="copies", broadcast_bytes=broadcast_bytes
     )
@@ -61,9 +67,9 @@ def file_statuses(
     return judged.unionByName(missing)
 
 
-def with_audit_folds(statuses: DataFrame, seq: str = "seq") -> DataFrame:
-    """Folds dealt to the GOOD files in order; other files have none."""
-    folds = cyclic_folds(statuses.where(F.col("status") == "GOOD"), seq)
+def with_audit_folds(statuses: DataFrame, seq: str = "seq", good_before: int = 0) -> DataFrame:
+    """Folds dealt to the GOOD files in order, going on after ``good_before`` earlier ones; other files have none."""
+    folds = cyclic_folds(statuses.where(F.col("status") == "GOOD"), seq, start=good_before)
     return statuses.join(folds, seq, "left")
 
 

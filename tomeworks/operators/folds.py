@@ -17,11 +17,13 @@ SPLIT_PLANS: dict[str, dict[str, list[int]]] = {
 }
 
 
-def cyclic_folds(docs: DataFrame, key: str = "doc_id", folds: int = FOLDS) -> DataFrame:
-    """(key, fold): folds dealt out in turn in key order, so their sizes differ by one at most."""
-    return dense_sequence(docs, key).select(
-        key, F.pmod("position", F.lit(folds)).cast("int").alias("fold")
-    )
+def cyclic_folds(docs: DataFrame, key: str = "doc_id", folds: int = FOLDS, start: int = 0) -> DataFrame:
+    """(key, fold): folds dealt out in turn in key order, so their sizes differ by one at most.
+
+    ``start`` documents have been dealt before.
+    """
+    position = F.col("position") + F.lit(start)
+    return dense_sequence(docs, key).select(key, F.pmod(position, F.lit(folds)).cast("int").alias("fold"))
 
 
 def hashed_fold(key: Column, folds: int = FOLDS) -> Column:

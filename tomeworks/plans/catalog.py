@@ -20,8 +20,10 @@ from tomeworks.plans.corpus_audit import audit as corpus_audit
 from tomeworks.plans.eligible_corpus import eligible_corpus
 from tomeworks.plans.experiments import Examples
 from tomeworks.plans.features import Features, Settings
+from tomeworks.plans.resumed_audit import AuditLog
 from tomeworks.plans.subject_metadata import subject_metadata
 from tomeworks.sources import corpus, listing, manifest, metadata, sinks, tables
+from tomeworks.sources.key_index import Layout
 from tomeworks.staging import last_change, stage, stage_path, still_staged
 from tomeworks.streaming import running_df
 
@@ -298,6 +300,18 @@ def k8_status_table(spark, folder):
     return spark.read.parquet(path).select("file", "doc_key", "status", "fold")
 
 
+@query
+def k8_resumed_audit(spark, folder):
+    """The files arrive in three runs; each audits its own, against the ids stored before."""
+    files = inputs.marked(spark, folder)
+    last = files.agg(F.max("seq")).first()[0] or 0
+    log = AuditLog(spark, stage_path(spark, "audit-log"), Layout(buckets=8, words=256))
+    for run in range(3):
+        part = files.where(F.col("seq").between(run * last // 3 + (run > 0), (run + 1) * last // 3))
+        log.audit(part, inputs.metadata_keys(spark, folder), f"run-{run}")
+    return log.statuses().select("file", "doc_key", "status", "fold")
+
+
 @query
 def k9_exclusion_list(spark, folder):
     path = stage_path(spark, "exclusions")

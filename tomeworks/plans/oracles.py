@@ -225,6 +225,11 @@ def _histogram(value: str, ctes: tuple[str, ...] = (TOKENS,), source: str = "tok
 
 _VECTORS = (*_WEIGHTED, _sums("tfidf", "tfidf"), META, MANIFEST)
 
+_STATUS_ROWS = _sql(*_AUDIT, select=f"""SELECT s.doc_id || '.txt' AS file, book_id AS doc_key, status, g.fold FROM statuses s LEFT JOIN
+      (SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) - 1) % 10 AS INTEGER) AS fold FROM statuses WHERE status = 'GOOD') g
+      ON s.doc_id = g.doc_id""")
+
+
 ORACLES: dict[str, str] = {
     "s1_corpus_text": "SELECT doc_id, length(text) AS n_chars, len(string_split(text, chr(10))) AS n_lines FROM documents",
     "s2_recursive_text_files": """SELECT source, CAST(sum(length(text) + 1) AS BIGINT) AS n_chars,
@@ -247,9 +252,8 @@ ORACLES: dict[str, str] = {
       CASE WHEN doc_id % 17 = 0 THEN 'unreadable' WHEN doc_id % 19 = 0 THEN 'no_id' ELSE 'written' END AS outcome FROM meta)
       GROUP BY outcome"""),
     "k7_subject_counts": _sql(META, SUBJECT_ROWS, select="SELECT subject, count(*) AS n FROM subject_rows GROUP BY subject"),
-    "k8_status_table": _sql(*_AUDIT, select=f"""SELECT s.doc_id || '.txt' AS file, book_id AS doc_key, status, g.fold FROM statuses s LEFT JOIN
-      (SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) - 1) % 10 AS INTEGER) AS fold FROM statuses WHERE status = 'GOOD') g
-      ON s.doc_id = g.doc_id"""),
+    "k8_status_table": _STATUS_ROWS,
+    "k8_resumed_audit": _STATUS_ROWS,
     "k9_exclusion_list": _sql(*LISTING, select="SELECT 'TOOBIG' AS reason, file, size_text FROM sized WHERE size_mb > 2.5"),
     "k10_metrics_table": _sql(*_PREDICTED, select="SELECT subject, split, count(*) AS n_docs, round(avg(CAST(label = prediction AS INTEGER)), 6) AS accuracy FROM predicted GROUP BY 1, 2"),
     "k10_vector_stats": _sql(*_WEIGHTED, META, MANIFEST, select="SELECT doc_id, fold, 10000 AS buckets, count(*) AS n_words FROM tfidf JOIN manifest USING (doc_id) GROUP BY doc_id, fold"),

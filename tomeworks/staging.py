@@ -57,7 +57,7 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     return staged
 
 
-def _target(spark: SparkSession, path: str):
+def target_of(spark: SparkSession, path: str):
     """The path and its file system."""
     context = spark.sparkContext
     target = context._jvm.org.apache.hadoop.fs.Path(path)
@@ -65,22 +65,28 @@ def _target(spark: SparkSession, path: str):
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    target, files = _target(spark, path)
+    target, files = target_of(spark, path)
     return files.exists(target)
 
 
 def children(spark: SparkSession, path: str) -> list[str]:
     """The paths right below a folder."""
-    target, files = _target(spark, path)
+    target, files = target_of(spark, path)
     return [str(s.getPath()) for s in files.listStatus(target)]
 
 
 def last_change(spark: SparkSession, path: str) -> int:
     """When a file or folder was last written, in milliseconds."""
-    target, files = _target(spark, path)
+    target, files = target_of(spark, path)
     return files.getFileStatus(target).getModificationTime()
 
 
 def still_staged(df: DataFrame) -> bool:
     """Whether the files of a stage table are still there, for tables kept across jobs."""
     return exists(df.sparkSession, df.stage_path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder and all in it, if it is there."""
+    target, files = target_of(spark, path)
+    files.delete(target, True)
