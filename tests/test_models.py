@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tomeworks.operators.metrics import accuracy, binary_metrics, confusion
 from tomeworks.operators.naive_bayes import fit_naive_bayes, predict_naive_bayes
+from tomeworks.operators.trees import predictions
 from tomeworks.operators.vectors import bucket_sums, hash_terms, with_ml_vectors
 from tomeworks.plans import experiments, inputs
 from tomeworks.plans.features import Features, Settings
@@ -80,32 +81,23 @@ def test_naive_bayes_equals_spark_ml_on_documents(real):
         assert {r["doc_id"]: r["prediction"] for r in predictions if r["subject"] == name} == want
 
 
-def test_tree_depths_from_one_fit(real):
-    vectors = experiments.ml_vectors(real)
-    for i in (0, 2, 5):
-        data = experiments.for_subject(vectors, i)
-        together = experiments.run_tree_depths((1, 2, 3, 4), data)
-        for depth in (1, 2, 3, 4):
-            alone, _ = experiments.run_model(experiments.decision_tree(depth), data)
-            assert sorted(together[depth]) == sorted(alone)
-
-
-def test_leaf_paths(spark):
-    points = [(0.0, 0.0, 0.0), (0.0, 1.0, 1.0), (1.0, 0.0, 0.0), (1.0, 1.0, 0.0), (1.0, 1.0, 0.0)] * 4
-    data = spark.createDataFrame([(Vectors.dense(x, y), label) for x, y, label in points], ["features", "label"])
-    model = experiments.decision_tree(3).fit(data)
-    paths = experiments.leaf_paths(model)
-    assert len(paths) == model.numNodes // 2 + 1 == 3
-    assert {int(r["leaf"]) for r in model.transform(data).collect()} == {0, 1, 2}
-    constant = experiments.decision_tree(3).fit(data.withColumn("label", F.lit(1.0)))
-    assert experiments.leaf_paths(constant) == [()]
+def test_tree_experiment_counts_what_the_trees_predict(real):
+    table = {(r.subject, r.setting): r for r in experiments.decision_tree_experiment(real, depths=(1, 3)).collect()}
+    found = predictions(experiments.grown_trees(real, 3), real.rows, [1, 3]).collect()
+    for (subject, setting), row in table.items():
+        for split in experiments.SPLITS:
+            mine = [r for r in found if (r.subject, str(r.depth), r.split) == (subject, str(setting), split)]
+            assert row[f"{split}_docs"] == len(mine)
+            hits = sum(r.label == r.prediction for r in mine)
+            assert row[f"{split}_accuracy"] == pytest.approx(hits / len(mine))
+        assert row.train_accuracy >= row.train_majority - 1e-9
 
 
 def test_fits_take_a_bounded_sample_and_score_everything(real):
     vectors = experiments.ml_vectors(real, max_training_rows=40)
     n_train, n_fit = (vectors.where(c).count() for c in ("split = 'train'", "in_fit"))
     assert 0 < n_fit < n_train and vectors.where("in_fit and split <> 'train'").count() == 0
-    rows = experiments.decision_tree_experiment(real.first(1), depths=(2,), max_training_rows=40).collect()
+    rows = experiments.logistic_regression_experiment(real.first(1), max_training_rows=40).collect()
     assert rows[0]["train_docs"] == n_train
     assert vectors.count() == real.rows.count()
 

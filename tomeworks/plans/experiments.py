@@ -11,12 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.ml import Estimator
-from pyspark.ml.classification import (
-    DecisionTreeClassificationModel,
-    DecisionTreeClassifier,
-    LogisticRegression,
-    NaiveBayes,
-)
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +19,7 @@ from tomeworks.operators.datasets import training_set
 from tomeworks.operators.metrics import binary_metrics, confusion
 from tomeworks.operators.naive_bayes import NaiveBayesModel, fit_naive_bayes, predict_naive_bayes
 from tomeworks.operators.subjects import subject_frequency, top_names
+from tomeworks.operators.trees import Trees, grow, predictions
 from tomeworks.operators.vectors import with_ml_vectors
 from tomeworks.plans.features import Features
 from tomeworks.staging import stage
@@ -81,12 +77,13 @@ def naive_bayes_predictions(examples: Examples, smoothing: float = 1.0) -> DataF
 
 def naive_bayes_experiment(examples: Examples, smoothing: float = 1.0) -> DataFrame:
     """All measures per subject and split."""
-    predictions = naive_bayes_predictions(examples, smoothing)
-    measures = binary_metrics(confusion(predictions, "subject", "split"), "subject", "split")
+    predicted = naive_bayes_predictions(examples, smoothing)
+    measures = binary_metrics(confusion(predicted, "subject", "split"), "subject", "split")
     return measures.withColumn("buckets", F.lit(examples.buckets)).withColumn("log_used", F.lit(examples.log_idf))
 
 
 def decision_tree(depth: int) -> DecisionTreeClassifier:
+    """spark.ml's tree of the same settings as those of ``grown_trees``, for a single subject."""
     return DecisionTreeClassifier(
         featuresCol="features",
         labelCol="label",
@@ -115,8 +112,7 @@ def ml_naive_bayes(smoothing: float = 1.0) -> NaiveBayes:
 def fitting_rows(rows: DataFrame, max_training_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
     """``rows`` with ``in_fit``: the training rows that fits may use.
 
-    A fit holds its training rows in memory (a tree one bin number per feature and
-    row), so it takes at most about ``max_training_rows`` of them, drawn by a hash of
+    A spark.ml fit holds its training rows in memory, so it takes at most about ``max_training_rows`` of them, drawn by a hash of
     the id.  Rows of all splits are scored and counted whatever the bound.
     """
     n = rows.where(F.col("split") == "train").count()
@@ -144,46 +140,6 @@ def run_model(estimator: Estimator, data: DataFrame) -> tuple[Counts, int | None
     return [(r["split"], r["label"], r["prediction"], r["n"]) for r in counts], used
 
 
-def leaf_paths(model: DecisionTreeClassificationModel) -> list[tuple[int, ...]]:
-    """For each leaf of a tree, from left to right, the branches taken from the root (0 left, 1 right)."""
-
-    def below(node, path: tuple[int, ...]) -> list[tuple[int, ...]]:
-        if node.subtreeDepth() == 0:
-            return [path]
-        return below(node.leftChild(), (*path, 0)) + below(node.rightChild(), (*path, 1))
-
-    return below(model._call_java("rootNode"), ())
-
-
-def run_tree_depths(depths: Iterable[int], data: DataFrame) -> dict[int, Counts]:
-    """Confusion counts of decision trees of several maximal depths from one fit.
-
-    Trees grow level by level and greedily, so the tree of depth d is the deepest
-    tree cut off at depth d.  Documents are counted per leaf of the deepest tree
-    in one pass; a cut node predicts the majority of the training documents below
-    it, the lower label on a tie, as the tree itself does.
-    """
-    model = decision_tree(max(depths)).fit(data.where("in_fit"))
-    counted = model.transform(data).groupBy("split", "in_fit", "leaf", "label").agg(F.count("*").alias("n"))
-    rows = counted.collect()  # at most 2 ** depth leaves, times splits and labels
-    paths = leaf_paths(model)
-    results = {}
-    for depth in depths:
-        votes: dict[tuple[int, ...], dict[float, int]] = {}
-        for r in rows:
-            node = paths[int(r["leaf"])][:depth]
-            labels = votes.setdefault(node, {0.0: 0, 1.0: 0})
-            if r["in_fit"]:
-                labels[r["label"]] += r["n"]
-        cells: dict[tuple[str, float, float], int] = {}
-        for r in rows:
-            labels = votes[paths[int(r["leaf"])][:depth]]
-            cell = (r["split"], r["label"], 1.0 if labels[1.0] > labels[0.0] else 0.0)
-            cells[cell] = cells.get(cell, 0) + r["n"]
-        results[depth] = [(*cell, n) for cell, n in cells.items()]
-    return results
-
-
 def _counts_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(
         rows,
@@ -227,20 +183,17 @@ def ml_vectors(examples: Examples, max_training_rows: int = MAX_TRAINING_ROWS) -
     return with_ml_vectors(fitting_rows(examples.rows, max_training_rows), examples.buckets)
 
 
-def decision_tree_experiment(
-    examples: Examples,
-    depths: Iterable[int] = DEPTHS,
-    parallelism: int = 4,
-    max_training_rows: int = MAX_TRAINING_ROWS,
-) -> DataFrame:
-    """The depth sweep, one fit per subject; ``setting`` is the maximal depth."""
-    vectors = ml_vectors(examples, max_training_rows)
+def grown_trees(examples: Examples, depth: int = max(DEPTHS)) -> Trees:
+    """The trees of all subjects, from all training rows."""
+    return grow(examples.rows, examples.names, depth)
 
-    def job(data: DataFrame) -> dict[int, tuple]:
-        return {depth: (counts, None) for depth, counts in run_tree_depths(depths, data).items()}
 
-    rows = _per_subject(vectors, examples.names, job, parallelism)
-    return accuracy_table(_counts_table(examples.rows.sparkSession, rows))
+def decision_tree_experiment(examples: Examples, depths: Iterable[int] = DEPTHS) -> DataFrame:
+    """The depth sweep: all subjects grow together, once, and are cut off at each depth; ``setting`` is the depth."""
+    depths = list(depths)
+    found = predictions(grown_trees(examples, max(depths)), examples.rows, depths)
+    counts = confusion(found.withColumnRenamed("depth", "setting"), "subject", "setting", "split")
+    return accuracy_table(counts.select("*", F.lit(None).cast("int").alias("n_coefficients")))
 
 
 def logistic_regression_experiment(

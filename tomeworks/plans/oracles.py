@@ -129,8 +129,7 @@ def _entries(plan: str, source: str, weight: str) -> str:
 
 
 _FIT = """SELECT subject, setting, train_docs, test_docs, validate_docs, train_positives,
-  round(greatest(train_positives / train_docs, 1 - train_positives / train_docs), 6) AS train_majority,
-  true AS reaches_majority FROM
+  round(greatest(train_positives / train_docs, 1 - train_positives / train_docs), 6) AS train_majority FROM
   (SELECT subject, count(*) FILTER (split = 'train') AS train_docs, count(*) FILTER (split = 'test') AS test_docs,
    count(*) FILTER (split = 'validate') AS validate_docs,
    count(*) FILTER (split = 'train' AND label = 1) AS train_positives FROM labelled GROUP BY subject)"""
@@ -150,6 +149,70 @@ def _embedding_fits(settings: list[str]) -> str:
     return _sql(run, TOP, _labelled("7/2/1"), select=f"{_FIT} CROSS JOIN (VALUES {values}) v(setting)")
 
 
+def _embedding_trees(depth: int, select: str) -> str:
+    """Trees grown level by level over the ready-made vectors; node i has the children 2i and 2i + 1."""
+    run = """manifest AS (SELECT vec_id AS doc_id, [CAST(label AS VARCHAR)] AS subjects,
+      CAST((row_number() OVER (ORDER BY vec_id) - 1) % 10 AS INTEGER) AS fold FROM embeddings)"""
+    entropy = lambda n, p: (
+        f"(CASE WHEN {p} > 0 THEN -({p} / {n}) * log2({p} / {n}) ELSE 0 END"
+        f" + CASE WHEN {p} < {n} THEN -(({n} - {p}) / {n}) * log2(({n} - {p}) / {n}) ELSE 0 END)"
+    )
+    levels = ["at0 AS MATERIALIZED (SELECT doc_id, split, subject, label, 1 AS node FROM labelled)"]
+    for k in range(depth + 1):
+        levels.append(f"""total{k} AS MATERIALIZED (SELECT subject, node, CAST(count(*) AS DOUBLE) AS n, CAST(sum(label) AS DOUBLE) AS p
+          FROM at{k} WHERE split = 'train' AND node >= {2**k} GROUP BY ALL)""")
+        if k == depth:
+            break
+        levels.append(f"""best{k} AS MATERIALIZED (SELECT * FROM (SELECT *, round({entropy("n", "p")} - nl / n * {entropy("nl", "pl")}
+            - (n - nl) / n * {entropy("(n - nl)", "(p - pl)")}, 12) AS gain FROM
+          (SELECT subject, node, bucket, split_no, cut, n, p, CAST(count(*) FILTER (w <= cut) AS DOUBLE) AS nl,
+             CAST(coalesce(sum(label) FILTER (w <= cut), 0) AS DOUBLE) AS pl
+           FROM at{k} JOIN total{k} USING (subject, node) JOIN vals USING (doc_id) JOIN cuts USING (bucket)
+           WHERE split = 'train' AND p > 0 AND p < n GROUP BY ALL) WHERE nl > 0 AND nl < n) WHERE gain > 0
+          QUALIFY row_number() OVER (PARTITION BY subject, node ORDER BY gain DESC, bucket, split_no) = 1)""")
+        levels.append(f"""at{k + 1} AS MATERIALIZED (SELECT a.doc_id, split, subject, label,
+          CASE WHEN cut IS NULL THEN node ELSE 2 * node + CAST(w > cut AS INTEGER) END AS node
+          FROM at{k} a LEFT JOIN best{k} USING (subject, node) LEFT JOIN vals v ON v.doc_id = a.doc_id AND v.bucket = best{k}.bucket)""")
+    totals = " UNION ALL ".join(f"SELECT *, {k} AS depth FROM total{k}" for k in range(depth + 1))
+    bests = " UNION ALL ".join(f"SELECT subject, node, bucket, cut, gain FROM best{k}" for k in range(depth))
+    places = " UNION ALL ".join(f"SELECT *, {k} AS depth FROM at{k}" for k in range(depth + 1))
+    return _sql(
+        run,
+        TOP,
+        _labelled("7/2/1"),
+        """vals AS MATERIALIZED (SELECT vec_id AS doc_id, generate_subscripts(embedding, 1) - 1 AS bucket,
+          CAST(unnest(embedding) AS DOUBLE) AS w FROM embeddings)""",
+        """value_lists AS (SELECT bucket, list({'v': w, 'c': c} ORDER BY w) AS l, sum(c) / 5 AS step FROM
+          (SELECT bucket, w, CAST(count(*) AS DOUBLE) AS c FROM vals
+           WHERE doc_id IN (SELECT doc_id FROM labelled WHERE split = 'train') GROUP BY bucket, w) GROUP BY bucket)""",
+        """cut_lists AS (SELECT bucket, CASE WHEN len(l) <= 5
+          THEN list_transform(range(1, len(l)), lambda i: (l[i].v + l[i + 1].v) / 2)
+          ELSE list_reduce(l[2:], lambda a, x: {'seen': a.seen + x.c, 'before': x.v,
+            'goal': CASE WHEN abs(a.seen - a.goal) < abs(a.seen + x.c - a.goal) THEN a.goal + step ELSE a.goal END,
+            'found': CASE WHEN abs(a.seen - a.goal) < abs(a.seen + x.c - a.goal)
+              THEN list_append(a.found, (a.before + x.v) / 2) ELSE a.found END},
+            {'seen': l[1].c, 'before': l[1].v, 'goal': step, 'found': CAST([] AS DOUBLE[])}).found END AS found FROM value_lists)""",
+        "cuts AS MATERIALIZED (SELECT bucket, unnest(found) AS cut, generate_subscripts(found, 1) AS split_no FROM cut_lists)",
+        *levels,
+        f"totals AS ({totals})",
+        f"bests AS ({bests})",
+        f"places AS ({places})",
+        select=select,
+    )
+
+
+_TREE_NODES = """SELECT subject, node, depth, CAST(n AS BIGINT) AS n_docs, CAST(p AS BIGINT) AS positives,
+  CASE WHEN p > n - p THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, CAST(bucket AS INTEGER) AS bucket,
+  round(cut, 6) AS threshold, round(gain, 6) AS gain FROM totals LEFT JOIN bests USING (subject, node)"""
+_TREE_ACCURACIES = """SELECT subject, CAST(places.depth AS VARCHAR) AS setting,
+  round(avg(CAST((p > n - p) = (label = 1) AS INTEGER)) FILTER (split = 'train'), 6) AS train_accuracy,
+  round(avg(CAST((p > n - p) = (label = 1) AS INTEGER)) FILTER (split = 'test'), 6) AS test_accuracy,
+  round(avg(CAST((p > n - p) = (label = 1) AS INTEGER)) FILTER (split = 'validate'), 6) AS validate_accuracy,
+  avg(CAST((p > n - p) = (label = 1) AS INTEGER)) FILTER (split = 'train')
+    >= greatest(avg(label) FILTER (split = 'train'), 1 - avg(label) FILTER (split = 'train')) - 1e-9 AS reaches_majority
+  FROM places JOIN totals USING (subject, node) WHERE places.depth IN (2, 3, 4) GROUP BY ALL"""
+
+
 # Raw text with markers, its lines, and the marker lines.
 MARKED = (
     f"marked AS (SELECT doc_id, doc_id AS seq, {inputs.FILE_NAME} AS file, {inputs.MARKED_TEXT} AS text FROM documents)"
@@ -346,6 +409,8 @@ ORACLES: dict[str, str] = {
     "m9_naive_bayes_no_log": _sql(*_bayes("7/3", idf=PLAIN_IDF), SCORES, _CELLS, select=_MEASURES + ", 10000 AS buckets, false AS log_used FROM cells"),
     "m9_naive_bayes_6000": _sql(*_bayes("7/3", 6000), _scores(6000), _CELLS, select=_MEASURES + ", 6000 AS buckets, true AS log_used FROM cells"),
     "m10_decision_tree": _fits(["3"], subjects="subject = (SELECT subject FROM top ORDER BY n DESC, subject LIMIT 1)"),
+    "m10_embedding_tree_nodes": _embedding_trees(4, _TREE_NODES),
+    "m11_embedding_tree_accuracies": _embedding_trees(4, _TREE_ACCURACIES),
     "m10_embedding_trees": _embedding_fits(["2", "3", "4"]),
     "m11_decision_tree_sweep": _fits(["2", "3", "4"]),
     "m11_decision_tree_tf_sweep": _fits([f"{n}/{d}" for n in (10000, 8000, 6000) for d in (2, 3, 4)], "4/3/3"),
