@@ -936,6 +936,32 @@ def m12_logistic_regression(spark, folder):
     return _fit_report(experiments.logistic_regression_experiment(_examples(spark, folder)))
 
 
+@query
+def m12_regression_accuracies(spark, folder):
+    """spark.ml's optimiser at the original setting."""
+    return _learned(experiments.logistic_regression_experiment(_examples(spark, folder)), "n_coefficients")
+
+
+@query
+def m13_gradient_sweep(spark, folder):
+    """The mini-batch optimiser, all subjects and settings fitted together."""
+    run = experiments.gradient_regression_experiment
+    return _learned(run(_examples(spark, folder), reg_params=experiments.REG_PARAMS), "n_coefficients")
+
+
+@query
+def m12_gradient_embedding_coefficients(spark, folder):
+    """Every coefficient that is not 0, of the regressions over ready-made vectors; bucket 64 is the intercept."""
+    models = experiments.gradient_models(_embedding_examples(spark, folder), reg_params=(0.001,))
+    rows = [
+        (subject, bucket, float(w))
+        for (subject, _), weights in zip(models.models, models.weights)
+        for bucket, w in enumerate(weights)
+        if w
+    ]
+    return _rounded(spark.createDataFrame(rows, "subject string, bucket int, weight double"), "weight")
+
+
 @query
 def m13_logistic_regression_sweep(spark, folder):
     """From the reference's setting down to where all subjects get coefficients."""

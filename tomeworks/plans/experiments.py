@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tomeworks.operators.datasets import training_set
+from tomeworks.operators.gradient_regression import Regressions, fit, predict
 from tomeworks.operators.metrics import binary_metrics, confusion
 from tomeworks.operators.naive_bayes import NaiveBayesModel, fit_naive_bayes, predict_naive_bayes
 from tomeworks.operators.subjects import subject_frequency, top_names
@@ -213,3 +214,22 @@ def logistic_regression_experiment(
 
     rows = _per_subject(vectors, examples.names, job, parallelism)
     return accuracy_table(_counts_table(examples.rows.sparkSession, rows))
+
+
+def gradient_models(examples: Examples, reg_params: Iterable[float] = REG_PARAMS[:1], **options) -> Regressions:
+    """Mini-batch regressions of all subjects and settings, fitted together over all training rows."""
+    return fit(examples.rows, examples.names, examples.buckets, reg_params, **options)
+
+
+def gradient_regression_experiment(
+    examples: Examples, reg_params: Iterable[float] = REG_PARAMS[:1], **options
+) -> DataFrame:
+    """The regularisation sweep with the mini-batch optimiser; ``setting`` is the value."""
+    models = gradient_models(examples, reg_params, **options)
+    used = {m: n for m, n in zip(models.models, models.coefficients())}
+    counts = confusion(predict(models, examples.rows), "subject", "reg_param", "split").collect()  # a few a model
+    rows = [
+        (r["subject"], str(r["reg_param"]), used[r["subject"], r["reg_param"]], r["split"], r["label"], r["prediction"], r["n"])
+        for r in counts
+    ]
+    return accuracy_table(_counts_table(examples.rows.sparkSession, rows))
