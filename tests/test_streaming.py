@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import random
+
+from pyspark.errors import StreamingQueryException
+
 from tomeworks.operators.terms import term_bags
 from tomeworks.operators.vocabulary import document_frequency
+from tomeworks.sources.key_index import KeyIndex, Layout
 from tomeworks.streaming import running_df
 
 
@@ -64,3 +70,50 @@ def test_stateful_counts_ignore_replays(spark, tmp_path):
     )
     query.awaitTermination()
     assert {r["term"]: r["df"] for r in spark.table("running").collect()} == batch_result(spark, rows)
+
+
+def test_a_long_log_stays_small_and_exact_through_replays_and_crashes(spark, tmp_path, monkeypatch):
+    source, log, state = (str(tmp_path / n) for n in ("in", "log", "state"))
+    draw = random.Random(9)
+    rows = []
+    for n in range(15):
+        ids = [n * 3 + k for k in range(3)] + draw.sample(range(n * 3 + 1), min(2, n))
+        some = [(i, f"red w{i % 7} word{i % 3}") for i in ids]
+        rows += some
+        arrive(spark, source, some)
+    held, crashes = [], {6, 11}  # before a merge is complete, and between the ids and the end of a batch
+    merge, add = running_df.merge, KeyIndex.add
+
+    def merge_or_crash(spark, folder, upto):
+        held.append((len(os.listdir(f"{log}/terms")), len(KeyIndex(spark, f"{log}/ids")._batches())))
+        if upto + 1 in crashes or upto in crashes:
+            crashes.discard(upto)
+            crashes.discard(upto + 1)
+            raise OSError("lost")
+        merge(spark, folder, upto)
+
+    def add_or_crash(self, keys, name):
+        add(self, keys, name)
+        if name == "batch-11" and 11 in crashes:
+            crashes.discard(11)
+            raise OSError("lost")
+
+    monkeypatch.setattr(running_df, "merge", merge_or_crash)
+    monkeypatch.setattr(KeyIndex, "add", add_or_crash)
+    failures = 0
+    for _ in range(4):
+        arriving = running_df.document_stream(spark, source, files_per_batch=1)
+        layout = Layout(buckets=4, words=16)
+        query = running_df.start_frequency_log(arriving, log, state, merge_every=3, drop_replays=True, layout=layout)
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            failures += 1
+    assert failures == 2
+    frequencies, documents = running_df.snapshot(spark, log)
+    distinct = sorted(dict(rows).items())
+    assert {r["term"]: r["df"] for r in frequencies.collect()} == batch_result(spark, distinct)
+    assert documents.first()["n_docs"] == len(distinct)
+    # whatever the number of batches: no more than two merges' worth of folders, and of batches of ids
+    assert max(n for n, _ in held) <= 7 and max(n for _, n in held) <= 4
+    assert len(os.listdir(f"{log}/merged")) <= 2 and len(os.listdir(f"{log}/ids/commits")) < 12

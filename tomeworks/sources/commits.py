@@ -13,7 +13,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from tomeworks.staging import children, exists, target_of
+from tomeworks.staging import children, exists, remove, target_of
 
 
 class CommitLog:
@@ -21,16 +21,23 @@ class CommitLog:
         self.spark = spark
         self.folder = folder.rstrip("/")
 
-    def entries(self) -> list[dict]:
-        """All entries in the order in which they were made."""
+    def _paths(self) -> list[str]:
         if not exists(self.spark, self.folder):
             return []
-        names = sorted(p for p in children(self.spark, self.folder) if p.endswith(".json"))
-        return [json.loads(self._read(p)) for p in names]
+        return sorted(p for p in children(self.spark, self.folder) if p.endswith(".json"))
+
+    def entries(self) -> list[dict]:
+        """All entries in the order in which they were made."""
+        return [json.loads(self._read(p)) for p in self._paths()]
 
     def last(self) -> dict | None:
-        entries = self.entries()
-        return entries[-1] if entries else None
+        paths = self._paths()
+        return json.loads(self._read(paths[-1])) if paths else None
+
+    def forget(self) -> None:
+        """Removes all entries but the last, for logs whose entries each tell everything."""
+        for path in self._paths()[:-1]:
+            remove(self.spark, path)
 
     def append(self, entry: dict) -> dict:
         """Adds an entry and returns it with its ``number``."""

@@ -115,14 +115,20 @@ class KeyIndex:
     def _commit(self, batches: list[dict]) -> None:
         self.log.append({"buckets": self.layout.buckets, "words": self.layout.words, "batches": batches})
 
-    def compact(self) -> None:
-        """Merges all batches into one; the old folders go after the new one is committed."""
-        batches = self._batches()
+    def compact(self, keep_names: bool = True, but: str | None = None) -> None:
+        """Merges all batches into one, except the one named ``but``; old folders go after the new one is committed.
+
+        Without ``keep_names`` the index no longer knows under which names its keys
+        were added: for callers that never add under an old name again.
+        """
+        batches = [b for b in self._batches() if b["names"] != [but]]
+        rest = [b for b in self._batches() if b["names"] == [but]]
         if len(batches) < 2:
             return
-        names = sorted({n for b in batches for n in b["names"]})
+        names = sorted({n for b in batches for n in b["names"]}) if keep_names else []
         merged = self._write(self._read(batches, "keys", "key string, bucket int").select("key"), names)
-        self._commit([merged])
+        self._commit([merged, *rest])
+        self.log.forget()
         for batch in batches:
             for part in ("keys", "filter"):
                 remove(self.spark, f"{self.folder}/{part}/{batch['place']}")

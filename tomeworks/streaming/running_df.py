@@ -24,13 +24,17 @@ from pyspark.sql.streaming import StreamingQuery
 from tomeworks.functions.text import terms
 from tomeworks.operators.terms import term_bags
 from tomeworks.operators.vocabulary import document_count, document_frequency
-from tomeworks.staging import children, exists, stage
+from tomeworks.sources.key_index import KeyIndex, Layout
+from tomeworks.staging import children, exists, remove, stage
 
 DOCUMENT_SCHEMA = T.StructType(
     [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())]
 )
 
 
+_SCHEMAS = {"terms": "term string, df bigint", "docs": "n_docs bigint"}
+
+
 def document_stream(
     spark: SparkSession, folder: str, files_per_batch: int | None = None, name_glob: str = "*.parquet"
 ) -> DataFrame:
@@ -56,30 +60,41 @@ def running_frequency(documents: DataFrame, drop_replays: bool = False) -> DataF
 
 
 def start_frequency_log(
-    documents: DataFrame, folder: str, checkpoint: str, merge_every: int = 20, drop_replays: bool = False
+    documents: DataFrame,
+    folder: str,
+    checkpoint: str,
+    merge_every: int = 20,
+    drop_replays: bool = False,
+    layout: Layout = Layout(),
 ) -> StreamingQuery:
     """Log the document frequencies of each micro-batch below ``folder`` until none are left.
 
-    Every ``merge_every`` batches the log is merged into one state table, so a
-    snapshot reads a bounded number of folders.  ``drop_replays`` leaves out documents whose id
-    an earlier batch has logged; the ids are a table below ``folder``, not operator state.
+    Every ``merge_every`` batches the log is merged into one state table and the
+    merged folders go, so a snapshot reads a bounded number of them.  ``drop_replays``
+    leaves out documents whose id an earlier batch has logged.  The ids are a key
+    index below ``folder``, not operator state: a batch reads its filter, whose
+    size is bounded by ``layout``, and only buckets that may hold one of its ids.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fresh = batch.select("doc_id", "text")
         if drop_replays:
-            ids = f"{folder}/ids"
-            seen = spark.read.schema("doc_id bigint, batch bigint").parquet(ids) if exists(spark, ids) else None
-            fresh = fresh.dropDuplicates(["doc_id"])
-            if seen is not None:  # its own ids are there when the batch is run again
-                fresh = fresh.join(seen.where(F.col("batch") < batch_id).select("doc_id"), "doc_id", "left_anti")
+            index, name = KeyIndex(spark, f"{folder}/ids", layout), f"batch-{batch_id}"
+            index.drop(name)  # its own ids are there when the batch is run again
+            if batch_id % merge_every == 0:
+                # all of these batches are committed, or this one would not run
+                index.compact(keep_names=False)
+            fresh = stage(fresh.dropDuplicates(["doc_id"]), "arrived")
+            key = F.col("doc_id").cast("string").alias("key")
+            seen = index.seen(fresh.where(F.col("doc_id").isNotNull()).select(key))
+            fresh = fresh.join(seen, fresh["doc_id"].cast("string") == seen["key"], "left_anti")
         # several small results from one pass over the batch
         bags = stage(term_bags(fresh), "stream-bags")
         document_frequency(bags).write.mode("overwrite").parquet(f"{folder}/terms/batch={batch_id}")
         document_count(bags).write.mode("overwrite").parquet(f"{folder}/docs/batch={batch_id}")
         if drop_replays:
-            bags.select("doc_id").write.mode("overwrite").parquet(f"{folder}/ids/batch={batch_id}")
+            index.add(bags.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("string")), name)
         if (batch_id + 1) % merge_every == 0:
             merge(spark, folder, batch_id)
 
@@ -91,25 +106,26 @@ def start_frequency_log(
     )
 
 
-def _merged_upto(spark: SparkSession, folder: str) -> int:
-    """The last batch of the newest complete state table, -1 when there is none."""
+def _merged(spark: SparkSession, folder: str) -> list[int]:
+    """The last batches of the complete state tables, ascending."""
     path = f"{folder}/merged"
     if not exists(spark, path):
-        return -1
-    done = [int(p.rsplit("=", 1)[1]) for p in children(spark, path) if exists(spark, f"{p}/docs/_SUCCESS")]
-    return max(done, default=-1)
+        return []
+    return sorted(int(p.rsplit("=", 1)[1]) for p in children(spark, path) if exists(spark, f"{p}/docs/_SUCCESS"))
 
 
 def _parts(spark: SparkSession, folder: str, kind: str, upto: int | None = None) -> DataFrame:
     """The newest state table and the batches after it, up to a given one."""
-    base = _merged_upto(spark, folder)
-    log = spark.read.parquet(f"{folder}/{kind}").where(F.col("batch") > base)
+    done = _merged(spark, folder)
+    # the schema is given: the folders of all batches may have been merged and removed
+    log = spark.read.schema(f"{_SCHEMAS[kind]}, batch bigint").parquet(f"{folder}/{kind}")
+    log = log.where(F.col("batch") > (done[-1] if done else -1))
     if upto is not None:
         log = log.where(F.col("batch") <= upto)
-    columns = [c for c in log.columns if c != "batch"]
-    if base < 0:
-        return log.select(*columns)
-    return spark.read.parquet(f"{folder}/merged/upto={base}/{kind}").select(*columns).unionByName(log.select(*columns))
+    log = log.drop("batch")
+    if not done:
+        return log
+    return spark.read.schema(_SCHEMAS[kind]).parquet(f"{folder}/merged/upto={done[-1]}/{kind}").unionByName(log)
 
 
 def _summed(spark: SparkSession, folder: str, upto: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -119,12 +135,24 @@ def _summed(spark: SparkSession, folder: str, upto: int | None = None) -> tuple[
 
 
 def merge(spark: SparkSession, folder: str, upto: int) -> None:
-    """One state table of everything up to batch ``upto``; batches run again later do not change it."""
-    if _merged_upto(spark, folder) >= upto:
+    """One state table of everything up to batch ``upto``; batches run again later do not change it.
+
+    The table counts as soon as its second part is complete.  Then the folders that
+    the previous state table had not merged stay for readers that still use it;
+    what is older goes.
+    """
+    done = _merged(spark, folder)
+    if done and done[-1] >= upto:
         return
     frequencies, documents = _summed(spark, folder, upto)
     frequencies.write.mode("overwrite").parquet(f"{folder}/merged/upto={upto}/terms")
     documents.write.mode("overwrite").parquet(f"{folder}/merged/upto={upto}/docs")
+    for older in done[:-1]:
+        remove(spark, f"{folder}/merged/upto={older}")
+    for kind in _SCHEMAS:
+        for path in children(spark, f"{folder}/{kind}"):
+            if done and "batch=" in path and int(path.rsplit("=", 1)[1]) <= done[-1]:
+                remove(spark, path)
 
 
 def snapshot(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
