@@ -24,6 +24,7 @@ from tomeworks.plans.resumed_audit import AuditLog
 from tomeworks.plans.subject_metadata import subject_metadata
 from tomeworks.sources import corpus, listing, manifest, metadata, sinks, tables
 from tomeworks.sources.key_index import Layout
+from tomeworks.sources.versions import RunTable, VersionedTable
 from tomeworks.staging import last_change, stage, stage_path, still_staged
 from tomeworks.streaming import running_df
 
@@ -230,6 +231,16 @@ def k1_tf_table(spark, folder):
     )
 
 
+@query
+def k1_versioned_tf(spark, folder):
+    """Written twice; the second version replaces the first."""
+    table = VersionedTable(spark, stage_path(spark, "versions"))
+    tf = _features(spark, folder).tf
+    table.write(tf.where("doc_id % 2 = 0"))
+    table.write(tf)
+    return table.read().groupBy("doc_id").agg(F.count("*").alias("n_terms"), F.sum("n").alias("n_tokens"))
+
+
 @query
 def k2_run_manifest(spark, folder):
     path = stage_path(spark, "manifest")
@@ -329,6 +340,16 @@ def k10_metrics_table(spark, folder):
     return _rounded(spark.read.parquet(path), "accuracy")
 
 
+@query
+def k10_metrics_runs(spark, folder):
+    """A run for each part; each is tried twice and counts once."""
+    table = RunTable(spark, stage_path(spark, "runs"))
+    scored = metrics.accuracy(_predictions(spark, folder), "subject", "split")
+    for split in [*experiments.SPLITS, *experiments.SPLITS]:
+        table.add(split, lambda split=split: scored.where(F.col("split") == split))
+    return _rounded(table.read().select("run", "subject", "split", "n_docs", "accuracy"), "accuracy")
+
+
 @query
 def k10_vector_stats(spark, folder):
     """Appended per run; here one run."""

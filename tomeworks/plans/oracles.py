@@ -306,6 +306,7 @@ ORACLES: dict[str, str] = {
     "s8_in_memory_names": _histogram("lower(token)", where=f"lower(token) IN ({_quoted(FUNCTION_WORDS)})"),
     "s9_fold_folders": _sql(*_VECTORS, select="SELECT doc_id, fold, count(*) AS n_buckets FROM sums JOIN manifest USING (doc_id) WHERE fold IN (7, 8, 9) GROUP BY 1, 2"),
     "k1_tf_table": _sql(*_COUNTED, select="SELECT doc_id, count(*) AS n_terms, CAST(sum(n) AS BIGINT) AS n_tokens FROM counts GROUP BY doc_id"),
+    "k1_versioned_tf": _sql(*_COUNTED, select="SELECT doc_id, count(*) AS n_terms, CAST(sum(n) AS BIGINT) AS n_tokens FROM counts GROUP BY doc_id"),
     "k2_run_manifest": _sql(*_RUN, select=f"SELECT {LINE} AS line FROM manifest"),
     "k3_idf_manifest": _sql(*_RUN, select=f"SELECT {LINE} || ',' AS line FROM manifest ORDER BY doc_id LIMIT 100"),
     "k4_frequency_tables": _sql(*_COUNTED, DF, ND, IDF, select="SELECT term, df, round(idf, 6) AS idf FROM idf"),
@@ -319,6 +320,7 @@ ORACLES: dict[str, str] = {
     "k8_resumed_audit": _STATUS_ROWS,
     "k9_exclusion_list": _sql(*LISTING, select="SELECT 'TOOBIG' AS reason, file, size_text FROM sized WHERE size_mb > 2.5"),
     "k10_metrics_table": _sql(*_PREDICTED, select="SELECT subject, split, count(*) AS n_docs, round(avg(CAST(label = prediction AS INTEGER)), 6) AS accuracy FROM predicted GROUP BY 1, 2"),
+    "k10_metrics_runs": _sql(*_PREDICTED, select="SELECT subject, split, count(*) AS n_docs, round(avg(CAST(label = prediction AS INTEGER)), 6) AS accuracy, split AS run FROM predicted GROUP BY 1, 2"),
     "k10_vector_stats": _sql(*_WEIGHTED, META, MANIFEST, select="SELECT doc_id, fold, 10000 AS buckets, count(*) AS n_words FROM tfidf JOIN manifest USING (doc_id) GROUP BY doc_id, fold"),
     "s5_metadata_ranking": _sql(META, SUBJECT_ROWS, select="SELECT subject, count(*) AS n FROM subject_rows WHERE doc_id % 17 <> 0 GROUP BY subject"),
     "f1_document_id": _sql(MARKED, LINES, BOOK_IDS, select="SELECT doc_id, book_id FROM book_ids"),
