@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import struct
+
 import pytest
+import xxhash
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -11,7 +14,7 @@ from tomeworks.operators.metrics import accuracy, binary_metrics, confusion
 from tomeworks.operators.naive_bayes import fit_naive_bayes, predict_naive_bayes
 from tomeworks.operators.trees import predictions
 from tomeworks.operators.vectors import bucket_sums, hash_terms, with_ml_vectors
-from tomeworks.plans import experiments, inputs
+from tomeworks.plans import catalog, experiments, inputs
 from tomeworks.plans.features import Features, Settings
 
 # Toy labelled vectors (label, [x, y]) per split.
@@ -170,3 +173,20 @@ def test_vectors_keep_their_weight(real):
         F.aggregate("vec", F.lit(0.0), lambda x, e: x + e["w"]).alias("s"),
     )
     assert both.where("abs(d - s) > 1e-9").count() == 0
+
+
+def signed_xxh64(data: bytes) -> int:
+    value = xxhash.xxh64(data, seed=42).intdigest()
+    return value - (1 << 64) if value >> 63 else value
+
+
+def test_fast_buckets_and_hashed_folds_equal_the_hash_of_another_library(spark, folder):
+    fold = {r.doc_id: r.fold for r in catalog.w1_hashed_folds(spark, folder).collect()}
+    assert len(fold) == 200
+    assert fold == {i: signed_xxh64(struct.pack("<q", i)) % 10 for i in fold}
+    weights = {}
+    for r in Features(inputs.corpus(spark, folder)).tfidf.collect():
+        key = (r.doc_id, signed_xxh64(r.term.encode()) % 10_000)
+        weights[key] = weights.get(key, 0) + r.tfidf
+    got = {(r.doc_id, r.bucket): r.w for r in catalog.m5_hash_vectors_fast(spark, folder).collect()}
+    assert got == pytest.approx(weights, abs=2e-6)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import subprocess
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,3 +168,20 @@ def test_fold_folders_are_pruned(spark, tmp_path):
     assert read.count() == 8
     plan = read._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [fold" in plan
+
+
+def test_sizes_of_the_file_system_give_the_exclusion_list_of_a_listing(spark, tmp_path):
+    sizes = [0, 1, 1023, 1024, 1025, 10_239, 10_240, 10_241, 2_621_440, 2_621_441, 2_600_000, 10_485_760, 10_485_761, 99_999_999]
+    (tmp_path / "sub").mkdir()
+    for i, size in enumerate(sizes):
+        with open(tmp_path / ("sub" if i % 2 else ".") / f"{i}.txt", "wb") as file:
+            file.truncate(size)
+    (tmp_path / "other.zip").write_bytes(b"x")
+    lines = subprocess.run(["ls", "-lhR", str(tmp_path)], capture_output=True, text=True, check=True).stdout.splitlines()
+    listed = listing.parse_listing(spark.createDataFrame([(line,) for line in lines], "value string"))
+    found = listing.file_sizes(spark, str(tmp_path))
+    assert "content" not in found._jdf.queryExecution().executedPlan().toString()
+    text = lambda df: {(r.file, r.size_text) for r in df.collect()}
+    assert text(found) == text(listed) - {("0.txt", "0")} and found.count() == len(sizes) - 1  # the empty one
+    records = lambda df: sorted(map(tuple, listing.exclusion_records(listing.big_files(df)).collect()))
+    assert records(found) == records(listed) and len(records(found)) == 4

@@ -193,7 +193,8 @@ def decision_tree_experiment(examples: Examples, depths: Iterable[int] = DEPTHS)
     """The depth sweep: all subjects grow together, once, and are cut off at each depth; ``setting`` is the depth."""
     depths = list(depths)
     found = predictions(grown_trees(examples, max(depths)), examples.rows, depths)
-    counts = confusion(found.withColumnRenamed("depth", "setting"), "subject", "setting", "split")
+    found = found.withColumn("setting", F.col("depth").cast("string"))
+    counts = confusion(found, "subject", "setting", "split")
     return accuracy_table(counts.select("*", F.lit(None).cast("int").alias("n_coefficients")))
 
 

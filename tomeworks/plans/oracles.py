@@ -302,6 +302,7 @@ ORACLES: dict[str, str] = {
     "s4_manifest_lines": _sql(*_RUN, select="SELECT doc_id, doc_id || '.tf' AS file, fold, array_to_string(subjects, '|') AS subjects FROM manifest"),
     "s5_xml_metadata": _sql(META, select="SELECT doc_id, CAST(generate_subscripts(subjects, 1) - 1 AS INTEGER) AS pos, unnest(subjects) AS subject FROM meta"),
     "s6_saved_features": _sql(*_COUNTED, TF, select="SELECT doc_id, count(*) AS n_top, min(term) AS first_top FROM tf WHERE tf = 1 GROUP BY doc_id"),
+    "s7_file_sizes": "SELECT source, CAST(sum(strlen(text) + 1) AS BIGINT) AS n_bytes FROM documents GROUP BY source",
     "s7_directory_listing": _sql(*LISTING, select="SELECT file, size_text, round(size_mb, 6) AS size_mb FROM sized"),
     "s8_in_memory_names": _histogram("lower(token)", where=f"lower(token) IN ({_quoted(FUNCTION_WORDS)})"),
     "s9_fold_folders": _sql(*_VECTORS, select="SELECT doc_id, fold, count(*) AS n_buckets FROM sums JOIN manifest USING (doc_id) WHERE fold IN (7, 8, 9) GROUP BY 1, 2"),
@@ -371,7 +372,6 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'metadata', count(*) FROM documents UNION ALL SELECT 'listing', count(*) FROM files
       UNION ALL SELECT 'oversize', count(*) FROM sized WHERE size_mb > 2.5"""),
     "w1_cyclic_folds": "SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) - 1) % 10 AS INTEGER) AS fold FROM documents",
-    "w1_hashed_folds": "SELECT doc_id, true AS in_range FROM documents",
     "p1_eligible_corpus": _sql(*_AUDIT, MARKS, _BODY, *LISTING, select=f"""SELECT CAST(s.book_id AS BIGINT) AS doc_id, body_md5 FROM statuses s JOIN
       ({_BODY_MD5}) b ON s.doc_id = b.doc_id WHERE status = 'GOOD'
       AND s.doc_id || '.txt' NOT IN (SELECT file FROM sized WHERE size_mb > 2.5)
@@ -399,7 +399,6 @@ ORACLES: dict[str, str] = {
        FROM (SELECT doc_id, term, round(tfidf, 6) AS tfidf FROM tfidf)) WHERE rank <= 5"""),
     "m5_hash_vectors": _sql(*_WEIGHTED, _sums("tfidf", "tfidf"), select="SELECT doc_id, bucket, round(w, 6) AS w FROM sums"),
     "m5_hash_vectors_6000": _sql(*_WEIGHTED, _sums("tfidf", "tfidf", 6000), select="SELECT doc_id, bucket, round(w, 6) AS w FROM sums"),
-    "m5_hash_vectors_fast": _sql(*_WEIGHTED, select="SELECT doc_id, round(sum(tfidf), 6) AS weight, true AS in_range FROM tfidf GROUP BY doc_id"),
     "m6_tf_training_set": _entries("4/3/3", "tf", "tf"),
     "m7_tfidf_training_set": _entries("7/2/1", "tfidf", "tfidf"),
     "m8_naive_bayes_model": _sql(*_bayes("7/3"), select="""SELECT t.subject, t.label, b.bucket,
