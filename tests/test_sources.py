@@ -75,6 +75,31 @@ def test_metadata_files_and_outcomes(spark, tmp_path):
     assert [r["doc_id"] for r in job.metadata.collect()] == [77]
 
 
+def test_files_of_many_records(spark, tmp_path):
+    """The same outcomes as from a file for each record, from one file that several tasks read."""
+    body = XML[XML.index("<p:ebook") : XML.index("</rdf:RDF>")]
+    head = XML[: XML.index("<p:ebook")]
+    numbered = [body.replace("ebooks/77", f"ebooks/{i}" if i % 50 else "ebooks/none") for i in range(10_000)]
+    numbered = [b if i % 70 != 3 else b[: b.rindex("</p:ebook>")] for i, b in enumerate(numbered)]
+    unclosed = sum(i % 70 == 3 for i in range(10_000))
+    nameless = sum(i % 50 == 0 and i % 70 != 3 for i in range(10_000))
+    (tmp_path / "many" / "deep").mkdir(parents=True)
+    (tmp_path / "many" / "deep" / "all.rdf").write_text(head + "\n".join(numbered) + "\n</rdf:RDF>\n")
+    (tmp_path / "many" / "none.rdf").write_text("<rdf:RDF><p:ebooks>no record</p:ebooks></rdf:RDF>")
+    (tmp_path / "many" / "empty.rdf").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
+    try:
+        records = metadata.metadata_records(spark, str(tmp_path / "many"), record="p:ebook")
+        assert records.rdd.getNumPartitions() > 5
+        job = subject_metadata(records)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert tuple(job.outcome.first()) == (10_000, 10_000 - unclosed - nameless, unclosed, nameless)
+    expected = metadata.usable(metadata.parse_metadata(spark.createDataFrame([(XML,)], "xml string"))).first()
+    assert {tuple(r.subjects) for r in job.metadata.collect()} == {tuple(expected.subjects)}
+    assert {r.doc_id for r in job.metadata.collect()} == {i for i in range(10_000) if i % 50 and i % 70 != 3}
+
+
 def test_manifest_lines_keep_any_subject(spark, tmp_path):
     subjects = ["one, two", "line\nbreak", "100%", "%2C", "a\rb", "plain"]
     typed = spark.createDataFrame([(7, 3, subjects)], "doc_id bigint, fold int, subjects array<string>")

@@ -10,7 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tomeworks.functions import text
+from tomeworks.functions import hashing, text
 from tomeworks.operators.terms import term_bags, term_counts, term_frequencies
 
 
@@ -93,3 +93,25 @@ def test_tf_is_one_at_most_and_once_at_least(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     tf = term_frequencies(term_bags(docs)).groupBy("doc_id").agg(F.max("tf").alias("hi"), F.min("tf").alias("lo"))
     assert tf.where("hi <> 1.0 or lo <= 0").count() == 0
+
+
+def plain_string_hash(data):
+    """Python integers, cut to 64 bits."""
+    h = data[0] << 7 if data else 0
+    for byte in data:
+        h = (h * 1000003 ^ byte) % 2**64
+    h ^= len(data)
+    h -= 2**64 if h >= 2**63 else 0
+    return -2 if h == -1 else h
+
+
+def test_string_hash(spark):
+    texts = ["", "a", "b", "abc", "hello world", "Äpfel und Öl", "日本語", "\U0001f600", "x\x00y", "\x00", "z" * 300]
+    rows = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select(
+        "t", hashing.string_hash(F.col("t")).alias("h"), hashing.string_bucket(F.col("t"), 100).alias("b")
+    )
+    got = {r.t: (r.h, r.b) for r in rows.collect()}
+    assert got.pop(None) == (None, None)
+    assert got == {t: (plain_string_hash(t.encode()), plain_string_hash(t.encode()) % 100) for t in texts}
+    # fixed values, as printed by such a Python
+    assert got["a"][0] == 12416037344 and got[""][0] == 0

@@ -26,7 +26,7 @@ from tomeworks.sources import corpus, listing, manifest, metadata, sinks, tables
 from tomeworks.sources.key_index import Layout
 from tomeworks.sources.versions import RunTable, VersionedTable
 from tomeworks.staging import last_change, stage, stage_path, still_staged
-from tomeworks.streaming import running_df
+from tomeworks.streaming import arriving_vectors, running_df
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -186,6 +186,15 @@ def s5_xml_metadata(spark, folder):
     return parsed.select("doc_id", F.posexplode("subjects").alias("pos", "subject"))
 
 
+@query
+def s5_many_record_files(spark, folder):
+    """The records again, read from files that hold many of them."""
+    path = stage_path(spark, "record-files")
+    inputs.many_record_files(spark, folder, path)
+    parsed = metadata.parse_metadata(metadata.metadata_records(spark, path, "*.txt", "p:ebook"))
+    return metadata.usable(parsed).select("doc_id", F.posexplode("subjects").alias("pos", "subject"))
+
+
 @query
 def s6_saved_features(spark, folder):
     path = stage_path(spark, "saved-tf")
@@ -814,6 +823,12 @@ def m5_hash_vectors_fast(spark, folder):
     return _rounded(vectors.bucket_sums(vectors.hash_terms(_features(spark, folder).tfidf, hash_name="xxhash64"), "tfidf"), "w")
 
 
+@query
+def m5_hash_vectors_string(spark, folder):
+    """Every bucket of every document, by the multiplicative string hash."""
+    return _rounded(vectors.bucket_sums(vectors.hash_terms(_features(spark, folder).tfidf, hash_name="string"), "tfidf"), "w")
+
+
 def _example_rows(examples: Examples) -> DataFrame:
     """(doc_id, split, positives, bucket, w): every entry of a training set, with the subjects that are labelled 1."""
     pairs = F.zip_with("labels", F.lit(examples.names), lambda y, name: F.when(y == 1.0, name))
@@ -1108,6 +1123,12 @@ def x13_md5_bucket(spark, folder):
     return df.select("term", hashing.md5_bucket(F.col("term")).alias("bucket"))
 
 
+@query
+def x13_string_bucket(spark, folder):
+    df = vocabulary.document_frequency(_features(spark, folder).bags)
+    return df.select("term", hashing.string_hash(F.col("term")).alias("hash"), hashing.string_bucket(F.col("term")).alias("bucket"))
+
+
 @query
 def x14_arithmetic(spark, folder):
     docs = inputs.documents(spark, folder)
@@ -1162,3 +1183,21 @@ def t1_running_frequency_stateful(spark, folder):
     )
     stream.awaitTermination()
     return spark.read.parquet(changes).groupBy("term").agg(F.max("df").alias("df"))
+
+
+@query
+def j1_arriving_vectors(spark, folder):
+    """Vectors of documents that arrive in two halves, the second with a newer IDF table, then the first brought up to date."""
+    docs = inputs.documents(spark, folder).select("doc_id", "text")
+    source, log, made = (stage_path(spark, n) for n in ("arrivals", "frequency-log", "arriving-vectors"))
+    counted, weighted = (stage_path(spark, "stream-checkpoint") for _ in range(2))
+    idf = VersionedTable(spark, stage_path(spark, "idf-versions"))
+    for half in range(2):
+        docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == half).repartition(2).write.mode("append").parquet(source)
+        arriving = lambda: running_df.document_stream(spark, source, files_per_batch=1)
+        running_df.start_frequency_log(arriving(), log, counted).awaitTermination()
+        arriving_vectors.publish_idf(spark, log, idf)
+        arriving_vectors.start_vectors(arriving(), idf, made, weighted).awaitTermination()
+    store = arriving_vectors.VectorStore(spark, made)
+    store.refresh(idf)
+    return _rounded(store.vectors().select("doc_id", F.inline("vec")), "w")

@@ -112,3 +112,9 @@ def xml_records(spark: SparkSession, folder: str, broken_every: int = 0, nameles
         broken = F.col("doc_id") % broken_every == 0
         record = F.when(broken, F.substring(record, F.lit(1), F.length(record) - 20)).otherwise(record)
     return metadata(spark, folder).select(record.alias("xml"))
+
+
+def many_record_files(spark: SparkSession, folder: str, path: str) -> None:
+    """The same records, many to a file, as lines below ``path``."""
+    records = xml_records(spark, folder).select(F.regexp_replace("xml", "</?rdf:RDF[^>]*>", "").alias("value"))
+    records.write.text(path)

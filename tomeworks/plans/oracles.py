@@ -48,6 +48,14 @@ def _bucket(size: int = 10000) -> str:
     return f"CAST(CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % {size} AS INTEGER)"
 
 
+_BYTES = "list_transform(range(1, strlen(term) + 1), lambda i: CAST('0x' || substr(hex(encode(term)), 2 * i - 1, 2) AS HUGEINT))"
+STRING_HASH = f"""steps AS (SELECT term, xor(list_reduce(list_prepend({_BYTES}[1] * 128, {_BYTES}),
+    lambda h, b: xor((h * 1000003) % 18446744073709551616, b)), CAST(strlen(term) AS HUGEINT)) AS h FROM df),
+hashed AS (SELECT term, CAST(CASE WHEN h = 18446744073709551615 THEN -2 WHEN h >= 9223372036854775808
+    THEN h - 18446744073709551616 ELSE h END AS BIGINT) AS hash FROM steps),
+placed AS (SELECT term, hash, CAST((hash % 10000 + 10000) % 10000 AS INTEGER) AS bucket FROM hashed)"""
+
+
 def _sums(source: str, weight: str, size: int = 10000) -> str:
     return (
         f"sums AS (SELECT doc_id, {_bucket(size)} AS bucket, sum({weight}) AS w "
@@ -301,6 +309,7 @@ ORACLES: dict[str, str] = {
       FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY 1""",
     "s4_manifest_lines": _sql(*_RUN, select="SELECT doc_id, doc_id || '.tf' AS file, fold, array_to_string(subjects, '|') AS subjects FROM manifest"),
     "s5_xml_metadata": _sql(META, select="SELECT doc_id, CAST(generate_subscripts(subjects, 1) - 1 AS INTEGER) AS pos, unnest(subjects) AS subject FROM meta"),
+    "s5_many_record_files": _sql(META, select="SELECT doc_id, CAST(generate_subscripts(subjects, 1) - 1 AS INTEGER) AS pos, unnest(subjects) AS subject FROM meta"),
     "s6_saved_features": _sql(*_COUNTED, TF, select="SELECT doc_id, count(*) AS n_top, min(term) AS first_top FROM tf WHERE tf = 1 GROUP BY doc_id"),
     "s7_file_sizes": "SELECT source, CAST(sum(strlen(text) + 1) AS BIGINT) AS n_bytes FROM documents GROUP BY source",
     "s7_directory_listing": _sql(*LISTING, select="SELECT file, size_text, round(size_mb, 6) AS size_mb FROM sized"),
@@ -398,6 +407,9 @@ ORACLES: dict[str, str] = {
       (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY tfidf DESC, term) AS rank
        FROM (SELECT doc_id, term, round(tfidf, 6) AS tfidf FROM tfidf)) WHERE rank <= 5"""),
     "m5_hash_vectors": _sql(*_WEIGHTED, _sums("tfidf", "tfidf"), select="SELECT doc_id, bucket, round(w, 6) AS w FROM sums"),
+    "j1_arriving_vectors": _sql(*_WEIGHTED, _sums("tfidf", "tfidf"), select="SELECT doc_id, bucket, round(w, 6) AS w FROM sums"),
+    "m5_hash_vectors_string": _sql(*_WEIGHTED, STRING_HASH, select="""SELECT doc_id, bucket, round(sum(tfidf), 6) AS w
+      FROM tfidf JOIN placed USING (term) GROUP BY doc_id, bucket"""),
     "m5_hash_vectors_6000": _sql(*_WEIGHTED, _sums("tfidf", "tfidf", 6000), select="SELECT doc_id, bucket, round(w, 6) AS w FROM sums"),
     "m6_tf_training_set": _entries("4/3/3", "tf", "tf"),
     "m7_tfidf_training_set": _entries("7/2/1", "tfidf", "tfidf"),
@@ -436,6 +448,7 @@ ORACLES: dict[str, str] = {
     "x11_comma_record": _sql(META, RECORDS, select="SELECT value AS record FROM records"),
     "x12_bare_field": "SELECT doc_id, lang FROM documents",
     "x13_md5_bucket": _sql(*_COUNTED, DF, select=f"SELECT term, {_bucket()} AS bucket FROM df"),
+    "x13_string_bucket": _sql(*_COUNTED, DF, STRING_HASH, select="SELECT term, hash, bucket FROM placed"),
     "x14_arithmetic": "SELECT doc_id, round(ln(n_chars / (doc_id + 1)), 6) AS log, round(n_chars / (doc_id + 1) * 2.5::DOUBLE, 6) AS product FROM documents",
     "x15_comma_split": _sql(META, RECORDS, select="SELECT field, count(*) AS n FROM (SELECT unnest(string_split(value, ',')) AS field FROM records) GROUP BY field"),
     "t1_running_frequency": _sql(*_COUNTED, DF, select="SELECT term, df FROM df"),

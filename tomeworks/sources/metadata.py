@@ -25,6 +25,28 @@ def metadata_files(spark: SparkSession, folder: str, name_glob: str = "*.rdf") -
     return files.text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("xml"))
 
 
+def metadata_records(
+    spark: SparkSession, folder: str, name_glob: str = "*.rdf", record: str = "pgterms:ebook"
+) -> DataFrame:
+    """(path, xml): one row per ``record`` element of files that hold any number of them.
+
+    The files are cut at the end tags by the text reader, so one large file is read
+    by many tasks and no row is longer than a record and what stands before it.  A
+    record whose end tag is missing is cut where the next one starts and keeps its
+    place as an unreadable one; what stands between records is left out.
+    """
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", name_glob)
+    parts = files.option("lineSep", f"</{record}>").text(folder).select(
+        F.col("_metadata.file_path").alias("path"), F.split("value", rf"<(?=\Q{record}\E[\s/>])").alias("part")
+    )
+    # what is before the first start is no record; all but the last of a part were never closed
+    last = F.size("part") - 1
+    opened = F.slice("part", 2, F.greatest(last, F.lit(0)))
+    records = parts.select("path", F.posexplode(opened).alias("pos", "body"), last.alias("last"))
+    ended = F.when(F.col("pos") == F.col("last") - 1, F.lit(f"</{record}>")).otherwise("")
+    return records.select("path", F.concat(F.lit("<rdf:RDF><"), "body", ended, F.lit("</rdf:RDF>")).alias("xml"))
+
+
 def parse_metadata(records: DataFrame, column: str = "xml") -> DataFrame:
     """(doc_id, subjects, is_bad) for every XML record.
 

@@ -34,6 +34,11 @@ class VersionedTable:
             remove(self.spark, f"{self.folder}/data/{old['place']}")
         return entry["number"]
 
+    def version(self) -> int | None:
+        """The number of the last version, None before the first."""
+        last = self.log.last()
+        return last["number"] if last else None
+
     def read(self, version: int | None = None) -> DataFrame:
         """The last version, or one that is still kept."""
         entries = self.log.entries()

@@ -155,6 +155,13 @@ def merge(spark: SparkSession, folder: str, upto: int) -> None:
                 remove(spark, path)
 
 
-def snapshot(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(term, df) and the one-row document count of everything logged so far."""
-    return _summed(spark, folder)
+def last_batch(spark: SparkSession, folder: str) -> int:
+    """The number of the last batch that is complete, -1 before the first."""
+    paths = children(spark, f"{folder}/docs") if exists(spark, f"{folder}/docs") else []
+    logged = [int(p.rsplit("=", 1)[1]) for p in paths if "batch=" in p and exists(spark, f"{p}/_SUCCESS")]
+    return max([*logged, *_merged(spark, folder)], default=-1)
+
+
+def snapshot(spark: SparkSession, folder: str, upto: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(term, df) and the one-row document count of everything logged so far, or up to a batch."""
+    return _summed(spark, folder, upto)
