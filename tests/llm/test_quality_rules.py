@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -56,6 +57,54 @@ def test_limits_follow_the_group(spark):
     assert all(kept[2000 + i] for i in range(200))
 
 
+def plain_kept(rows):
+    """Verdicts of (doc_id, text, lang, source, ...) from sorted values instead of sketches."""
+    measures = {}
+    for i, text, *_ in rows:
+        n, chars, symbols, lines, dup, repeated = plain_counts(text)
+        words = max(n, 1)
+        measures[i] = (1000 * symbols // max(chars, 1), 1000 * dup // max(lines, 1), 1000 * repeated // words, 10 * chars // words)
+
+    def limits(ids):
+        found = []
+        for k in range(4):
+            held = sorted(math.exp(round(math.log(measures[i][k] + 1) * q.BINS) / q.BINS) - 1 for i in ids)
+            low, mid, high = (held[math.ceil(len(held) * share) - 1] for share in (0.1, 0.5, 0.75))
+            found.append((mid, q.SPREAD * max(mid - low, high - mid)))
+        return found
+
+    kept = {}
+    for i, text, lang, source, *_ in rows:
+        groups = [[r[0] for r in rows if r[2:4] == (lang, source)], [r[0] for r in rows if r[2] == lang]]
+        ids = next((g for g in groups if len(g) >= q.SUPPORT), [r[0] for r in rows])
+        (a, b, c, (mid, spread)), (x, y, z, length) = limits(ids), measures[i]
+        over = any(v > m + s + e for v, (m, s), e in zip((x, y, z), (a, b, c), (20, 150, 100)))
+        n, _, _, _, _, repeated = plain_counts(text)
+        kept[i] = not (n < 10 or 5 * repeated > n or over or abs(length - mid) > spread + 10)
+    return kept
+
+
+def test_verdicts_of_the_query(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in docs]
+    assert {r.doc_id: r.kept for r in q.op4_quality_rules(spark, folder).collect()} == plain_kept(rows)
+
+
+def test_a_clean_group_is_judged_strictly(spark):
+    """Below any usual fixed cutoff: 5 % symbols, a fifth of repeated lines, an eighth of repeated phrases."""
+    rows = fill(GOOD, 300, "en", "clean", 0)
+    words = " ".join(f"word{i} goes" for i in range(60))
+    phrase = "one two three four five"
+    rows.append((1000, words.replace(" goes", "# goes#", 10), "en", "clean", 0))
+    rows.append((1001, "\n".join([f"this is line {i} of some text" for i in range(8)] + ["this is line 1 of some text"] * 2), "en", "clean", 0))
+    rows.append((1002, f"{phrase} {words[:300]} {phrase}", "en", "clean", 0))
+    rows.append((1003, " ".join(["extraordinarily", "internationalization"] * 10 + [str(i) * 15 for i in range(9)]), "en", "clean", 0))
+    rows.append((1004, " ".join(chr(97 + i % 26) + chr(97 + i // 26) for i in range(50)), "en", "clean", 0))
+    kept = {r.doc_id: r.kept for r in q.judge(make_docs(spark, rows)).collect()}
+    assert kept == plain_kept(rows)
+    assert all(kept[i] for i in range(300)) and not any(kept[1000 + i] for i in range(5))
+
+
 def test_sketches_merge(spark):
     rows = fill(GOOD, 60, "en", "a", 0) + fill(BAD, 60, "en", "b", 100)
     counted = q.measured(make_docs(spark, rows))

@@ -7,9 +7,10 @@ two of them merge by adding counts, so the result does not depend on how rows
 are spread or in which order partial sketches meet, and any quantile is exact
 to about 1.6 % of its value.  A sketch never has more than some 700 bins.
 
-From the sketches come the limits: median + SPREAD x (median - 10 % quantile),
-never stricter than a floor.  The median moves only when half of a group is
-bad.  A group of fewer than SUPPORT documents takes the merged sketch of its
+From the sketches come the limits, in both directions: the median and SPREAD times
+the distance to the 10 % or the 75 % quantile, whichever is more, and a small margin, as most
+groups have no symbols or repeated lines at all.  A quarter of a group may be bad
+without moving its limits.  A group of fewer than SUPPORT documents takes the merged sketch of its
 language, and a language with few documents that of all.  Limits are joined to
 the documents by language and source, null being a group like any other.
 
@@ -36,10 +37,9 @@ BINS = 32  # per unit of the natural logarithm
 SPREAD = 4
 SUPPORT = 50
 # Per thousand: symbols to word characters, repeated lines to lines, words in repeated phrases to words.
-FLOORS = {"symbol_share": 100, "dup_line_share": 300, "repeat_share": 200}
-# Tenths of a character: the mean word length is only judged outside of these.
-SHORTEST, LONGEST = 20, 150
-MEASURES = (*FLOORS, "word_length")
+MARGINS = {"symbol_share": 20, "dup_line_share": 150, "repeat_share": 100}
+LENGTH_MARGIN = 10  # tenths of a character of the mean word length, on either side
+MEASURES = (*MARGINS, "word_length")
 
 
 def count_words(text: str) -> tuple[int, ...]:
@@ -107,16 +107,16 @@ def _limits(sketch: DataFrame, level: list[str]) -> DataFrame:
         return F.exp(at / BINS) - 1
 
     limits = placed.groupBy(*level, "measure").agg(
-        F.max("all").alias("n"), quantile(0.1).alias("low"), quantile(0.5).alias("mid"), quantile(0.9).alias("high")
+        F.max("all").alias("n"), quantile(0.1).alias("low"), quantile(0.5).alias("mid"), quantile(0.75).alias("high")
     )
     of = lambda m, value: F.max(F.when(F.col("measure") == m, value))
-    above = F.col("mid") + SPREAD * (F.col("mid") - F.col("low"))
+    spread = SPREAD * F.greatest(F.col("mid") - F.col("low"), F.col("high") - F.col("mid"))
     return limits.groupBy(*level).agg(
         F.max("n").alias("_n"),
         F.struct(
-            *[of(m, F.greatest(above, F.lit(floor))).alias(m) for m, floor in FLOORS.items()],
-            of("word_length", F.least(F.col("mid") - SPREAD * (F.col("high") - F.col("mid")), F.lit(SHORTEST))).alias("shortest"),
-            of("word_length", F.greatest(above, F.lit(LONGEST))).alias("longest"),
+            *[of(m, F.col("mid") + spread + margin).alias(m) for m, margin in MARGINS.items()],
+            of("word_length", F.col("mid") - spread - LENGTH_MARGIN).alias("shortest"),
+            of("word_length", F.col("mid") + spread + LENGTH_MARGIN).alias("longest"),
         ).alias("_limit"),
     )
 
@@ -140,7 +140,7 @@ def judged(counted: DataFrame) -> DataFrame:
     base = (count("n_words") < 10) | (100 * count("n_repeat_words") > 20 * count("n_words"))
     value = _measure_columns()
     fine = F.lit(True)
-    for m in FLOORS:
+    for m in MARGINS:
         fine = fine & (value[m] <= F.col(f"_limit.{m}"))
     fine = fine & value["word_length"].between(F.col("_limit.shortest"), F.col("_limit.longest"))
     names = [c for c in counted.columns if c not in (*COUNTS, "_counts", "base_failed", "kept")]
