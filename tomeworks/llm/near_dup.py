@@ -262,7 +262,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     rows = docs.select(F.col("doc_id").cast("bigint"), doc_key().alias("row_key"), F.col("text").cast("string"))
     signed = stage(rows.mapInArrow(_signed(size), _SIGNED), "signatures")
     # the rows of a class agree in all but the id
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")).alias("first")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")).alias("first")
     same = [F.first(c).alias(c) for c in ("n_shingles", "bands")]
     classes = stage(signed.groupBy("key").agg(*same, first, F.min("row_key").alias("row_key")), "classes")
     found = stage(links(classes, rows.select("row_key", "text"), size, percent), "links")
@@ -270,14 +270,19 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     rooted = classes.select("key", "first").join(roots, F.col("key") == F.col("node"), "left")
     rooted = rooted.select("key", F.coalesce("root", "key").alias("root"), "first")
     smallest = rooted.groupBy("root").agg(F.min("first").alias("smallest"))
-    named = rooted.join(smallest, "root").select("key", F.col("smallest.doc_id").alias("component_id"))
-    alone = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return signed.join(named, "key").select("row_key", "doc_id", "n_shingles", alone.alias("component_id"))
+    named = rooted.join(smallest, "root").select("key", "smallest")
+    alone = F.when(F.col("n_shingles") == 0, F.struct("doc_id", "row_key")).otherwise(F.struct("smallest.doc_id", "smallest.row_key"))
+    return signed.join(named, "key").select(
+        "row_key", "doc_id", "n_shingles", alone["doc_id"].alias("component_id"), alone["row_key"].alias("first_key")
+    )
 
 
 def stage_docs(docs: DataFrame) -> DataFrame:
-    """For a pipeline: one document of each component stays, of repeated rows of it the first."""
-    found = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    """For a pipeline: one document of each component stays, that of the smallest id and then the smallest key.
+
+    Null ids come last.  Of rows that repeat it in id and text one stays.
+    """
+    found = near_duplicates(docs).where(F.col("row_key") == F.col("first_key"))
     kept = stage(found.groupBy("row_key").agg(F.count("*").alias("n")), "kept")
     return _one_each(docs, kept)
 
