@@ -118,3 +118,25 @@ def test_components(spark):
     pairs = [(i, i + 1) for i in range(1, 40)] + [(100, 50 + i) for i in range(5)] + [(7, 7), (201, 200), (200, 201)]
     found = {r.node: r.root for r in components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
     assert found == {i: 1 for i in range(1, 41)} | {i: 50 for i in (50, 51, 52, 53, 54, 100)} | {200: 200, 201: 200}
+
+
+def test_one_document_of_each_group_stays_whatever_the_ids(spark):
+    words = " ".join(f"w{i}" for i in range(60))
+    near = [f"{words} end{i}" for i in range(4)]
+    rows = [(None, near[0], "en", "a", 0), (None, near[1], "en", "a", 0), (None, "alone here", "en", "a", 0)]
+    kept = [r.text for r in near_dup.stage_docs(make_docs(spark, rows)).collect()]
+    assert len(kept) == 2 and "alone here" in kept
+    rows = [(5, t, "en", "a", 0) for t in near] + [(None, near[0], "en", "a", 0), (9, near[1], "en", "a", 0)]
+    kept = near_dup.stage_docs(make_docs(spark, rows)).collect()
+    assert [r.doc_id for r in kept] == [5]
+    rows = [(None, "", "en", "a", 0), (None, None, "en", "a", 0), (3, "", "en", "a", 0)]
+    assert near_dup.stage_docs(make_docs(spark, rows)).count() == near_dup.stage_docs(make_docs(spark, rows[::-1])).count()
+
+
+def test_memory_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(near_dup, "_REMEMBERED_BYTES", 1000)
+    memory = near_dup._WordHashes()
+    for i in range(1000):
+        assert memory[b"%d" % i] == memory[b"%d" % i]
+        assert len(memory) < 10
+    assert memory[b"x" * 65] and b"x" * 65 not in memory

@@ -24,10 +24,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomeworks.llm.common import documents, query, whole
+from tomeworks.llm.common import documents, query, sole, whole
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 _REMEMBERED = 400_000
+_REMEMBERED_BYTES, _ENTRY_BYTES = 20 << 20, 150  # of each of the two generations
 
 # Most texts only have these characters: ASCII without separators, and Latin letters.  For them a pattern of
 # plain ranges, the same as public_tokenizers.PATTERN there, splits faster.
@@ -115,16 +116,23 @@ class Memory(dict):
     def __init__(self, find):
         super().__init__()
         self.find = find
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
         self.older: dict[str, bytes] = {}
+        self.held = 0
 
     def __missing__(self, pre_token: str) -> bytes:
         got = self.older.get(pre_token)
         if got is None:
             got = np.array(self.find(pre_token), dtype=np.int32).tobytes()
         if len(pre_token) < 64:
-            if len(self) >= _REMEMBERED:
-                self.older = dict(self)
-                self.clear()
+            if len(self) >= _REMEMBERED or self.held >= _REMEMBERED_BYTES:
+                older = dict(self)
+                self.forget()
+                self.older = older
+            self.held += _ENTRY_BYTES + len(pre_token) + len(got)
             self[pre_token] = got
         return got
 
@@ -189,6 +197,7 @@ class Encoder:
         return self.split_plain(text) if plain else self.split_any(text)
 
     def encode(self, text: str) -> np.ndarray:
+        sole(self.known)
         return np.frombuffer(b"".join(map(self.known.__getitem__, self.split(text))), dtype=np.int32)
 
     def decode(self, ids: np.ndarray) -> bytes:

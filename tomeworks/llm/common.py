@@ -48,3 +48,18 @@ def with_text(docs: DataFrame, text: Column, columns: list[str]) -> DataFrame:
     """The columns of ``docs`` with a new text, and ``n_chars`` following it where there is one."""
     made = {"text": text, "n_chars": F.length(text).cast("bigint")}
     return docs.select(*[made[c].alias(c) if c in made else F.col(c) for c in columns])
+
+
+_HELD: list = []
+
+
+def sole(memory) -> None:
+    """``memory`` is what this Python worker remembers from now on; it forgets that of another operator.
+
+    Workers serve the stages of a job one after the other.  Each memory bounds its own
+    bytes; this keeps them from adding up.
+    """
+    if not _HELD or _HELD[0] is not memory:
+        if _HELD:
+            _HELD[0].forget()
+        _HELD[:] = [memory]

@@ -24,6 +24,7 @@ Repeated rows are found alike.  Empty tables give an empty result.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomeworks.llm.common import doc_key, documents, query, small_join
+from tomeworks.llm.common import doc_key, documents, query, small_join, sole
 from tomeworks.sources.tables import read_table
 from tomeworks.staging import stage
 
@@ -41,7 +42,7 @@ WINDOW = 8
 COVER = 0.5
 LEAST, RUN = 6, 13
 BLOCK = 1_000_000
-_REMEMBERED = 500_000
+_REMEMBERED_BYTES, _ENTRY_BYTES = 48 << 20, 150
 
 # Fixed word lists.
 NUMBER_WORDS = frozenset(
@@ -69,11 +70,17 @@ _HASHES = {kind: xxhash.xxh3_64_intdigest(name) for kind, name in ((_NUM, b"<num
 
 
 class _Words(dict):
-    """Word as it stands -> its place in ``hashes``, ``kinds`` and ``values``."""
+    """Word as it stands -> its place in ``hashes``, ``kinds`` and ``values``; plain words have no value."""
 
     def __init__(self):
         super().__init__()
-        self.hashes, self.kinds, self.values = [], [], []
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        _ARRAYS.clear()
+        self.hashes, self.kinds, self.values = array("Q"), array("b"), []
+        self.held = 0
 
     def __missing__(self, word: str) -> int:
         core = word.strip(_OUTER)
@@ -95,10 +102,13 @@ class _Words(dict):
         place = self[word] = len(self.kinds)
         self.hashes.append(xxhash.xxh3_64_intdigest(lower.encode()))
         self.kinds.append(kind | ends)
-        self.values.append(lower)
+        slot = kind not in (_WORD, _NONE)
+        self.values.append(lower if slot else None)
+        self.held += _ENTRY_BYTES + len(word) + (len(lower) + 60 if slot else 0)
         return place
 
 
+_ARRAYS: dict = {}
 _SEEN = _Words()
 
 
@@ -109,9 +119,9 @@ def template(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def readings(text: str, wanted: tuple[int, ...]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(reading, hashes, kinds, places) of the readings, those after the first only where they differ from PLAIN."""
-    global _SEEN
-    if len(_SEEN) > _REMEMBERED:
-        _SEEN = _Words()
+    sole(_SEEN)
+    if _SEEN.held >= _REMEMBERED_BYTES:
+        _SEEN.forget()
     if re.search(r"\d[A-Za-z]", text):
         text = _STUCK.sub(" ", text)
     words = text.split()
@@ -147,14 +157,11 @@ def _marked(hashes: np.ndarray, reading: int) -> np.ndarray:
     return hashes ^ np.uint64(_STEP) if reading == NAMES else hashes
 
 
-_ARRAYS: dict = {}
-
-
 def _tables() -> tuple[np.ndarray, np.ndarray]:
     """The lists of ``_SEEN`` as arrays, extended when it has grown."""
     n = len(_SEEN.kinds)
-    if _ARRAYS.get("of") is not _SEEN:
-        _ARRAYS.update(of=_SEEN, n=0, hashes=np.zeros(1024, np.uint64), kinds=np.zeros(1024, np.int8))
+    if not _ARRAYS:
+        _ARRAYS.update(n=0, hashes=np.zeros(1024, np.uint64), kinds=np.zeros(1024, np.int8))
     if _ARRAYS["n"] < n:
         for name, source in (("hashes", _SEEN.hashes), ("kinds", _SEEN.kinds)):
             held = _ARRAYS[name]

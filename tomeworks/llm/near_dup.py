@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tomeworks.llm.common import doc_key, documents, query, small_join
+from tomeworks.llm.common import doc_key, documents, query, small_join, sole
 from tomeworks.llm.components import components
 from tomeworks.staging import stage
 
@@ -42,7 +42,7 @@ BINS, BANDS = 128, 32
 SHINGLE = 5
 PERCENT = 80
 BLOCK = 1_000_000  # shingles that one comparison holds on either side
-_REMEMBERED = 300_000
+_REMEMBERED_BYTES, _ENTRY_BYTES, _LONGEST = 24 << 20, 140, 64
 _ATTEMPTS = 64
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
@@ -54,12 +54,23 @@ _LOOKS = np.concatenate(
 
 
 class _WordHashes(dict):
+    """Hashes of words, in a bounded number of bytes; long words are not remembered."""
+
+    held = 0
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= _REMEMBERED:
-            self.clear()
-        got = self[word] = xxhash.xxh3_64_intdigest(word)
+        got = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= _LONGEST:
+            if self.held >= _REMEMBERED_BYTES:
+                self.forget()
+            self.held += len(word) + _ENTRY_BYTES
+            self[word] = got
         return got
 
+    def forget(self) -> None:
+        self.clear()
+        self.held = 0
+
 
 _WORDS = _WordHashes()
 
@@ -79,6 +90,7 @@ def shingles(split: list[bytes], size: int) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles; with fewer words the whole sequence is one."""
     if not split:
         return np.zeros(0, np.uint64)
+    sole(_WORDS)
     h = np.fromiter(map(_WORDS.__getitem__, split), np.uint64, len(split))
     size = min(size, len(h))
     total = np.full(len(h) - size + 1, size, np.uint64)
