@@ -1,15 +1,20 @@
-"""Repeated blocks of lines, found by their neighbouring lines.
+"""Repeated blocks of lines, in chunks whose limits the lines themselves choose.
 
-Every two neighbouring lines that hold a word make a chunk, together with the blank lines between them.  So chunks overlap, and
-a passage of two worded lines or more is found whole, whatever stands before and after it.  Chunks with the same
-digest are compared byte by byte, and of those that are equal all but the first
-occurrence, in the order of (doc_id, text digest, place), are removed.  A single worded line is never
-removed by itself, nor are blank lines around a passage.
+A hash rolls over the hashes of the worded lines, ROLL lines at a time.  Between the lines it covers lies a
+boundary unless its highest BITS bits are all zero, so whether two neighbouring lines are parted depends on these two only,
+and limits move along with text that is inserted or removed elsewhere.  The lines between two boundaries are a piece, with the blank
+lines among them.  Chunks are the pieces of two worded lines or more, and around each
+boundary its seam, the last line before it with the first one after it, so that passages of short pieces are found too.
+A passage of k lines in two texts is missed only if none of the k - 1 places inside it is a
+boundary and the pieces at its ends differ.
 
-The counting of digests is summed on the map side.  While the repeated digests
-are few enough to be sent everywhere, only their chunks are shuffled with their
-bytes; beyond that all chunks are.  The documents are shuffled once, to meet
-their removed chunks.
+Digests that occur more than once nominate chunks.  Their bytes are compared with the first occurrence of the digest, in
+the order of (doc_id, text digest, place); equal ones are removed but for this first, and other bytes stay.
+A single worded line is never removed by itself, nor are blank lines around a passage.
+
+The counting of digests and the search for the first are summed on the map side.  First occurrences are
+sent everywhere while they are few in bytes; beyond that only those of frequent digests are, and the rest is
+shuffled, so that no popular chunk fills a task.  The documents are shuffled once, to meet their removed chunks.
 
 Null and empty texts have no chunks and stay as they are.  Rows that agree in id
 and text are copies of one document: they keep and lose the same lines.
@@ -26,17 +31,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tomeworks.llm.common import doc_key, documents, query, small_join, with_text
+from tomeworks.operators.lookup import keyed_lookup
 from tomeworks.staging import stage
 
+ROLL, BITS = 2, 3  # a boundary at 7 of 8 places
+_BASE, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
+_LEAVING = pow(_BASE, ROLL, 1 << 64)
+_FIRSTS_BYTES = 16 << 20
 _BLANKS = " \t\v\f\r"
 
 
+def boundaries(lines: list[str]) -> list[int]:
+    """The places i where a boundary parts line i - 1 from line i."""
+    hashes = [xxhash.xxh3_64_intdigest(line.encode()) for line in lines]
+    found, roll = [], 0
+    for i, h in enumerate(hashes):
+        roll = (roll * _BASE + h - (_LEAVING * hashes[i - ROLL] if i >= ROLL else 0)) & _MASK
+        if i >= ROLL - 1 and roll >> (64 - BITS):
+            found.append(i)
+    return found
+
+
 def chunks_of(text: str) -> Iterator[tuple[int, int, str]]:
     """(first line, line after the last, text) of the chunks that may be removed."""
     lines = text.split("\n")
     worded = [i for i, line in enumerate(lines) if line.strip(_BLANKS)]
-    for first, last in zip(worded, worded[1:]):
-        yield first, last + 1, "\n".join(lines[first : last + 1])
+    at = 0
+    for end in [*boundaries([lines[i] for i in worded]), len(worded)]:
+        spans = [(at, end)] if end - at > 1 else []
+        if end < len(worded):
+            spans.append((end - 1, end + 1))
+        for a, b in spans:
+            first, stop = worded[a], worded[b - 1] + 1
+            yield first, stop, "\n".join(lines[first:stop])
+        at = end
 
 
 _CHUNKS = "doc_id bigint, key binary, first int, stop int, digest binary, chunk string"
@@ -66,10 +94,12 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     found = stage(chunks.select("digest", "doc_id", "key", "first"), "line-chunks")
     often = stage(found.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"), "digests")
     doubtful = stage(small_join(chunks, often, often.count(), ["digest"], "left_semi"), "repeated-line-chunks")
-    # equal digests may still be different bytes: the bytes belong to the key
-    firsts = doubtful.groupBy("digest", "chunk").agg(F.min(place).alias("earliest"))
-    same = doubtful.join(firsts, ["digest", "chunk"])
-    return same.where(place != F.col("earliest")).select("doc_id", "key", "first", "stop").distinct()
+    # equal digests may still be different bytes
+    earliest = [F.min(place).alias("earliest"), F.min_by("chunk", place).alias("bytes"), F.count("*").alias("n")]
+    firsts = stage(doubtful.groupBy("digest").agg(*earliest), "first-line-chunks")
+    both = keyed_lookup(doubtful, firsts, "digest", "n", _FIRSTS_BYTES)
+    same = both.where((F.col("chunk") == F.col("bytes")) & (place != F.col("earliest")))
+    return same.select("doc_id", "key", "first", "stop").distinct()
 
 
 def _kept_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
