@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -112,3 +113,12 @@ def test_one_number_for_two_things_and_names_at_sentence_starts(spark):
     got = found(spark, docs, [apples, starts, ITEM])
     assert set(got) == {(0, 0), (1, 1), (2, 2), (3, 1)}
     assert got[0, 0] and got[1, 1] and not got[2, 2]
+
+
+def test_lists_of_numbers_only_match_themselves(spark):
+    rng = random.Random(6)
+    evens = " ".join(str(n) for n in range(2, 26, 2))
+    sizes = "take 3 kg 4 kg 5 kg 6 kg 7 kg 8 kg 9 kg 10 kg"
+    other = " ".join(f"{rng.randrange(100)} kg" for _ in range(300))
+    docs = [" ".join(str(rng.randrange(1000)) for _ in range(3000)), f"the list {evens} is here", other, f"please {sizes} now"]
+    assert found(spark, docs, [evens, sizes]) == {(1, 0): False, (3, 1): False}

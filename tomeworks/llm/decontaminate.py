@@ -8,7 +8,8 @@ join; the windows of one document and item that lie on one diagonal (same
 distance between the places) belong together.  What stands in the slots must be
 consistent there: one name of the item always becomes the same name in
 the document.  A number or unit may stand for two things, so windows that contradict what it mostly becomes
-are left out, and the others count.  Texts have several readings: PLAIN takes a capital at the start of a sentence for a word, NAMES for a
+are left out, and the others count.  A window of nearly nothing but slots says little: with fewer than one plain word
+in SPARSE it only counts where every slot has the item's own value, so a list of numbers is no match for another one.  Texts have several readings: PLAIN takes a capital at the start of a sentence for a word, NAMES for a
 name; items are also read with their names as words, LOWER, for lower-cased copies.  The best reading counts.  A document contains an item when the words of consistent windows are at
 least COVER of its words, and at least LEAST, or when RUN of them follow one another.  Windows shorter than WINDOW only count together
 where their places in the document are near.  Items shorter than WINDOW are one window of their own length.
@@ -41,6 +42,7 @@ from tomeworks.staging import stage
 WINDOW = 8
 COVER = 0.5
 LEAST, RUN = 6, 13
+SPARSE = 4
 BLOCK = 1_000_000
 _REMEMBERED_BYTES, _ENTRY_BYTES = 48 << 20, 150
 
@@ -348,7 +350,8 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, cover: float = COVER)
         if len(wanted):
             hits = hits.unionByName(keyed.mapInArrow(_hits(spark.sparkContext.broadcast(wanted), sizes), _HITS))
     hits = stage(hits, "window-hits")
-    met = small_join(hits, items, n, ["hash"], "inner")
+    telling = (F.col("size") - F.size("item_slots")) * SPARSE >= F.col("size")
+    met = small_join(hits, items, n, ["hash"], "inner").where(telling | (F.col("item_slots") == F.col("doc_slots")))
     hit = F.struct("reading", "size", "n_words", "item_pos", "doc_pos", "item_slots", "doc_slots")
     groups = met.groupBy("key", "doc_id", "item_id").agg(F.collect_set(hit))
     return groups.mapInArrow(_found(cover), _FOUND)
