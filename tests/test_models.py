@@ -14,7 +14,7 @@ from tomeworks.operators.metrics import accuracy, binary_metrics, confusion
 from tomeworks.operators.naive_bayes import fit_naive_bayes, predict_naive_bayes
 from tomeworks.operators.trees import predictions
 from tomeworks.operators.vectors import bucket_sums, hash_terms, with_ml_vectors
-from tomeworks.plans import catalog, experiments, inputs
+from tomeworks.plans import catalog, experiments, inputs, oracles
 from tomeworks.plans.features import Features, Settings
 
 # Toy labelled vectors (label, [x, y]) per split.
@@ -190,3 +190,25 @@ def test_fast_buckets_and_hashed_folds_equal_the_hash_of_another_library(spark,
         weights[key] = weights.get(key, 0) + r.tfidf
     got = {(r.doc_id, r.bucket): r.w for r in catalog.m5_hash_vectors_fast(spark, folder).collect()}
     assert got == pytest.approx(weights, abs=2e-6)
+
+
+FIT_REPORTS = [
+    "m10_decision_tree", "m10_embedding_trees", "m11_decision_tree_sweep", "m11_decision_tree_tf_sweep",
+    "m12_logistic_regression", "m12_embedding_regressions", "m13_logistic_regression_sweep",
+    "m13_logistic_regression_tf_sweep",
+]
+
+
+def test_fit_reports_say_whether_training_reaches_the_majority(spark):
+    rows = [(name, "s", 10, 0, 0, 3, 0.7, accuracy) for name, accuracy in (("a", 0.7), ("b", 0.66), ("c", 0.6))]
+    columns = "subject string, setting string, train_docs long, test_docs long, validate_docs long, train_positives long"
+    table = spark.createDataFrame(rows, f"{columns}, train_majority double, train_accuracy double")
+    reached = {r["subject"]: r["reaches_majority"] for r in catalog._fit_report(table).collect()}
+    assert reached == {"a": True, "b": False, "c": False}
+    reached = {r["subject"]: r["reaches_majority"] for r in catalog._regression_report(table).collect()}
+    assert reached == {"a": True, "b": True, "c": False}
+
+
+@pytest.mark.parametrize("name", FIT_REPORTS)
+def test_sql_of_fit_reports_has_the_majority_column(name):
+    assert "reaches_majority" in oracles.ORACLES[name]
