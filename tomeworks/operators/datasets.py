@@ -18,9 +18,10 @@ def training_set(
     """(doc_id, fold, split, labels, vec) of the manifest's documents.
 
     One row per document with a label for each subject, so no vector is repeated.
-    Documents of folds outside the plan drop out before the join.
+    Documents of folds outside the plan drop out before the join.  The narrow side
+    is what is hashed, so no vector is sorted.
     """
     rows = manifest.select(
         "doc_id", "fold", split_of(F.col("fold"), plan).alias("split"), label_array(names).alias("labels")
     ).where(F.col("split").isNotNull())
-    return rows.join(vectors, "doc_id", "inner")
+    return rows.hint("shuffle_hash").join(vectors, "doc_id", "inner")

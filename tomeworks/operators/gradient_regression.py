@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tomeworks.operators.vectors import sparse_entries
 from tomeworks.staging import stage
 
 SLICES = 50
@@ -67,15 +68,6 @@ def drawn_slices(step: int, fraction: float = FRACTION, seed: int = 0) -> list[i
     return random.Random(f"{seed}/{step}").sample(range(SLICES), max(1, round(SLICES * fraction)))
 
 
-def _sparse(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, bucket and value of every entry."""
-    lists = batch.column(column)
-    entries = lists.flatten()
-    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    row = np.repeat(np.arange(len(batch)), sizes)
-    return row, entries.field("bucket").to_numpy(), entries.field("w").to_numpy()
-
-
 def _margins(weights: np.ndarray, row: np.ndarray, bucket: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
     """One row a model, one column a document."""
     return np.stack([np.bincount(row, w[bucket] * value, minlength=n) + w[-1] for w in weights])
@@ -95,7 +87,7 @@ def _gradients(rows: DataFrame, shared, positions: list[int]) -> pa.Table:
         for batch in batches:
             if not len(batch):
                 continue
-            row, bucket, value = _sparse(batch, "vec")
+            row, bucket, value = sparse_entries(batch, "vec")
             labels = batch.column("labels").flatten().to_numpy().reshape(len(batch), -1).T[positions]
             excess = _sigmoid(_margins(weights, row, bucket, value, len(batch))) - labels
             for model, one in enumerate(excess):
@@ -170,7 +162,7 @@ def predict(model: Regressions, examples: DataFrame) -> DataFrame:
     def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value
         for batch in batches:
-            found = _margins(weights, *_sparse(batch, "vec"), len(batch)).T
+            found = _margins(weights, *sparse_entries(batch, "vec"), len(batch)).T
             offsets = pa.array(np.arange(len(batch) + 1) * len(weights), pa.int32())
             lists = pa.ListArray.from_arrays(offsets, pa.array(found.ravel()))
             columns = [batch.column(c) for c in ("doc_id", "split", "labels")]

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +35,91 @@ def bucket_sums(rows: DataFrame, weight: str) -> DataFrame:
     return narrow.groupBy("doc_id", "bucket").agg(F.sum("w").alias("w"))
 
 
+def _starts(ids: pa.Array) -> np.ndarray:
+    """Where a run of equal ids begins; NULL equals NULL."""
+    after, before = ids.slice(1), ids.slice(0, max(0, len(ids) - 1))
+    changed = pc.fill_null(pc.not_equal(after, before), False).to_numpy(zero_copy_only=False)
+    changed = changed | (after.is_null().to_numpy(zero_copy_only=False) != before.is_null().to_numpy(zero_copy_only=False))
+    return np.concatenate([[0], np.flatnonzero(changed) + 1])
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, buckets, weights): neighbouring rows of one document as one row."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        ids = batch.column("doc_id")
+        starts = _starts(ids)
+        offsets = pa.array(np.append(starts, len(batch)), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, batch.column(c)) for c in ("bucket", "w")]
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(starts)), *lists], ["doc_id", "buckets", "weights"])
+
+
+_AT_ONCE = 2_000_000  # entries summed at a time
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, vec) from rows ordered by document; the last document of a batch may go on in the next."""
+
+    def vectors(rows: pa.RecordBatch) -> pa.RecordBatch:
+        ids, lists = rows.column("doc_id"), rows.column("buckets")
+        starts = _starts(ids)
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+        doc = np.repeat(np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(rows)))), sizes)
+        bucket, w = lists.flatten().to_numpy(), rows.column("weights").flatten().to_numpy()
+        order = np.lexsort((bucket, doc))
+        doc, bucket, w = doc[order], bucket[order], w[order]
+        heads = np.flatnonzero(np.append(True, (np.diff(doc) != 0) | (np.diff(bucket) != 0)))
+        offsets = np.append(0, np.cumsum(np.bincount(doc[heads], minlength=len(starts))))
+        entries = pa.StructArray.from_arrays(
+            [pa.array(bucket[heads], pa.int32()), pa.array(np.add.reduceat(w, heads))], ["bucket", "w"]
+        )
+        vec = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), entries)
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(starts)), vec], ["doc_id", "vec"])
+
+    held: list[pa.RecordBatch] = []
+    entries = 0
+    for batch in batches:
+        if not len(batch):
+            continue
+        held.append(batch)
+        entries += len(batch.column("buckets").flatten())
+        if entries < _AT_ONCE:
+            continue
+        rows = pa.concat_batches(held)
+        last = int(_starts(rows.column("doc_id"))[-1])
+        if last:
+            yield vectors(rows.slice(0, last))
+        held = [rows.slice(last)]
+        entries = len(held[0].column("buckets").flatten())
+    if held:
+        yield vectors(pa.concat_batches(held))
+
+
+def weighted_vectors(rows: DataFrame, weight: str) -> DataFrame:
+    """(doc_id, vec ARRAY<STRUCT<bucket, w>>) in bucket order: weights summed per document and bucket.
+
+    What ``sparse_vectors`` makes of ``bucket_sums``, without a group or an exchanged
+    row per entry: entries that follow each other are put together first, so an
+    exchange by document moves little more than a row a document, and only those
+    rows are sorted.
+    """
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    narrow = rows.select("doc_id", "bucket", F.col(weight).alias("w"))
+    parts = narrow.mapInArrow(_runs, f"doc_id {kind}, buckets array<int>, weights array<double>")
+    ordered = parts.repartition("doc_id").sortWithinPartitions("doc_id")
+    return ordered.mapInArrow(_merged, f"doc_id {kind}, vec array<struct<bucket:int,w:double>>")
+
+
+def sparse_entries(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, bucket and value of every entry of a column of sparse vectors."""
+    lists = batch.column(column)
+    entries = lists.flatten()
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(batch)), sizes)
+    return row, entries.field("bucket").to_numpy(), entries.field("w").to_numpy()
+
+
 def bag_vectors(bags: DataFrame, buckets: int = DEFAULT_BUCKETS, hash_name: str = "md5") -> DataFrame:
     """(doc_id, vec): the TF vector of each bag, made inside its row, without any exchange.
 
