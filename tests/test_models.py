@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tomeworks.operators.metrics import accuracy, binary_metrics, confusion
 from tomeworks.operators.naive_bayes import fit_naive_bayes, predict_naive_bayes
 from tomeworks.operators.trees import predictions
-from tomeworks.operators.vectors import bucket_sums, hash_terms, with_ml_vectors
+from tomeworks.operators.vectors import bucket_sums, hash_terms, sparse_vectors, weighted_vectors, with_ml_vectors
 from tomeworks.plans import catalog, experiments, inputs, oracles
 from tomeworks.plans.features import Features, Settings
 
@@ -212,3 +212,51 @@ def test_fit_reports_say_whether_training_reaches_the_majority(spark):
 @pytest.mark.parametrize("name", FIT_REPORTS)
 def test_sql_of_fit_reports_has_the_majority_column(name):
     assert "reaches_majority" in oracles.ORACLES[name]
+
+
+def test_bayes_scores_neither_sort_nor_exchange_entries(toy):
+    model = fit_naive_bayes(toy, ["a", "not a", "all"], buckets=2)
+    plan = predict_naive_bayes(model, toy)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate inline_outer(vec" not in plan and "Generate inline(vec" not in plan
+
+
+def test_bayes_scores_of_a_model_too_large_for_every_task(spark, monkeypatch):
+    """Repeated and missing ids, empty vectors and buckets without weight: both ways score them alike."""
+    rows = [
+        (1, "train", [1.0], [(0, 2.0), (3, 1.0)]), (2, "train", [0.0], [(1, 1.5)]), (3, "test", [0.0], []),
+        (4, "test", [1.0], [(2, 1.0), (7, 3.0)]), (4, "test", [1.0], [(0, 0.5)]), (None, "test", [0.0], [(1, 2.0)]),
+    ]
+    examples = spark.createDataFrame(
+        rows, "doc_id bigint, split string, labels array<double>, vec array<struct<bucket:int,w:double>>"
+    )
+    model = fit_naive_bayes(examples, ["a"], buckets=8)
+
+    def found():
+        scored = predict_naive_bayes(model, examples).collect()
+        return {r["doc_id"]: (r["split"], r["label"], round(r["margin"], 9), r["prediction"]) for r in scored}
+
+    small = found()
+    monkeypatch.setattr("tomeworks.operators.naive_bayes.BROADCAST_BYTES", 0)
+    assert found() == small and set(small) == {1, 2, 3, 4, None}
+
+
+def test_vectors_of_runs_equal_summed_buckets(spark, monkeypatch):
+    """Documents over several batches and tasks, repeated ones and one without an id."""
+    rows = [(None if i % 41 == 40 else i * 7 // 60 % 9, i * i % 11, float(i % 5)) for i in range(900)]
+    table = spark.createDataFrame(rows, "doc_id bigint, bucket int, x double").repartition(3)
+    summed = {r["doc_id"]: r["vec"] for r in sparse_vectors(bucket_sums(table, "x")).collect()}
+    monkeypatch.setattr("tomeworks.operators.vectors._AT_ONCE", 20)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        for df in (table, table.coalesce(1).orderBy("doc_id"), table.where("bucket < 0")):
+            expected = summed if df.count() else {}
+            assert {r["doc_id"]: r["vec"] for r in weighted_vectors(df, "x").collect()} == expected
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+
+
+def test_vectors_are_made_without_a_group_per_entry(spark, folder):
+    features = Features(inputs.corpus(spark, folder), Settings(buckets=500))
+    plan = features.vectors()._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "sum(" not in plan

@@ -13,13 +13,17 @@ is repeated per subject.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tomeworks.functions.hashing import DEFAULT_BUCKETS
 from tomeworks.operators.lookup import BROADCAST_BYTES
+from tomeworks.operators.vectors import sparse_entries
 from tomeworks.staging import stage
 
 
@@ -114,30 +118,70 @@ def fit_naive_bayes(
     )
 
 
+def _summed_by_join(model: NaiveBayesModel, examples: DataFrame, wide: DataFrame, unseen: list[float]) -> DataFrame:
+    """(doc_id, split, labels, _s0, ...) for models too large for every task.
+
+    Only numbers are summed by document; split and labels come back once a document.
+    """
+    ks = range(len(model.names))
+    entries = examples.select("doc_id", F.inline("vec")).join(wide, "bucket", "left")
+    sums = entries.groupBy("doc_id").agg(
+        *[F.sum(F.col("w") * F.coalesce(F.col(f"_d{i}"), F.lit(unseen[i]))).alias(f"_s{i}") for i in ks]
+    )
+    heads = examples.groupBy(F.col("doc_id").alias("_id")).agg(
+        F.first("split").alias("split"), F.first("labels").alias("labels")
+    )
+    return heads.join(sums, F.col("_id").eqNullSafe(F.col("doc_id")), "left").select(
+        F.col("_id").alias("doc_id"), "split", "labels", *[f"_s{i}" for i in ks]
+    )
+
+
+def _summed_in_rows(model: NaiveBayesModel, examples: DataFrame, wide: DataFrame, unseen: list[float]) -> DataFrame:
+    """The same with the model in every task: a vector is scored where it is, and one row a document is exchanged."""
+    ks = range(len(model.names))
+    known = wide.toArrow()  # at most one row a bucket
+    weights = np.tile(np.array(unseen), (model.buckets + 1, 1))  # the last is that of any other bucket
+    weights[known.column("bucket").to_numpy()] = np.stack([known.column(f"_d{i}").to_numpy() for i in ks], axis=1)
+    shared = examples.sparkSession.sparkContext.broadcast(weights)
+
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        for batch in batches:
+            row, bucket, value = sparse_entries(batch, "vec")
+            at = np.where((bucket >= 0) & (bucket < len(table) - 1), bucket, len(table) - 1)
+            sums = [np.bincount(row, table[at, i] * value, minlength=len(batch)) for i in ks]
+            columns = [batch.column(c) for c in ("doc_id", "split", "labels")]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, *[pa.array(s, pa.float64()) for s in sums]], ["doc_id", "split", "labels", *[f"_s{i}" for i in ks]]
+            )
+
+    kind = examples.schema["doc_id"].dataType.simpleString()
+    scored = examples.select("doc_id", "split", "labels", "vec").mapInArrow(
+        scores, ", ".join([f"doc_id {kind}, split string, labels array<double>", *[f"_s{i} double" for i in ks]])
+    )
+    # rows of one document count together
+    return scored.groupBy("doc_id").agg(
+        F.first("split").alias("split"),
+        F.first("labels").alias("labels"),
+        *[F.sum(f"_s{i}").alias(f"_s{i}") for i in ks],
+    )
+
+
 def predict_naive_bayes(model: NaiveBayesModel, examples: DataFrame) -> DataFrame:
     """(doc_id, split, subject, label, margin, prediction) for every example and subject.
 
-    ``margin`` is score(1) - score(0).  The bucket table is joined once for all
-    subjects; scores are sums, so they are reduced before the shuffle by document.
-    Split and labels come along, so the examples are read once.
+    ``margin`` is score(1) - score(0).  All subjects are scored at once, and the
+    entries of a vector are neither sorted nor exchanged unless the model is too
+    large to be in every task.
     """
     ks = range(len(model.names))
     both = {i for i in ks if model.prior(i, 0) is not None and model.prior(i, 1) is not None}
     wide = model.sums.select(
         "bucket", *[(model.theta(i, 1) - model.theta(i, 0)).alias(f"_d{i}") for i in ks]
     )
-    if model.buckets * (len(model.names) + 1) * 16 <= BROADCAST_BYTES:
-        wide = F.broadcast(wide)
-    entries = examples.select("doc_id", "split", "labels", F.inline_outer("vec")).join(wide, "bucket", "left")
     unseen = [model._log_total(i, 0) - model._log_total(i, 1) for i in ks]
-    labelled = entries.groupBy("doc_id").agg(
-        F.first("split").alias("split"),
-        F.first("labels").alias("labels"),
-        *[
-            F.sum(F.col("w") * F.coalesce(F.col(f"_d{i}"), F.lit(unseen[i]))).alias(f"_s{i}")
-            for i in ks
-        ],
-    )
+    small = model.buckets * (len(model.names) + 1) * 16 <= BROADCAST_BYTES
+    labelled = (_summed_in_rows if small else _summed_by_join)(model, examples, wide, unseen)
 
     def outcome(i: int) -> Column:
         if i in both:
