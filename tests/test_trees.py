@@ -144,3 +144,31 @@ def test_cuts_come_from_a_bounded_number_of_rows(spark):
     train = np.array([s == "train" for s in splits])
     for j, cuts in everything.items():
         assert cuts == pytest.approx(cuts_of(x[train, j], 5), abs=1e-12)
+
+
+def test_binning_keeps_a_document_in_its_row(spark, monkeypatch):
+    """Without an exchange and a collected list, and as the join does it; buckets without cuts are left out."""
+    rows = [(1, [1.0], [(0, 0.5), (2, 3.0), (9, 1.0)]), (2, [0.0], [(2, -1.0), (5, 2.0)]), (3, [0.0], [(7, 1.0)]), (4, [0.0], [])]
+    train = spark.createDataFrame(rows, "doc_id bigint, labels array<double>, vec array<struct<bucket:int,w:double>>")
+    cuts = spark.createDataFrame([(2, [-1.0, 0.0, 2.0], 1), (0, [0.25], 0), (5, [2.5], 0)], "bucket int, cuts array<double>, zero_bin int")
+    binned = trees.binned_rows(train, cuts, 5)
+    plan = binned._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "collect_list" not in plan
+
+    def found(df):
+        return {r["doc_id"]: sorted(map(tuple, r["entries"])) for r in df.collect() if r["entries"]}
+
+    assert found(binned) == {1: [(0, 1), (2, 3)], 2: [(2, 0), (5, 0)]}
+    monkeypatch.setattr(trees, "BROADCAST_BYTES", 0)
+    assert found(trees.binned_rows(train, cuts, 5)) == found(binned)
+    monkeypatch.undo()
+    assert found(trees.binned_rows(train, cuts.where("bucket < 0"), 5)) == {}
+
+
+def test_repeated_ids_grow_as_rows_of_their_own(spark):
+    """Depth 2 asks for buckets of a document again; a repeated id is no repeated bucket."""
+    values = [[1.0, 1.0], [1.0, 3.0], [2.0, 1.0], [2.0, 3.0]] * 5
+    rows = [(i // 2, "train", [float(v == [2.0, 3.0])], list(enumerate(v))) for i, v in enumerate(values)]
+    table = stage(spark.createDataFrame(rows, SCHEMA), "repeated")
+    grown = trees.grow(table, ["a"], 2)
+    assert {i: (x.n, x.positives) for i, x in grown.nodes[0].items()} == {1: (20, 5.0), 2: (10, 0.0), 3: (10, 5.0), 6: (5, 0.0), 7: (5, 5.0)}

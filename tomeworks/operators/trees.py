@@ -23,14 +23,17 @@ depth is the deepest one cut off.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tomeworks.operators.fence import computed_once
 from tomeworks.operators.lookup import BROADCAST_BYTES
+from tomeworks.operators.vectors import sparse_entries
 from tomeworks.staging import stage
 
 BINS = 5
@@ -124,9 +127,13 @@ def thresholds(train: DataFrame, bins: int = BINS, split_rows: int = SPLIT_ROWS)
 
 
 def binned_rows(train: DataFrame, cuts: DataFrame, bins: int) -> DataFrame:
-    """(doc_id, labels, entries ARRAY<STRUCT<bucket, bin>>); a document is put together again where it was taken apart."""
-    fits = cuts.count() * (bins + 1) * _LIST_ENTRY_BYTES <= BROADCAST_BYTES
-    entries = train.select("doc_id", "labels", F.inline("vec")).join(F.broadcast(cuts) if fits else cuts, "bucket")
+    """(doc_id, labels, entries ARRAY<STRUCT<bucket, bin>>) of the buckets that have cuts.
+
+    With the cuts in every task a document is never taken apart; only cuts too many for that are joined.
+    """
+    if cuts.count() * (bins + 1) * _LIST_ENTRY_BYTES <= BROADCAST_BYTES:
+        return _binned_in_rows(train, cuts)
+    entries = train.select("doc_id", "labels", F.inline("vec")).join(cuts, "bucket")
     at = [F.coalesce((F.get("cuts", F.lit(i)) < F.col("w")).cast("int"), F.lit(0)) for i in range(bins)]
     above = sum(at[1:], at[0])
     found = entries.select("doc_id", "labels", "bucket", above.alias("bin"))
@@ -135,6 +142,34 @@ def binned_rows(train: DataFrame, cuts: DataFrame, bins: int) -> DataFrame:
     )
 
 
+def _binned_in_rows(train: DataFrame, cuts: DataFrame) -> DataFrame:
+    known = cuts.select("bucket", "cuts").orderBy("bucket").toArrow()  # at most one row a bucket
+    values = known.column("cuts").to_pylist()
+    table = np.full((len(values) + 1, max(map(len, values), default=1)), np.inf)  # the last is that of no bucket
+    for i, some in enumerate(values):
+        table[i, : len(some)] = some
+    shared = train.sparkSession.sparkContext.broadcast((known.column("bucket").to_numpy(), table))
+
+    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buckets, limits = shared.value
+        for batch in batches:
+            row, bucket, value = sparse_entries(batch, "vec")
+            at = np.searchsorted(buckets, bucket)
+            cut = np.append(buckets, -1)[at] == bucket
+            row, bucket, value, at = row[cut], bucket[cut], value[cut], at[cut]
+            bins = (limits[at] < value[:, None]).sum(axis=1)
+            entries = pa.StructArray.from_arrays([pa.array(bucket, pa.int32()), pa.array(bins, pa.int32())], ["bucket", "bin"])
+            offsets = np.append(0, np.cumsum(np.bincount(row, minlength=len(batch))))
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), entries)
+            columns = [batch.column("doc_id"), batch.column("labels"), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "labels", "entries"])
+
+    kind = train.schema["doc_id"].dataType.simpleString()
+    return train.select("doc_id", "labels", "vec").mapInArrow(
+        binned, f"doc_id {kind}, labels array<double>, entries array<struct<bucket:int,bin:int>>"
+    )
+
+
 def _placed(rows: DataFrame, trees: Trees, depth: int, array: str, right: Callable[[Node], Column], *columns: str) -> DataFrame:
     """The columns, and ``nodes``: of every subject the node of the document at a depth, or the leaf above it.
 
