@@ -5,12 +5,14 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tomeworks.functions import hashing, text
+from tomeworks.operators import terms as term_operators
 from tomeworks.operators.terms import term_bags, term_counts, term_frequencies
 
 
@@ -115,3 +117,21 @@ def test_string_hash(spark):
     assert got == {t: (plain_string_hash(t.encode()), plain_string_hash(t.encode()) % 100) for t in texts}
     # fixed values, as printed by such a Python
     assert got["a"][0] == 12416037344 and got[""][0] == 0
+
+
+def test_bags_are_counted_some_documents_at_a_time(spark, monkeypatch):
+    rows = [(1, "b a_a aaa the THE 1st 1sts 22 222 t2h"), (2, None), (None, ""), (4, "xyz " * 50), (4, "_ __ ___ é")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    plan = term_bags(docs)._jdf.queryExecution().executedPlan().toString()
+    # no expression is evaluated token by token
+    assert "MapInArrow" in plan and "sort_array" not in plan and "transform(" not in plan
+    got = [(r["doc_id"], r["terms"] and [tuple(t) for t in r["terms"]], r["max_n"]) for r in term_bags(docs).collect()]
+    assert got == [
+        (1, [("1sts", 1), ("aaa", 1), ("the", 2)], 2), (2, None, None), (None, [], None), (4, [("xyz", 50)], 50), (4, [], None)
+    ]
+    batch = pa.RecordBatch.from_pydict({"_runs": ["aaa bbb", None, "", "ccc " * 9, "ddd"]})
+    monkeypatch.setattr(term_operators, "_AT_ONCE", 8)
+    parts = list(term_operators._parts(batch, "_runs"))
+    assert pa.Table.from_batches(parts).to_pydict() == batch.to_pydict() and len(parts) > 2
+    whole = term_operators._counted(batch, "_runs")[0].to_pylist()
+    assert [x for p in parts for x in term_operators._counted(p, "_runs")[0].to_pylist()] == whole
