@@ -149,3 +149,10 @@ def test_every_training_document_reaches_the_weights(spark, monkeypatch):
     assert moved[classes.input[:n]].all()
     again = lm.fit(docs.repartition(7), classes, encoder)
     assert all((after[k] == again[k]).all() for k in after)
+
+
+def test_every_group_trains_in_a_task_of_its_own(spark):
+    rows = spark.range(600).selectExpr("id % 6 as group", "id as key")
+    by_task = lambda df: [{r.group for r in rows} for rows in df.rdd.glom().collect()]
+    assert max(map(len, by_task(rows.repartition(6, "group")))) > 1
+    assert sorted(map(tuple, by_task(lm._apart(rows, 6, "group")))) == [(i,) for i in range(6)]

@@ -334,6 +334,11 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield result()
 
 
+def _apart(rows: DataFrame, n: int, number: str) -> DataFrame:
+    """Rows numbered 0 to n - 1, a partition a number; by hash, several of a few numbers would meet in one task."""
+    return rows.repartitionById(n, F.col(number).cast("int"))
+
+
 def fit(training: DataFrame, classes: Classes, encoder) -> Weights:
     """Weights that all training documents have a part in."""
     context = training.sparkSession.sparkContext
@@ -347,9 +352,9 @@ def fit(training: DataFrame, classes: Classes, encoder) -> Weights:
         state = context.broadcast((weights, classes, round_))
         own = training.where((drawn + round_) % ROUNDS < rounds_each)
         dealt = own.select(F.pmod(F.xxhash64("key", F.lit(1)), F.lit(groups)).cast("bigint").alias("group"), "key", "text")
-        dealt = dealt.repartition(groups, "group").sortWithinPartitions("group", "key").select("group", "text")
+        dealt = _apart(dealt, groups, "group").sortWithinPartitions("group", "key").select("group", "text")
         made = dealt.mapInArrow(_trained(encoder, state), "group bigint, n bigint, weights binary")
-        made = made.withColumn("part", F.col("group") % parts).repartition(parts, "part").sortWithinPartitions("part", "group")
+        made = _apart(made.withColumn("part", F.col("group") % parts), parts, "part").sortWithinPartitions("part", "group")
         rows = made.select("part", "n", "weights").mapInArrow(_summed, "part bigint, n bigint, weights binary").collect()
         if not rows:
             continue
