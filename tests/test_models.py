@@ -13,7 +13,16 @@ from pyspark.sql import functions as F
 from tomeworks.operators.metrics import accuracy, binary_metrics, confusion
 from tomeworks.operators.naive_bayes import fit_naive_bayes, predict_naive_bayes
 from tomeworks.operators.trees import predictions
-from tomeworks.operators.vectors import bucket_sums, hash_terms, sparse_vectors, weighted_vectors, with_ml_vectors
+from tomeworks.operators.vectors import (
+    bag_vectors,
+    bucket_sums,
+    hash_terms,
+    sparse_vectors,
+    tfidf_vectors,
+    weighted_vectors,
+    with_ml_vectors,
+)
+from tomeworks.operators.weights import tfidf
 from tomeworks.plans import catalog, experiments, inputs, oracles
 from tomeworks.plans.features import Features, Settings
 
@@ -260,3 +269,32 @@ def test_vectors_are_made_without_a_group_per_entry(spark, folder):
     features = Features(inputs.corpus(spark, folder), Settings(buckets=500))
     plan = features.vectors()._jdf.queryExecution().executedPlan().toString()
     assert "collect_list" not in plan and "sum(" not in plan
+
+
+@pytest.mark.parametrize("limit", [0, 600, 1 << 26])
+def test_bags_are_weighted_in_their_row(spark, limit):
+    """No, some and all terms in every task; repeated documents, one without an id, one without terms."""
+    texts = ["red green red", "green blue w1", "w2 w3 red violet", None, "", "12", *[f"red word{i % 5} t{i} t{i}" for i in range(20)]]
+    rows = [(None if i == 8 else i // 2 if i > 20 else i, t) for i, t in enumerate(texts)]
+    features = Features(spark.createDataFrame(rows, "doc_id bigint, text string"), Settings(buckets=7, broadcast_bytes=limit))
+    made = tfidf_vectors(features.bags, features.idf, limit)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    # entries of frequent terms are neither taken apart nor joined; with all of them known there is no join
+    assert "Generate" not in plan and ("Join" in plan) == (limit < 1 << 26)
+    expected = {r["doc_id"]: r["vec"] for r in weighted_vectors(tfidf(features.tf, features.idf), "tfidf").collect()}
+    got = {r["doc_id"]: r["vec"] for r in made.collect()}
+    assert got.keys() == expected.keys() and None in got
+    for doc_id, vec in got.items():
+        assert [e["bucket"] for e in vec] == [e["bucket"] for e in expected[doc_id]]
+        assert [e["w"] for e in vec] == pytest.approx([e["w"] for e in expected[doc_id]])
+
+
+@pytest.mark.parametrize("hash_name", ["md5", "xxhash64", "string"])
+def test_tf_vectors_by_any_hash(spark, folder, hash_name):
+    features = Features(inputs.corpus(spark, folder), Settings(buckets=300, hash_name=hash_name))
+    made = bag_vectors(features.bags, 300, hash_name)
+    # entries are not sorted by an expression
+    assert "sort_array" not in made._jdf.queryExecution().executedPlan().toString()
+    summed = bucket_sums(hash_terms(features.tf, 300, hash_name), "tf")
+    both = made.select("doc_id", F.inline("vec")).join(summed.withColumnRenamed("w", "v"), ["doc_id", "bucket"], "full")
+    assert both.where("w is null or v is null or abs(w - v) > 1e-9").count() == 0 < both.count()
