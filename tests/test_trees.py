@@ -172,3 +172,29 @@ def test_repeated_ids_grow_as_rows_of_their_own(spark):
     table = stage(spark.createDataFrame(rows, SCHEMA), "repeated")
     grown = trees.grow(table, ["a"], 2)
     assert {i: (x.n, x.positives) for i, x in grown.nodes[0].items()} == {1: (20, 5.0), 2: (10, 0.0), 3: (10, 5.0), 6: (5, 0.0), 7: (5, 5.0)}
+
+
+def test_cells_are_counted_once_a_node_and_bucket_in_a_task(spark, monkeypatch):
+    rows = [
+        (i, "train", [float(i % 2), None if i % 5 == 0 else float(i % 3 == 0)], [(b, float(i * b % 7)) for b in range(i % 4)] or None)
+        for i in range(200)
+    ]
+    schema = "doc_id bigint, split string, labels array<double>, vec array<struct<bucket:int,w:double>>"
+    table = stage(spark.createDataFrame(rows, schema).repartition(3), "cells")
+    one = trees.grow(table, ["a", "b"], 3)
+    cuts = stage(trees.thresholds(table), "cuts")
+    buckets = np.array(sorted(r["bucket"] for r in cuts.collect()))
+    binned = trees.binned_rows(table, cuts, trees.BINS)
+    root = trees.Trees(["a", "b"], 3, [{1: trees.Node(200, 100.0)}, {1: trees.Node(200, 60.0)}])
+    cells = trees._level_histograms(binned, root, 0, buckets, trees.BINS)
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    # no document is taken apart into a row for each subject and entry
+    assert "Generate" not in plan and plan.count("Exchange") == 1
+    found = {(r["subject"], r["bucket"]): (sum(r[f"n{b}"] for b in range(5)), sum(r[f"p{b}"] for b in range(5))) for r in cells.collect()}
+    for s in (0, 1):
+        for bucket in (1, 2):
+            some = [r for r in rows if any(b == bucket for b, _ in r[3] or ())]
+            assert found[s, bucket] == (len(some), sum(r[2][s] or 0 for r in some))
+    # subjects in parts give the same trees
+    monkeypatch.setattr(trees, "_CELL_BYTES", 1)
+    assert trees.grow(table, ["a", "b"], 3).nodes == one.nodes

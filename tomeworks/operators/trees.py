@@ -2,8 +2,8 @@
 
 The training documents are read once a level, whatever the number of subjects:
 values are turned into bin numbers once, then
-one aggregate counts, for every (subject, node, bucket, bin), the documents and
-the positives.  Entries of a sparse vector are counted; documents without an
+every task counts in arrays, for every (subject, node, bucket, bin), the documents and
+the positives, and one aggregate sums them.  Entries of a sparse vector are counted; documents without an
 entry are what is missing from the node's total and belong to the bin of zero.
 From the counts follow the entropy gains of all splits, and an arg-max picks the
 best of each node.  All training documents count; the driver sees one row a node,
@@ -25,13 +25,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomeworks.operators.fence import computed_once
 from tomeworks.operators.lookup import BROADCAST_BYTES
 from tomeworks.operators.vectors import sparse_entries
 from tomeworks.staging import stage
@@ -40,6 +40,7 @@ BINS = 5
 SPLIT_ROWS = 10_000
 _GAIN_DIGITS = 12
 _LIST_ENTRY_BYTES = 64
+_CELL_BYTES = 128 << 20
 
 
 @dataclass
@@ -170,32 +171,26 @@ def _binned_in_rows(train: DataFrame, cuts: DataFrame) -> DataFrame:
     )
 
 
-def _placed(rows: DataFrame, trees: Trees, depth: int, array: str, right: Callable[[Node], Column], *columns: str) -> DataFrame:
-    """The columns, and ``nodes``: of every subject the node of the document at a depth, or the leaf above it.
-
-    ``_values`` maps those buckets of ``array`` that a split asks for to their values or bins.
-    """
-
-    def below(nodes: dict[int, Node], i: int) -> Column:
-        node = nodes[i]
-        if node.bucket is None or i.bit_length() > depth:
-            return F.lit(i)
-        return F.when(right(node), below(nodes, 2 * i + 1)).otherwise(below(nodes, 2 * i))
-
-    asked = sorted({x.bucket for nodes in trees.nodes for x in nodes.values() if x.bucket is not None})
-    places = F.array(*[below(nodes, 1) for nodes in trees.nodes]).alias("nodes")
-    if not asked:
-        return rows.select(*columns, places)
-    few = F.filter(array, lambda e: e["bucket"].isin(asked))
-    return rows.withColumn("_values", F.map_from_entries(few)).select(*columns, places)
-
-
-def _right_by_bin(node: Node) -> Column:
-    return F.coalesce(F.try_element_at("_values", F.lit(node.bucket)), F.lit(node.zero_bin)) > F.lit(node.bin)
-
-
-def _right_by_value(node: Node) -> Column:
-    return F.coalesce(F.try_element_at("_values", F.lit(node.bucket)), F.lit(0.0)) > F.lit(node.threshold)
+def _places(trees: Trees, depth: int, entries: tuple[np.ndarray, ...], n: int, by_bin: bool) -> np.ndarray:
+    """For every subject and document the node at a depth, or the leaf above it, from the values or bins of the entries."""
+    row, bucket, value = entries
+    asked = np.array(sorted({x.bucket for nodes in trees.nodes for x in nodes.values() if x.bucket is not None}), np.int64)
+    at = np.searchsorted(asked, bucket)
+    hit = np.append(asked, -1)[at] == bucket
+    values, there = np.zeros((len(asked), n)), np.zeros((len(asked), n), bool)
+    values[at[hit], row[hit]], there[at[hit], row[hit]] = value[hit], True
+    places = np.ones((len(trees.nodes), n), np.int32)
+    for place, nodes in zip(places, trees.nodes):
+        for i, node in sorted(nodes.items()):
+            if node.bucket is None or i.bit_length() > depth:
+                continue
+            k = np.searchsorted(asked, node.bucket)
+            if by_bin:
+                right = np.where(there[k], values[k], node.zero_bin) > node.bin
+            else:
+                right = (values[k] > node.threshold) | np.isnan(values[k])  # NaN is larger than any number
+            place[:] = np.where(place == i, 2 * i + right, place)
+    return places
 
 
 def _entropy(n: Column, positives: Column) -> Column:
@@ -203,34 +198,66 @@ def _entropy(n: Column, positives: Column) -> Column:
     return part(positives) + part(n - positives)
 
 
-def _level_histograms(binned: DataFrame, trees: Trees, depth: int) -> DataFrame:
-    """(subject, node, bucket, bin, n, positives) over the open nodes of a depth."""
+def _level_histograms(binned: DataFrame, trees: Trees, depth: int, buckets: np.ndarray, bins: int) -> DataFrame:
+    """(subject, node, bucket, n0, n1, ..., p0, p1, ...): documents and positives by bin over the open nodes of a depth.
+
+    A task counts its documents in arrays, and exchanges one row for each node and bucket it has seen.  The arrays of
+    some subjects at a time take at most _CELL_BYTES; the table is read once for each such part.
+    """
     active = [[i for i, x in nodes.items() if x.open and i.bit_length() - 1 == depth] for nodes in trees.nodes]
-    wanted = F.array(*[F.array(*[F.lit(i) for i in a]).cast("array<int>") for a in active])
-    cells = F.transform(
-        "nodes",
-        lambda node, s: F.named_struct(F.lit("subject"), s, F.lit("node"), node, F.lit("y"), F.get("labels", s)),
-    )
-    cells = F.filter(cells, lambda c: F.array_contains(F.get(wanted, c["subject"]), c["node"]))
-    placed = _placed(binned, trees, depth, "entries", _right_by_bin, "labels", "entries")
-    entries = computed_once(placed, ["entries"], cells=cells).select("cells", F.inline("entries"))
-    return (
-        entries.select("bucket", "bin", F.inline("cells"))
-        .groupBy("subject", "node", "bucket", "bin")
-        .agg(F.count("*").alias("n"), F.sum("y").alias("positives"))
-    )
+    size = lambda s: len(active[s]) * max(1, len(buckets)) * bins * 16
+    parts: list[list[int]] = []
+    for s in (s for s, some in enumerate(active) if some):
+        if not parts or sum(map(size, [*parts[-1], s])) > _CELL_BYTES:
+            parts.append([])
+        parts[-1].append(s)
+    shared = binned.sparkSession.sparkContext.broadcast(buckets)
+    names = ["subject", "node", "bucket", *[f"{c}{b}" for c in "np" for b in range(bins)]]
+    schema = ", ".join(["subject int, node int, bucket int", *[f"{c} double" for c in names[3:]]])
+
+    def counter(subjects: list[int]) -> Callable:
+        def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = shared.value
+            width = len(known) * bins
+            counts = {s: np.zeros((2, len(active[s]) * width)) for s in subjects}
+            for batch in batches:
+                if not len(batch):
+                    continue
+                row, bucket, found = sparse_entries(batch, "entries", "bin")
+                places = _places(trees, depth, (row, bucket, found), len(batch), by_bin=True)
+                labels = batch.column("labels").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+                cell = np.searchsorted(known, bucket) * bins + found
+                for s, (n, positives) in counts.items():
+                    group = np.full(2 << depth, -1)
+                    group[active[s]] = np.arange(len(active[s]))
+                    group = group[places[s]]
+                    some = np.flatnonzero(group[row] >= 0)
+                    at = group[row[some]] * width + cell[some]
+                    n += np.bincount(at, minlength=len(n))
+                    y = np.nan_to_num(labels[:, s])[row[some]]  # an unknown label counts as none
+                    positive = y != 0
+                    positives += np.bincount(at[positive], y[positive], minlength=len(n))
+            for s, sums in counts.items():
+                n, positives = sums.reshape(2, -1, bins)
+                seen = np.flatnonzero(n.any(axis=1))
+                node = np.array(active[s])[seen // max(1, len(known))]
+                keys = [np.full(len(seen), s), node, known[seen % max(1, len(known))]]
+                columns = [pa.array(k, pa.int32()) for k in keys]
+                columns += [pa.array(x[seen, b]) for x in (n, positives) for b in range(bins)]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+        return counted
+
+    rows = binned.select("labels", "entries")
+    found = [rows.mapInArrow(counter(subjects), schema) for subjects in parts]
+    cells = reduce(DataFrame.unionByName, found)
+    return cells.groupBy("subject", "node", "bucket").agg(*[F.sum(c).alias(c) for c in names[3:]])
 
 
 def _best_splits(histograms: DataFrame, totals: DataFrame, cuts: DataFrame, bins: int) -> DataFrame:
     """(subject, node, bucket, threshold, split, zero_bin, gain, nl, pl) of the best split of each node."""
 
-    def in_bin(b: int, column: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("bin") == b, F.col(column))), F.lit(0)).cast("double")
-
-    wide = histograms.groupBy("subject", "node", "bucket").agg(
-        *[in_bin(b, column).alias(f"{column[0]}{b}") for column in ("n", "positives") for b in range(bins)]
-    )
-    joined = wide.join(F.broadcast(totals), ["subject", "node"]).join(cuts, "bucket")
+    joined = histograms.join(F.broadcast(totals), ["subject", "node"]).join(cuts, "bucket")
     listed = {c: sum((F.col(f"{c}{b}") for b in range(1, bins)), F.col(f"{c}0")) for c in "np"}
 
     def left(c: str, split: int) -> Column:
@@ -265,6 +292,7 @@ def grow(examples: DataFrame, names: list[str], depth: int, bins: int = BINS, sp
     trees = Trees(list(names), depth, [{1: Node(sizes["n"], sizes[f"p{s}"] or 0.0)} for s in range(len(names))])
     cuts = stage(thresholds(train, bins, split_rows), "cuts")
     binned = stage(binned_rows(train, cuts, bins), "binned")
+    buckets = cuts.select("bucket").orderBy("bucket").toArrow().column("bucket").to_numpy()  # at most one row a bucket
     for level in range(depth):
         open_nodes = [
             (s, i, float(x.n), float(x.positives))
@@ -275,7 +303,7 @@ def grow(examples: DataFrame, names: list[str], depth: int, bins: int = BINS, sp
         if not open_nodes:
             break
         totals = spark.createDataFrame(open_nodes, "subject int, node int, n_all double, p_all double")
-        histograms = _level_histograms(binned, trees, level)
+        histograms = _level_histograms(binned, trees, level, buckets, bins)
         for row in _best_splits(histograms, totals, cuts, bins).collect():
             nodes, i = trees.nodes[row["subject"]], row["node"]
             node = nodes[i]
@@ -288,7 +316,19 @@ def grow(examples: DataFrame, names: list[str], depth: int, bins: int = BINS, sp
 
 def predictions(trees: Trees, examples: DataFrame, depths: list[int]) -> DataFrame:
     """(doc_id, split, subject, depth, label, prediction) of trees cut off at each of the depths."""
-    rows = _placed(examples, trees, trees.depth, "vec", _right_by_value, "doc_id", "split", "labels")
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = _places(trees, trees.depth, sparse_entries(batch, "vec"), len(batch), by_bin=False)
+            offsets = pa.array(np.arange(len(batch) + 1) * len(places), pa.int32())
+            columns = [batch.column(c) for c in ("doc_id", "split", "labels")]
+            nodes = pa.ListArray.from_arrays(offsets, pa.array(places.T.ravel()))
+            yield pa.RecordBatch.from_arrays([*columns, nodes], ["doc_id", "split", "labels", "nodes"])
+
+    kind = examples.schema["doc_id"].dataType.simpleString()
+    rows = examples.select("doc_id", "split", "labels", "vec").mapInArrow(
+        placed, f"doc_id {kind}, split string, labels array<double>, nodes array<int>"
+    )
 
     def outcome(s: int, depth: int) -> Column:
         # the ancestor of the leaf at this depth
