@@ -9,6 +9,7 @@ from pyspark.errors import StreamingQueryException
 
 from tomeworks.operators.terms import term_bags
 from tomeworks.operators.vocabulary import document_frequency
+from tomeworks.plans import catalog
 from tomeworks.sources.key_index import KeyIndex, Layout
 from tomeworks.streaming import running_df
 
@@ -117,3 +118,14 @@ def test_a_long_log_stays_small_and_exact_through_replays_and_crashes(spark, tmp
     # whatever the number of batches: no more than two merges' worth of folders, and of batches of ids
     assert max(n for n, _ in held) <= 7 and max(n for _, n in held) <= 4
     assert len(os.listdir(f"{log}/merged")) <= 2 and len(os.listdir(f"{log}/ids/commits")) < 12
+
+
+def test_a_batch_of_arrivals_is_read_by_all_tasks(spark, folder):
+    """The same four batches, each in as many files as tasks run at once."""
+    path = catalog._document_files(spark, folder)
+    files = spark.read.parquet(path).inputFiles()
+    per_batch = catalog._files_per_batch(spark)
+    assert per_batch == spark.sparkContext.defaultParallelism and 1 < len(files) <= 4 * per_batch
+    assert len(files) > 3 * per_batch
+    written = spark.read.parquet(path)
+    assert sorted(written.collect()) == sorted(catalog.inputs.corpus(spark, folder).collect())

@@ -31,6 +31,7 @@ from tomeworks.streaming import arriving_vectors, running_df
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+_BATCHES = 4  # of the streams
 _IDF_CAP = 100  # documents that take part in the capped runs
 TF_SIZES = (10_000, 8_000, 6_000)
 _REGRESSION_SLACK = 0.05  # by which a regression may fall short of the majority share
@@ -1161,14 +1162,20 @@ def _document_files(spark, folder) -> str:
     """The corpus as several files, so that the stream has several batches."""
 
     path = stage_path(spark, "arrivals")
-    inputs.documents(spark, folder).select("doc_id", "text").repartition(4, "doc_id").write.parquet(path)
+    files = _BATCHES * _files_per_batch(spark)
+    inputs.documents(spark, folder).select("doc_id", "text").repartition(files, "doc_id").write.parquet(path)
     return path
 
 
+def _files_per_batch(spark) -> int:
+    """As many as tasks run at once, so that a batch is counted by all of them."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
 @query
 def t1_running_frequency(spark, folder):
     """From the log of a stateless stream: one snapshot after the last batch."""
-    arriving = running_df.document_stream(spark, _document_files(spark, folder), files_per_batch=1)
+    arriving = running_df.document_stream(spark, _document_files(spark, folder), files_per_batch=_files_per_batch(spark))
     log = stage_path(spark, "frequency-log")
     running_df.start_frequency_log(arriving, log, stage_path(spark, "stream-checkpoint")).awaitTermination()
     return running_df.snapshot(spark, log)[0]
@@ -1177,7 +1184,7 @@ def t1_running_frequency(spark, folder):
 @query
 def t1_running_frequency_stateful(spark, folder):
     """From the state store: counts that changed are written per batch; they only grow."""
-    arriving = running_df.document_stream(spark, _document_files(spark, folder), files_per_batch=2)
+    arriving = running_df.document_stream(spark, _document_files(spark, folder), files_per_batch=2 * _files_per_batch(spark))
     counts = running_df.running_frequency(arriving, drop_replays=True)
     changes = stage_path(spark, "frequency-changes")
 
