@@ -298,3 +298,12 @@ def test_tf_vectors_by_any_hash(spark, folder, hash_name):
     summed = bucket_sums(hash_terms(features.tf, 300, hash_name), "tf")
     both = made.select("doc_id", F.inline("vec")).join(summed.withColumnRenamed("w", "v"), ["doc_id", "bucket"], "full")
     assert both.where("w is null or v is null or abs(w - v) > 1e-9").count() == 0 < both.count()
+
+
+def test_terms_are_counted_once_for_all_settings(spark, folder):
+    first = catalog._features(spark, folder)
+    bags = first.bags
+    for settings in (Settings(buckets=6000), Settings(log_idf=False)):
+        other = catalog._features(spark, folder, settings)
+        assert other.settings == settings and other.bags is bags and other.idf is not first.idf
+    assert catalog._features(spark, folder, Settings(stop_after=3)).bags is not bags

@@ -55,7 +55,10 @@ def _features(spark: SparkSession, folder: str, settings: Settings = Settings())
     key = (*_version(spark, folder), settings)
     known = _FEATURES.get(key)
     if known is None or not all(still_staged(df) for df in known.staged()):
-        _FEATURES[key] = Features(inputs.corpus(spark, folder), settings)
+        made = _FEATURES[key] = Features(inputs.corpus(spark, folder), settings)
+        # the counts of terms do not depend on how they are weighted and hashed
+        counted = [f for (*version, s), f in _FEATURES.items() if tuple(version) == key[:-1] and s.counting == settings.counting]
+        made.__dict__.update(next(({"bags": f.bags} for f in counted if "bags" in f.__dict__ and still_staged(f.bags)), {}))
     return _FEATURES[key]
 
 

@@ -34,6 +34,11 @@ class Settings:
     cap_before_header_test: bool = False
     broadcast_bytes: int = BROADCAST_BYTES
 
+    @property
+    def counting(self) -> tuple:
+        """What the bags depend on."""
+        return self.strip, self.stop_after, self.cap_before_header_test
+
 
 class Features:
     """The feature tables of one corpus, each computed when first asked for.
