@@ -2,7 +2,10 @@ from __future__ import annotations
 
 import random
 import re
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import ODD, make_docs
@@ -122,3 +125,26 @@ def test_lists_of_numbers_only_match_themselves(spark):
     other = " ".join(f"{rng.randrange(100)} kg" for _ in range(300))
     docs = [" ".join(str(rng.randrange(1000)) for _ in range(3000)), f"the list {evens} is here", other, f"please {sizes} now"]
     assert found(spark, docs, [evens, sizes]) == {(1, 0): False, (3, 1): False}
+
+
+def test_a_batch_is_read_together_and_windows_stay_in_their_text(monkeypatch):
+    texts = [ITEM, None, "", "* # .", "so Boston", f"Then. {ITEM.upper()} 5kg", "on the line so", f"{ITEM} {ITEM}"] * 3
+    words = ITEM.split()
+    texts += [" ".join(words[:11]), " ".join(words[11:])]  # neighbours that make the item
+    wanted = pa.RecordBatch.from_pydict({"item_id": [1], "text": [ITEM]})
+    hashes = next(d._item_windows(iter([wanted]))).column("hash").to_numpy().view("uint64")
+    shared = SimpleNamespace(value=np.unique(hashes))
+    calls = []
+    read = d.readings_of
+    monkeypatch.setattr(d, "readings_of", lambda own, kinds: calls.append(len(own)) or read(own, kinds))
+
+    def hits(part):
+        keys = pa.array([b"%d" % i for i in range(len(texts))])
+        batch = pa.RecordBatch.from_arrays([keys, pa.array(range(len(texts))), pa.array(texts)], ["key", "doc_id", "text"])
+        monkeypatch.setattr(d, "PART", part)
+        rows = [row for made in d._hits(shared, [d.window_size(len(words))])(iter([batch])) for row in made.to_pylist()]
+        return sorted(rows, key=lambda row: (row["doc_id"], row["doc_pos"], row["hash"]))
+
+    together = hits(1 << 18)
+    assert calls == [len(texts)]
+    assert together and together == hits(1)

@@ -31,6 +31,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,7 @@ COVER = 0.5
 LEAST, RUN = 6, 13
 SPARSE = 4
 BLOCK = 1_000_000
+PART = 1 << 18
 _REMEMBERED_BYTES, _ENTRY_BYTES = 48 << 20, 150
 
 # Fixed word lists.
@@ -60,8 +62,10 @@ UNITS = frozenset(
 )
 _NUMBER = re.compile(r"[-+]?[$€£]?\d[\d.,:/]*[%€$£]?")
 _STUCK = re.compile(rf"(?<=\d)(?=(?:{'|'.join(sorted((re.escape(u) for u in UNITS if u != '%'), key=len, reverse=True))})\b)")
+_DIGIT_LETTER = re.compile(r"\d[A-Za-z]")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
+_TAIL = "\"')]}»”’*#$%&|<> "
 _OUTER = "()[]{}<>\"'.,;:!?*#&|"
 
 _WORD, _NUM, _UNIT, _CAPITAL, _NONE = range(5)
@@ -71,6 +75,9 @@ _STEP, _SIZED = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
 _HASHES = {kind: xxhash.xxh3_64_intdigest(name) for kind, name in ((_NUM, b"<num>"), (_UNIT, b"<unit>"), (_CAPITAL, b"<name>"))}
 
 
+_SPECIAL = NUMBER_WORDS | UNITS
+
+
 class _Words(dict):
     """Word as it stands -> its place in ``hashes``, ``kinds`` and ``values``; plain words have no value."""
 
@@ -84,6 +91,35 @@ class _Words(dict):
         self.hashes, self.kinds, self.values = array("Q"), array("b"), []
         self.held = 0
 
+    def places(self, words: list[str]) -> np.ndarray:
+        """The place of each word.  This large dictionary is asked once for those that are alike."""
+        distinct = dict.fromkeys(words)
+        found = dict(zip(distinct, map(self.get, distinct)))
+        fresh = [word for word, place in found.items() if place is None]
+        self.learn(fresh)
+        found.update(zip(fresh, map(self.__getitem__, fresh)))
+        return np.fromiter(map(found.__getitem__, words), np.int64, len(words))
+
+    def learn(self, words: list[str]) -> None:
+        """Takes in words that differ and are not here; the plain ones, which most are, in one go."""
+        plain, hashes, kinds, held = [], [], [], 0
+        digest, special = xxhash.xxh3_64_intdigest, _SPECIAL
+        for word in words:
+            core = word if word.isalpha() else word.strip(_OUTER)
+            if not (core.isalpha() and core.islower()) or (lower := core.lower()) in special:
+                self[word]
+                continue
+            ends = core is not word and word.rstrip(_TAIL).endswith((".", "!", "?", ":"))
+            plain.append(word)
+            hashes.append(digest(lower.encode()))
+            kinds.append(_WORD | _SENTENCE_END if ends else _WORD)
+            held += len(word)
+        self.update(zip(plain, range(len(self.kinds), len(self.kinds) + len(plain))))
+        self.hashes.extend(hashes)
+        self.kinds.extend(kinds)
+        self.values.extend([None] * len(plain))
+        self.held += held + _ENTRY_BYTES * len(plain)
+
     def __missing__(self, word: str) -> int:
         core = word.strip(_OUTER)
         number = None
@@ -99,7 +135,7 @@ class _Words(dict):
             kind = _UNIT
         else:
             kind = _CAPITAL if len(core) > 1 and core[0].isupper() and core[1:].islower() else _WORD
-        last = word if word.isalpha() else word.rstrip("\"')]}»”’*#$%&|<> ")
+        last = word if word.isalpha() else word.rstrip(_TAIL)
         ends = _SENTENCE_END if last.endswith((".", "!", "?", ":")) else 0
         place = self[word] = len(self.kinds)
         self.hashes.append(xxhash.xxh3_64_intdigest(lower.encode()))
@@ -121,37 +157,64 @@ def template(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def readings(text: str, wanted: tuple[int, ...]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(reading, hashes, kinds, places) of the readings, those after the first only where they differ from PLAIN."""
+    for reading, hashes, kinds, places, _ in readings_of([text], wanted):
+        yield reading, hashes, kinds, places
+
+
+def readings_of(texts: list[str], wanted: tuple[int, ...]) -> Iterator[tuple[int, *(np.ndarray,) * 4]]:
+    """(reading, hashes, kinds, places, text number) of the words of all texts, one text after the other."""
     sole(_SEEN)
     if _SEEN.held >= _REMEMBERED_BYTES:
         _SEEN.forget()
-    if re.search(r"\d[A-Za-z]", text):
-        text = _STUCK.sub(" ", text)
-    words = text.split()
-    places = np.fromiter(map(_SEEN.__getitem__, words), np.int64, len(words))
+    words: list[str] = []
+    sizes = []
+    for text in texts:
+        own = (_STUCK.sub(" ", text) if _DIGIT_LETTER.search(text) else text).split()
+        words += own
+        sizes.append(len(own))
+    places = _SEEN.places(words)
+    number = np.repeat(np.arange(len(texts)), sizes)
     known = _tables()
     marks = known[1][places]
-    kinds, ends = marks & 7, (marks & _SENTENCE_END) > 0
-    real = kinds != _NONE
+    kinds = marks & 7
     # a capital after the end of a sentence is no name
-    start = np.concatenate([[True], ends[:-1]]) if len(words) else np.zeros(0, bool)
-    places, kinds, start = places[real], kinds[real], start[real]
-    before = np.concatenate([[_NONE], kinds[:-1]]) if len(kinds) else kinds
-    kinds = np.where((kinds == _UNIT) & (before != _NUM), _WORD, kinds)
+    start = _before(marks & _SENTENCE_END, number, _SENTENCE_END) > 0
+    real = kinds != _NONE
+    if not real.all():
+        places, kinds, start, number = places[real], kinds[real], start[real], number[real]
+    kinds[(kinds == _UNIT) & (_before(kinds, number, _NONE) != _NUM)] = _WORD
     capital = kinds == _CAPITAL
+    at_start = capital & start
     for reading in wanted:
-        if reading == PLAIN or (capital & start if reading == NAMES else capital).any():
-            no_names = {PLAIN: capital & start, NAMES: False, LOWER: capital}[reading]
-            yield reading, *_filled(np.where(no_names, _WORD, kinds), places, known[0])
-
-
-def _filled(kinds: np.ndarray, places: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    before = np.concatenate([[_NONE], kinds[:-1]]) if len(kinds) else kinds
+        no_names = {PLAIN: at_start, NAMES: False, LOWER: capital}[reading]
+        own = kinds, places, number
+        if reading != PLAIN:
+            other = np.zeros(len(texts), bool)
+            other[number[at_start if reading == NAMES else capital]] = True
+            if not other.any():
+                continue
+            own = tuple(x[other[number]] for x in own)
+            no_names = no_names if reading == NAMES else no_names[other[number]]
+        yield reading, *_filled(np.where(no_names, np.int8(_WORD), own[0]), *own[1:], known[0])
+
+
+def _before(values: np.ndarray, number: np.ndarray, first: int) -> np.ndarray:
+    """What stands before each word, ``first`` before the first one of a text."""
+    before = np.empty_like(values)
+    before[:1] = first
+    before[1:] = np.where(number[1:] == number[:-1], values[:-1], values.dtype.type(first))
+    return before
+
+
+def _filled(kinds: np.ndarray, places: np.ndarray, number: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, ...]:
     # a name of several words is one slot, with the value of its first word
-    places, kinds = (x[~((kinds == _CAPITAL) & (before == _CAPITAL))] for x in (places, kinds))
+    first = ~((kinds == _CAPITAL) & (_before(kinds, number, _NONE) == _CAPITAL))
+    if not first.all():
+        places, kinds, number = places[first], kinds[first], number[first]
     hashes = known[places]
     for kind, h in _HASHES.items():
         hashes[kinds == kind] = h
-    return hashes, kinds, places
+    return hashes, kinds, places, number
 
 
 def _marked(hashes: np.ndarray, reading: int) -> np.ndarray:
@@ -220,6 +283,15 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 _HITS = "key binary, doc_id bigint, doc_pos int, hash bigint, doc_slots array<string>"
 
 
+def _parts(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of some PART bytes of ``column``: what is made of a piece is all that is held."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    piece = np.cumsum(sizes, dtype=np.int64) // PART
+    starts = np.flatnonzero(np.diff(piece, prepend=-1))
+    for at, end in zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows]):
+        yield batch.slice(at, end - at)
+
+
 def _hits(shared, sizes: list[int]) -> Callable:
     """Finds the windows of documents that are among the shared, sorted hashes."""
 
@@ -229,20 +301,32 @@ def _hits(shared, sizes: list[int]) -> Callable:
         mask = np.uint64(len(low) - 1)
         low[wanted & mask] = True
         for batch in batches:
-            rows = []
-            for key, doc_id, text in zip(*(batch.column(c) for c in ("key", "doc_id", "text"))):
-                for reading, hashes, kinds, places in readings(text.as_py() or "", (PLAIN, NAMES)):
+            for part in _parts(batch, "text"):
+                rows = []
+                texts = [text or "" for text in part.column("text").to_pylist()]
+                for reading, hashes, kinds, places, number in readings_of(texts, (PLAIN, NAMES)):
+                    first = np.searchsorted(number, np.arange(len(texts)))
                     for size, own in window_hashes(hashes, sizes):
                         own = _marked(own, reading)
                         maybe = np.flatnonzero(low[own & mask])
+                        maybe = maybe[number[maybe] == number[maybe + size - 1]]  # not across texts
                         at = np.minimum(np.searchsorted(wanted, own[maybe]), len(wanted) - 1)
                         for i in maybe[wanted[at] == own[maybe]].tolist():
-                            h = int(own[i].astype(np.int64))
-                            rows.append((key.as_py(), doc_id.as_py(), i, h, _slots(kinds, places, i, size)))
-            types = [pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string())]
-            columns = zip(*rows) if rows else [[]] * 5
-            names = ["key", "doc_id", "doc_pos", "hash", "doc_slots"]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=names)
+                            row = int(number[i])
+                            rows.append((row, i - int(first[row]), int(own[i].astype(np.int64)), _slots(kinds, places, i, size)))
+                if rows:
+                    row, doc_pos, h, slots = zip(*rows)
+                    whose = pa.array(row, pa.int32())
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part.column("key").take(whose),
+                            part.column("doc_id").take(whose),
+                            pa.array(doc_pos, pa.int32()),
+                            pa.array(h, pa.int64()),
+                            pa.array(slots, pa.list_(pa.string())),
+                        ],
+                        names=["key", "doc_id", "doc_pos", "hash", "doc_slots"],
+                    )
 
     return find
 
