@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -80,3 +83,32 @@ def test_memory_keeps_what_is_asked_for(monkeypatch):
     for token in "a b c a d a e f a g".split():
         memory[token]
     assert asked == ["a", "b", "c", "d", "e", "f", "g"]
+
+
+def test_pre_tokens_of_many_texts_are_merged_side_by_side(encoder, monkeypatch):
+    draw = random.Random(5)
+    texts = ["", "a" * 500, "日本語 テキスト 🙂🙂", *("".join(draw.choices("abethingsé 12'\n", k=60)) for _ in range(200))]
+    one_by_one = [encoder.encode(text).tolist() for text in texts]
+    encoder.known.forget()
+    merged = []
+    alone = encoder.merged
+    monkeypatch.setattr(encoder, "merged", lambda piece: merged.append(piece) or alone(piece))
+    monkeypatch.setattr(bpe, "_TOGETHER", 3000)
+    assert [np.frombuffer(x, np.int32).tolist() for x in encoder.encode_all(texts)] == one_by_one
+    assert merged == [b"a" * 500]
+
+
+def test_all_keys_at_once(encoder):
+    keys = [*encoder.entries[:2000], b"surely no entry of it", b""]
+    assert encoder.hash.find_all(keys) == [encoder.hash.find(key) for key in keys]
+    assert bpe.PerfectHash([]).find_all([b"z"]) == [-1]
+
+
+def test_texts_of_a_batch_are_encoded_once(encoder, monkeypatch):
+    calls = []
+    encode = encoder.encode_all
+    monkeypatch.setattr(encoder, "encode_all", lambda texts: calls.append(len(texts)) or encode(texts))
+    one, other = pa.array(["a b", "", "abethings"]), pa.array(["a b", "", "abethingz"])
+    for column in (one, pa.array(one.to_pylist()), other, one):
+        assert encoder.encode_batch(column).to_pylist() == [encoder.encode(x).tolist() for x in column.to_pylist()]
+    assert calls == [3, 3, 3]

@@ -1,10 +1,11 @@
 """Byte-level BPE: text to token ids and back, by the ranks of a public vocabulary.
 
 Two tiers.  A minimal perfect hash over the vocabulary (one slot per entry, no
-free slots) resolves every pre-token that is an entry as a whole.  A miss is
-merged byte by byte: the bytes form a linked list, a heap gives the pair of
-lowest rank, leftmost first.  Both answers are remembered per Python worker in a
-dictionary of bounded size.
+free slots) resolves every pre-token that is an entry as a whole.  Misses are
+merged from bytes, always the pair of lowest rank, leftmost first: those of some
+texts side by side in arrays, where each step merges one pair of every pre-token;
+long ones by themselves, as a linked list with a heap of pairs.  Answers are remembered
+per Python worker in a dictionary of bounded size.
 
 Null text counts as empty and gives no ids.  Texts of any length are one row's
 work; nothing is shuffled.
@@ -15,6 +16,8 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+from collections.abc import Iterable
+from itertools import chain, compress
 
 import numpy as np
 import public_tokenizers
@@ -28,6 +31,9 @@ from tomeworks.llm.common import documents, query, sole, whole
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 _REMEMBERED = 400_000
+_TOGETHER = 1 << 19  # characters of texts that are encoded in one go
+_ROWS = 500  # of a batch that are Python strings at a time
+_SHORT, _NO_PAIR = 64, 1 << 30  # bytes of pre-tokens merged side by side; the rank of what does not merge
 _REMEMBERED_BYTES, _ENTRY_BYTES = 20 << 20, 150  # of each of the two generations
 
 # Most texts only have these characters: ASCII without separators, and Latin letters.  For them a pattern of
@@ -89,6 +95,7 @@ class PerfectHash:
             slots[slot] = i
         self.slots = slots
         self.keys = [keys[i] for i in slots]
+        self.arrays = np.array(self.moves, np.int64), np.array(slots, np.int64)
 
     def _hashes(self, key: bytes) -> tuple[int, int]:
         high, low = divmod(xxhash.xxh3_128_intdigest(key), 1 << 64)
@@ -105,6 +112,18 @@ class PerfectHash:
         slot = -move - 1 if move < 0 else self._slot(high, move)
         return self.slots[slot] if self.keys[slot] == key else -1
 
+    def find_all(self, keys: list[bytes]) -> list[int]:
+        """find() of each of the keys."""
+        if not self.n:
+            return [-1] * len(keys)
+        moves, slots = self.arrays
+        hashes = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, keys)), ">u8").astype(np.uint64).reshape(-1, 2)
+        move = moves[(hashes[:, 1] % np.uint64(self.buckets)).astype(np.int64)]
+        mixed = (hashes[:, 0] ^ (move.astype(np.uint64) * np.uint64(_STEP))) * np.uint64(_MIX)
+        slot = np.where(move < 0, -move - 1, ((mixed >> np.uint64(24)) % np.uint64(self.n)).astype(np.int64))
+        found = zip(keys, map(self.keys.__getitem__, slot.tolist()), slots[slot].tolist())
+        return [number if key == own else -1 for key, own, number in found]
+
 
 class Memory(dict):
     """Pre-token -> its ids as packed 32-bit integers, in two generations.
@@ -127,6 +146,10 @@ class Memory(dict):
         got = self.older.get(pre_token)
         if got is None:
             got = np.array(self.find(pre_token), dtype=np.int32).tobytes()
+        self.keep(pre_token, got)
+        return got
+
+    def keep(self, pre_token: str, got: bytes) -> None:
         if len(pre_token) < 64:
             if len(self) >= _REMEMBERED or self.held >= _REMEMBERED_BYTES:
                 older = dict(self)
@@ -134,7 +157,17 @@ class Memory(dict):
                 self.older = older
             self.held += _ENTRY_BYTES + len(pre_token) + len(got)
             self[pre_token] = got
-        return got
+
+    def many(self, pre_tokens: Iterable[str], find_all) -> dict[str, bytes]:
+        """The ids of pre-tokens that differ; those not remembered are found by one call of ``find_all``."""
+        found = dict(zip(pre_tokens, map(self.get, pre_tokens)))
+        absent = [t for t, got in found.items() if got is None]
+        found.update(zip(absent, map(self.older.get, absent)))
+        fresh = [t for t in absent if found[t] is None]
+        found.update(zip(fresh, find_all(fresh)))
+        for t in absent:
+            self.keep(t, found[t])
+        return found
 
 
 class Encoder:
@@ -142,10 +175,21 @@ class Encoder:
         self.entries = entries
         self.pattern = pattern
         self.hash = PerfectHash(entries)
+        rank = {entry: rank for rank, entry in enumerate(entries)}
+        halves = ((rank.get(e[:at]), rank.get(e[at:]), r) for e, r in rank.items() for at in range(1, len(e)))
+        pairs = np.array([(a, b, r) for a, b, r in halves if a is not None and b is not None], np.int64).reshape(-1, 3)
+        keys = pairs[:, 0] * len(entries) + pairs[:, 1]
+        order = np.argsort(keys)
+        self.pairs = np.append(keys[order], -1), np.append(pairs[order, 2], _NO_PAIR)  # one more, found by none
+        self.bytes = np.array([rank.get(bytes([b]), -1) for b in range(256)], np.int64)
+        self.byte_pairs = np.full(1 << 16, _NO_PAIR)
+        for entry, r in rank.items():
+            if len(entry) == 2:
+                self.byte_pairs[int.from_bytes(entry)] = r
         self._ready()
 
     def __getstate__(self):
-        return {"entries": self.entries, "pattern": self.pattern, "hash": self.hash}
+        return {name: self.__dict__[name] for name in ("entries", "pattern", "hash", "pairs", "bytes", "byte_pairs")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -156,6 +200,7 @@ class Encoder:
         self.split_plain = re.compile(_PLAIN_PATTERN).findall if self.pattern == public_tokenizers.PATTERN else None
         self.rank = {entry: rank for rank, entry in enumerate(self.entries)}
         self.known = Memory(self.piece)
+        self.last: tuple[pa.Array, pa.Array] | None = None
 
     def merged(self, piece: bytes) -> tuple[int, ...]:
         """The ids of one pre-token that is no entry itself."""
@@ -187,6 +232,60 @@ class Encoder:
             at = after[at]
         return tuple(ids)
 
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The id that each pair of ids makes, which is its rank; _NO_PAIR where there is none."""
+        keys, ranks = self.pairs
+        wanted = left * len(self.entries) + right
+        at = np.searchsorted(keys[:-1], wanted)
+        return np.where(keys[at] == wanted, ranks[at], _NO_PAIR)
+
+    def side_by_side(self, pieces: list[bytes]) -> list[bytes]:
+        """merged() of each of these pre-tokens, packed as 32-bit integers."""
+        if not pieces:
+            return []
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        ids = self.bytes[data]
+        lengths = np.array(list(map(len, pieces)))
+        starts = np.cumsum(lengths) - lengths
+        inner = np.ones(len(ids), bool)  # has a right neighbour in its pre-token
+        inner[starts + lengths - 1] = False
+        ranks = np.full(len(ids), _NO_PAIR)
+        at = np.flatnonzero(inner)
+        ranks[at] = self.byte_pairs[data[at].astype(np.int64) << 8 | data[at + 1]]
+        while True:
+            best = np.minimum.reduceat((ranks << 32) + np.arange(len(ranks)), starts)
+            busy = best >> 32 < _NO_PAIR
+            if not busy.any():
+                break
+            at = best[busy] & 0xFFFFFFFF
+            ids[at] = ranks[at]
+            inner[at] = inner[at + 1]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            ids, ranks, inner = ids[keep], ranks[keep], inner[keep]
+            lengths[busy] -= 1
+            starts = np.cumsum(lengths) - lengths
+            at -= np.arange(len(at))  # every pre-token before has lost one part
+            ranks[at] = _NO_PAIR
+            changed = np.concatenate([at[inner[at]], at[at > starts[busy]] - 1])
+            ranks[changed] = self._ranks(ids[changed], ids[changed + 1])
+        packed = ids.astype(np.int32).tobytes()
+        return [packed[a:b] for a, b in zip((4 * starts).tolist(), (4 * (starts + lengths)).tolist())]
+
+    def pieces(self, pre_tokens: list[str]) -> list[bytes]:
+        """piece() of each, packed as 32-bit integers."""
+        data = [t.encode() for t in pre_tokens]
+        numbers = self.hash.find_all(data)
+        longest = _SHORT if (self.bytes >= 0).all() else -1
+        together = [len(d) <= longest and number < 0 for d, number in zip(data, numbers)]
+        found = iter(self.side_by_side(list(compress(data, together))))
+        return [
+            next(found)
+            if short
+            else np.array([number] if number >= 0 else self.merged(d), np.int32).tobytes()
+            for d, number, short in zip(data, numbers, together)
+        ]
+
     def piece(self, pre_token: str) -> tuple[int, ...]:
         data = pre_token.encode()
         found = self.hash.find(data)
@@ -200,6 +299,36 @@ class Encoder:
         sole(self.known)
         return np.frombuffer(b"".join(map(self.known.__getitem__, self.split(text))), dtype=np.int32)
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, packed as 32-bit integers."""
+        sole(self.known)
+        found: list[bytes] = []
+        ends = np.cumsum([len(text) for text in texts], dtype=np.int64) // _TOGETHER
+        starts = np.flatnonzero(np.diff(ends, prepend=-1)).tolist()
+        for at, end in zip(starts, [*starts[1:], len(texts)]):
+            parts = list(map(self.split, texts[at:end]))
+            known = self.known.many(dict.fromkeys(chain.from_iterable(parts)), self.pieces)
+            found.extend(b"".join(map(known.__getitem__, part)) for part in parts)
+        return found
+
+    def encode_batch(self, texts: pa.Array) -> pa.Array:
+        """The ids of a column of texts.
+
+        Spark asks once for the ids and once more for what is made of them, such as decode(), one after
+        the other in the same worker; the second time the answer to the same column is given again.
+        """
+        last, self.last = self.last, None
+        if last is not None and last[0].equals(texts):
+            return last[1]
+        found: list[bytes] = []
+        for at in range(0, len(texts), _ROWS):
+            found += self.encode_all([x or "" for x in texts.slice(at, _ROWS).to_pylist()])
+        offsets = np.cumsum([0, *map(len, found)]) // 4
+        flat = np.frombuffer(b"".join(found), np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
+        self.last = texts, ids
+        return ids
+
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.entries.__getitem__, ids.tolist()))
 
@@ -214,14 +343,7 @@ def token_ids(shared, text: Column) -> Column:
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        encode = shared.value.encode
-        offsets, values = [0], []
-        for text in (x.as_py() for x in texts):
-            part = encode(text or "")
-            values.append(part)
-            offsets.append(offsets[-1] + len(part))
-        flat = np.concatenate(values) if values else np.zeros(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
+        return shared.value.encode_batch(texts)
 
     return ids(whole(text))
 
