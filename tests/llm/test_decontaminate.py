@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from types import SimpleNamespace
 
 import numpy as np
@@ -148,3 +149,18 @@ def test_a_batch_is_read_together_and_windows_stay_in_their_text(monkeypatch):
     together = hits(1 << 18)
     assert calls == [len(texts)]
     assert together and together == hits(1)
+
+
+def test_groups_of_hits_become_python_objects_one_at_a_time():
+    hit = {"reading": 0, "size": 8, "n_words": 400, "item_slots": ["boston"] * 4, "doc_slots": ["chicago"] * 4}
+    groups = [[{**hit, "item_pos": i, "doc_pos": i + 3} for i in range(300)] for _ in range(100)]
+    numbers = list(range(len(groups)))
+    batch = pa.RecordBatch.from_pydict({"key": [b"k"] * len(groups), "doc_id": numbers, "item_id": numbers, "hits": groups})
+    d._SEEN.places(["some", "words"])
+    tracemalloc.start()
+    made = [row for part in d._found(0.5)(iter([batch])) for row in part.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [row["doc_id"] for row in made] == numbers and {row["n_windows"] for row in made} == {300}
+    assert peak < 4 << 20  # all of them are over 30 MB
+    assert not d._SEEN

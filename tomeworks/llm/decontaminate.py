@@ -403,11 +403,12 @@ _FOUND = "key binary, doc_id bigint, item_id bigint, n_windows bigint, coverage
 
 def _found(cover: float) -> Callable:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _SEEN.forget()  # the words have served the stage before
         for batch in batches:
             rows = []
-            for key, doc_id, item_id, hits in zip(*(c.to_pylist() for c in batch.columns)):
-                if got := covered(hits, cover):
-                    rows.append((key, doc_id, item_id, *got))
+            for key, doc_id, item_id, hits in zip(*batch.columns):  # one group at a time as Python objects
+                if got := covered(hits.as_py(), cover):
+                    rows.append((key.as_py(), doc_id.as_py(), item_id.as_py(), *got))
             types = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.bool_()]
             columns = zip(*rows) if rows else [[]] * 6
             names = ["key", "doc_id", "item_id", "n_windows", "coverage", "reparameterised"]
