@@ -114,6 +114,15 @@ def test_fits_take_a_bounded_sample_and_score_everything(real):
     assert vectors.count() == real.rows.count()
 
 
+def test_fits_take_all_training_rows(real, monkeypatch):
+    """However many there are; the number of rows decides nothing."""
+    n_train, n_all = real.rows.where("split = 'train'").count(), real.rows.count()
+    monkeypatch.setattr(type(real.rows), "count", lambda rows: 1 << 40)
+    vectors = experiments.ml_vectors(real).select("split", "in_fit").collect()
+    assert len(vectors) == n_all and sum(r.in_fit for r in vectors) == n_train
+    assert all(r.in_fit == (r.split == "train") for r in vectors)
+
+
 def test_settings_travel_with_the_examples(real):
     row = experiments.naive_bayes_experiment(real).first()
     assert (row["buckets"], row["log_used"]) == (500, True)
